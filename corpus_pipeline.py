@@ -1,12 +1,60 @@
-"""Stages from raw documents to encoded text."""
+"""From raw documents to encoded text: the stages of one corpus build.
+
+quality rules drop rejected documents; the n-gram Jaccard join keeps the document
+that names each component; secret scans replace secrets in the texts; mixing
+samples documents by calibrated probabilities; segmentation encodes what is left.
+No stage can be written as one SQL statement over whole tables (hashed n-gram
+models, signatures, raking), so ORACLE_SQL is None and the tests hold run()
+against a brute-force version.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from kinfold.llm.jaccard import jaccard_classes
+from kinfold.llm.mixing import mix_sources
+from kinfold.llm.quality import quality_rules
+from kinfold.llm.queries import piece_model
+from kinfold.llm.secrets import redact_secrets
+from kinfold.llm.segment import encode_documents
+from kinfold.llm.shared import new_folder, settled
+
+#: Up to this many identifiers are sent to all executors; beyond, joins shuffle.
+BROADCAST_IDS = 500_000
+
+
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """docs whose doc_id isn't among ids (a null doc_id never is)."""
+    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_anti")
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    verdict = quality_rules(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return _without(docs, settled(verdict.where(~F.col("kept")).select("doc_id").distinct(), "rejected"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    classes = jaccard_classes(docs, n=5, num=80, den=100)
+    return _without(docs, settled(classes.where("component_id <> doc_id").select("doc_id").distinct(), "copies"))
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return redact_secrets(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mix_sources(docs).where("_selected").select(*docs.columns)
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    encoded = encode_documents(docs, piece_model(), n_best=3)
+    return encoded.select("doc_id", "n_bytes", F.size("ids").cast("long").alias("n_pieces"), "ids", "scores", "round_trip")
 
-from kinfold.llm.shared import new_folder
 
-STAGES: list = []
+STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("secrets", secrets), ("mixing", mixing), ("encoding", encoding)]
 ORACLE_SQL = None
 
 

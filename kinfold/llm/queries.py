@@ -5,7 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kinfold.llm.jaccard import jaccard_classes
+from kinfold.llm.langid import identify_languages
+from kinfold.llm.media import media_columns
+from kinfold.llm.mixing import mix_sources
+from kinfold.llm.quality import quality_rules
+from kinfold.llm.secrets import secret_report
+from kinfold.llm.segment import encode_documents
 from kinfold.llm.shards import kd_shards
+from kinfold.llm.substrings import remove_repeats
 from kinfold.llm.tokencount import count_tokens
 
 
@@ -28,8 +36,46 @@ def op2_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_classes(documents(spark, sf_dir), n=5, num=80, den=100)
+
+
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(documents(spark, sf_dir), width=200)
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mix_sources(documents(spark, sf_dir))
+    return out.select("doc_id", "source", "lang", F.col("_topic").alias("topic"), F.col("_tokens").alias("n_tokens"), F.round("_prob", 6).alias("prob"), F.col("_selected").alias("selected"))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_report(documents(spark, sf_dir))
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
+    return identify_languages(documents(spark, sf_dir), held_out=held_out)
+
+
+def op9_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = encode_documents(documents(spark, sf_dir), piece_model(), n_best=3)
+    ids = F.array_join(F.transform("ids", lambda x: x.cast("string")), ",")
+    score = lambda k: F.round(F.try_element_at("scores", F.lit(k)), 3)
+    return out.select("doc_id", "n_bytes", F.size("ids").cast("long").alias("n_pieces"), F.crc32(ids).alias("ids_crc32"), score(1).alias("best_score"), score(2).alias("second_score"), score(3).alias("third_score"), "round_trip")
+
+
+def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = media_columns(documents(spark, sf_dir))
+    return out.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", F.col("length").alias("media_bytes"), "media_sha256", "feature")
+
+
 def queries() -> dict:
-    return {"op1_token_counts": op1_token_counts, "op2_kd_shards": op2_kd_shards}
+    return {f.__name__: f for f in (op1_token_counts, op2_kd_shards, op3_jaccard_join, op4_substring_dedup, op5_mixing, op6_quality, op7_secrets, op8_language, op9_segmentation, op10_media)}
 
 
 def oracle_sql() -> dict[str, str]:
