@@ -75,6 +75,7 @@ def _best(scores: np.ndarray, k: int, least: float) -> np.ndarray:
 
 
 def _score_block(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    right = right.rename(columns={c: c.removeprefix("r_") for c in right.columns})
     ids = np.array(sorted(right["id"].unique()))
     place = {x: k for k, x in enumerate(ids)}
     index = {s: _column_index(right[right["space"] == s], place) for s in SEARCHED}
@@ -113,8 +114,8 @@ def signal_pairs(left: DataFrame, right: DataFrame, vec: DataFrame) -> DataFrame
     keys = ["country_clean", "lb", "rb"]
     cols = [*keys, "id", "space", "terms", "weights"]
     a = _blocked(vec, lhs, "lb", "rb").select(*cols)
-    b = _blocked(vec, rhs, "rb", "lb").select(*cols)
-    part = a.groupBy(*keys).cogroup(b.groupBy(*keys)).applyInPandas(_score_block, "s1_id string, r_id string, signal string, score double")
+    b = _blocked(vec, rhs, "rb", "lb").select(*cols).toDF(*[f"r_{c}" for c in cols])  # other names: one lineage feeds both
+    part = a.groupBy(*keys).cogroup(b.groupBy(*[f"r_{c}" for c in keys])).applyInPandas(_score_block, "s1_id string, r_id string, signal string, score double")
     k = F.lit(0)
     for s, n in X.TOP_K.items():
         k = F.when(F.col("signal") == s, F.lit(n)).otherwise(k)

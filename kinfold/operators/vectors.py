@@ -48,7 +48,11 @@ def with_binary_sets(df: DataFrame) -> DataFrame:
 
 def term_counts(records: DataFrame, spaces: list[str]) -> DataFrame:
     """entity_id, space, term, tf: one scan for all spaces."""
-    tagged = [F.transform(terms(F.col(SPACES[s][0]), SPACES[s][1]), lambda t, s=s: F.struct(F.lit(s).alias("space"), t.alias("term"))) for s in spaces]
+
+    def tagged_terms(space: str) -> Column:
+        return F.transform(terms(F.col(SPACES[space][0]), SPACES[space][1]), lambda t: F.struct(F.lit(space).alias("space"), t.alias("term")))
+
+    tagged = [tagged_terms(s) for s in spaces]
     each = records.select("entity_id", F.explode(F.concat(*tagged) if len(tagged) > 1 else tagged[0]).alias("x"))
     return each.groupBy("entity_id", F.col("x.space").alias("space"), F.col("x.term").alias("term")).agg(F.count(F.lit(1)).alias("tf"))
 

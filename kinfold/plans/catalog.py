@@ -241,7 +241,7 @@ def d12(spark, sf):
     return truth.coverage(truth.true_pairs(truth_table(spark, sf), left, right), pairs).withColumn("recall", r6("recall"))
 
 
-@query("d13_training_pool", S.with_([*_CAND, *S.TRUTH, S.POOL], "SELECT p.s1_id, p.r_id, natural, CASE WHEN t.s1_id IS NULL THEN 0 ELSE 1 END AS label FROM pool p LEFT JOIN truth t USING (s1_id, r_id)"))
+@query("d13_training_pool", S.with_([*_CAND, *S.TRUTH, S.POOL], "SELECT p.s1_id, p.r_id, p.natural, CASE WHEN t.s1_id IS NULL THEN 0 ELSE 1 END AS label FROM pool p LEFT JOIN truth t USING (s1_id, r_id)"))
 def d13(spark, sf):
     left, right, pairs = natural_pairs(spark, sf)
     return truth.training_pool(truth.true_pairs(truth_table(spark, sf), left, right), pairs)
@@ -281,7 +281,7 @@ _group("e_candidate_list", features.LIST, listed=True)
 _group("e_all_features", features.FEATURES, listed=True)
 
 
-@query("e_injected_rank", S.with_([*_CAND, *S.TRUTH, S.POOL, *S.features("pool"), S.LISTED], f"SELECT natural, {_sql_rounded(features.LIST)} FROM lf"))
+@query("e_injected_rank", S.with_([*_CAND, *S.TRUTH, S.POOL, *S.features("pool"), S.LISTED], f"SELECT lf.natural, {_sql_rounded(features.LIST)} FROM lf"))
 def e_injected(spark, sf):
     left, right = both(spark, sf)
     vec = vectors(blocking.all_records(left, right))

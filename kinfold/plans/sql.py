@@ -205,4 +205,4 @@ def features(pairs: str = "cand") -> list[str]:
 
 NATURAL = "pool AS (SELECT s1_id, r_id, true AS natural FROM cand)"
 POOL = "pool AS (SELECT s1_id, r_id, true AS natural FROM cand UNION ALL SELECT s1_id, r_id, false FROM (SELECT * FROM truth EXCEPT SELECT s1_id, r_id FROM cand))"
-LISTED = "lf AS (SELECT p.*, 1 + coalesce((SELECT count(*) FROM pf o WHERE o.natural AND o.s1_id = p.s1_id AND o.combined_score > p.combined_score), 0)::DOUBLE AS cand_rank, coalesce(best, p.combined_score) AS cand_best_score, coalesce(best, p.combined_score) - p.combined_score AS cand_gap_to_best, coalesce(n, 0)::DOUBLE AS cand_count FROM pf p LEFT JOIN (SELECT s1_id, max(combined_score) AS best, count(*) AS n FROM pf WHERE natural GROUP BY s1_id) USING (s1_id))"
+LISTED = "lf AS (SELECT p.*, 1 + coalesce((SELECT count(*) FROM pf o WHERE o.natural AND o.s1_id = p.s1_id AND o.combined_score > p.combined_score), 0)::DOUBLE AS cand_rank, coalesce(best, p.combined_score) AS cand_best_score, coalesce(best, p.combined_score) - p.combined_score AS cand_gap_to_best, coalesce(n, 0)::DOUBLE AS cand_count FROM pf p LEFT JOIN (SELECT s1_id, max(combined_score) AS best, count(*) AS n FROM pf WHERE pf.natural GROUP BY s1_id) USING (s1_id))"
