@@ -26,7 +26,8 @@ LEAST_WORDS, MOST_REPEATED, REPEAT_WINDOW = 50, 50, 3
 
 BUCKETS = 1 << 16
 NGRAM = 4
-SMOOTH = 2.0
+#: Raw counts are smoothed by SMOOTH a bucket, the target by BLEND of its own size.
+SMOOTH, BLEND = 2.0, 0.05
 
 _is_symbol = np.zeros(256, bool)
 _is_symbol[list(SYMBOLS)] = True
@@ -141,11 +142,11 @@ def fit_ratio(docs: DataFrame, labels: DataFrame, *, most_labelled: int, id_col:
         return None
     # The target is smoothed towards the raw corpus, which has every n-gram.
     p_raw = (raw_n + SMOOTH) / (raw_n.sum() + SMOOTH * BUCKETS)
-    p_good = (good_n + SMOOTH * BUCKETS * p_raw) / (good_n.sum() + SMOOTH * BUCKETS)
+    p_good = (good_n / good_n.sum() + BLEND * p_raw) / (1 + BLEND)
     return np.log(p_good / p_raw).astype(np.float32)
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, *, threshold: float = -0.27, most_labelled: int = 20_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def quality_rules(docs: DataFrame, labels: DataFrame, *, threshold: float = -0.38, most_labelled: int = 20_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, the counted figures, base_failed, llr, kept."""
     ratio = fit_ratio(docs, labels, most_labelled=most_labelled, id_col=id_col, text_col=text_col)
     kind = docs.schema[id_col].dataType.simpleString()
