@@ -130,6 +130,10 @@ def _heads(group: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1]))) if len(group) else np.empty(0, np.int64)
 
 
+def _tails(head: np.ndarray, n: int) -> list[int]:
+    return [*head[1:].tolist(), n] if len(head) else []
+
+
 def _without_singles(live: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     head = _heads(group)
     size = np.diff(np.append(head, len(group)))
@@ -186,7 +190,7 @@ def remove_repeats(docs: DataFrame, *, width: int = 200, id_col: str = "doc_id",
                 order = np.argsort(bucket, kind="stable")
                 bucket, h, pos, own = bucket[order], h[order].astype(np.uint32), (place - offsets[doc])[order], names[a:b][doc[order]]
                 head = _heads(bucket)
-                rows = [(int(bucket[x]), h[x:y].tobytes(), own[x:y].tobytes(), pos[x:y].astype(np.uint32).tobytes()) for x, y in zip(head.tolist(), np.append(head[1:], len(h)).tolist(), strict=True)]
+                rows = [(int(bucket[x]), h[x:y].tobytes(), own[x:y].tobytes(), pos[x:y].astype(np.uint32).tobytes()) for x, y in zip(head.tolist(), _tails(head, len(h)), strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], k) for j, k in enumerate((pa.int32(), pa.binary(), pa.binary(), pa.binary()))], ["bucket", "h", "t", "pos"])
 
     def shared(table: pa.Table) -> pa.Table:
@@ -202,7 +206,7 @@ def remove_repeats(docs: DataFrame, *, width: int = 200, id_col: str = "doc_id",
         order = np.argsort(t, kind="stable")
         t, note = t[order], note[order]
         head = _heads(t)
-        return pa.table({"t": t[head], "places": pa.array([note[x:y].tobytes() for x, y in zip(head.tolist(), np.append(head[1:], len(t)).tolist(), strict=True)], pa.binary())})
+        return pa.table({"t": t[head], "places": pa.array([note[x:y].tobytes() for x, y in zip(head.tolist(), _tails(head, len(t)), strict=True)], pa.binary())})
 
     found = source.select("text", "t").mapInArrow(find, "bucket int, h binary, t binary, pos binary")
     places = settled(found.groupBy("bucket").applyInArrow(shared, "t long, places binary").groupBy("t").agg(F.collect_list("places").alias("places")), "places")
@@ -338,7 +342,7 @@ def _by_bucket(bucket: np.ndarray, mask: np.ndarray) -> Iterator[np.ndarray]:
     rows = np.flatnonzero(mask)
     rows = rows[np.argsort(bucket[rows], kind="stable")]
     head = _heads(bucket[rows])
-    for x, y in zip(head.tolist(), np.append(head[1:], len(rows)).tolist(), strict=True):
+    for x, y in zip(head.tolist(), _tails(head, len(rows)), strict=True):
         yield rows[x:y]
 
 
