@@ -150,7 +150,8 @@ def cell_probabilities(cells: DataFrame, *, temper: float, targets: dict[str, di
 
 
 def mix_sources(docs: DataFrame, *, temper: float = 0.7, topics: int = 8, targets: dict[str, dict] | None = None, keep: float = 0.6, seed: int = 7, keep_empty: bool = False, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang", driver_cells: int = DRIVER_CELLS) -> DataFrame:
-    """All rows and columns of docs, and _topic, _tokens, _prob, _selected."""
+    """All rows and columns of docs, and _topic, _tokens, _prob, _selected (columns of
+    these names are replaced)."""
     rows = described(docs, topics=topics, text_col=text_col)
     cells = rows.groupBy(F.col(source_col).alias("source"), F.col(lang_col).alias("lang"), F.col("_topic").alias("topic")).agg(F.sum("_tokens").alias("tokens"))
     known = cell_probabilities(cells, temper=temper, targets=targets, keep=keep, driver_cells=driver_cells)

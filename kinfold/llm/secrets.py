@@ -67,8 +67,8 @@ def _overlapping(spans: Column, x: Column) -> Column:
 
 
 def find_secrets(docs: DataFrame, *, reach: int = 200, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Row by row: row (its number here), doc_id, kept columns, base and linked
-    (arrays of s, k, e, sorted)."""
+    """Row by row: row (its number here), doc_id, kept_<column> for each of keep, the
+    counts, base and linked (arrays of s, k, e, sorted)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), *[F.col(c).alias(f"kept_{c}") for c in keep], text.alias("t"))
     assign = _spans(F.col("t"), ASSIGN, 0, lambda m: F.length(F.regexp_extract(m, ASSIGN, 2)) >= 8)
@@ -83,7 +83,7 @@ def find_secrets(docs: DataFrame, *, reach: int = 200, id_col: str = "doc_id", t
     rows = settled(rows.withColumn("row", F.monotonically_increasing_id()), "secrets")
     linked = settled(_link(rows.where("size(weak) > 0"), reach), "linked")
     few = linked.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS  # beyond, the join shuffles
-    return rows.join(F.broadcast(linked) if few else linked, "row", "left").select("row", "doc_id", *[F.col(f"kept_{c}").alias(c) for c in keep], "n_assign", "n_access", "n_hex", "base", F.coalesce("linked", F.array().cast(_SPANS)).alias("linked"))
+    return rows.join(F.broadcast(linked) if few else linked, "row", "left").select("row", "doc_id", *[f"kept_{c}" for c in keep], "n_assign", "n_access", "n_hex", "base", F.coalesce("linked", F.array().cast(_SPANS)).alias("linked"))
 
 
 def _link(rows: DataFrame, reach: int) -> DataFrame:
@@ -117,6 +117,7 @@ def redact_secrets(docs: DataFrame, *, mark: str = "[SECRET]", reach: int = 200,
     """docs with every base span and every linked weak secret replaced by mark;
     overlapping spans are replaced together. All columns are kept."""
     got = find_secrets(docs, reach=reach, text_col=text_col, keep=tuple(docs.columns), **options)
+    text = F.col(f"kept_{text_col}")
     spans = F.array_sort(F.concat("base", F.filter("linked", lambda x: x["k"] == 4)))
     merged = F.aggregate(
         spans,
@@ -129,7 +130,8 @@ def redact_secrets(docs: DataFrame, *, mark: str = "[SECRET]", reach: int = 200,
     done = F.aggregate(
         merged,
         F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")),
-        lambda acc, x: F.struct(x["e"].alias("at"), F.concat(acc["out"], F.array(F.substring(F.col(text_col), acc["at"] + 1, x["s"] - acc["at"]), F.lit(mark))).alias("out")),
-        lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(F.col(text_col), acc["at"] + 1, F.length(text_col))),
+        lambda acc, x: F.struct(x["e"].alias("at"), F.concat(acc["out"], F.array(F.substring(text, acc["at"] + 1, x["s"] - acc["at"]), F.lit(mark))).alias("out")),
+        lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.length(text))),
     )
-    return got.withColumn("_t", F.when(F.size(spans) > 0, done).otherwise(F.col(text_col))).select(*[F.col("_t").alias(text_col) if c == text_col else F.col(c) for c in docs.columns])
+    cleaned = F.when(F.size(spans) > 0, done).otherwise(text)
+    return got.select(*[cleaned.alias(c) if c == text_col else F.col(f"kept_{c}").alias(c) for c in docs.columns])
