@@ -20,7 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MEMO_PARTS = 150_000
+MEMO_PARTS = 400_000
+NEVER = float("-inf")
 UNKNOWN_PENALTY, BARRED = 10.0, -1e8
 
 
@@ -39,63 +40,140 @@ class PieceLattice:
         # Pieces that their model bars by an extreme score cost as much as an unknown.
         self.unknown = min(s for s, _ in self.pieces.values() if s > BARRED) - UNKNOWN_PENALTY
         self.pieces = {p: (max(s, self.unknown), i) for p, (s, i) in self.pieces.items()}
+        #: every beginning of a piece: None, or (score, (id,)) where it is a piece
+        self.prefixes = {p[:k]: None for p in self.pieces for k in range(1, len(p))}
+        self.prefixes |= {p: (score, (i,)) for p, (score, i) in self.pieces.items()}
         self.n_best = n_best
+        # Control characters that no longer piece holds are parts of their own.
+        inside = {c for p in self.pieces if len(p) > 1 for c in p}
+        alone = "".join(re.escape(chr(c)) for c in range(32) if chr(c) not in inside)
+        self.cutter = re.compile(f"▁*[^▁{alone}]+|▁+|[{alone}]" if alone else "▁*[^▁]+|▁+")
         self.cuts = not any(re.search("[^▁]▁", p) for p in self.pieces)
-        self.memo: dict[str, list[tuple[float, tuple[int, ...]]]] = {}
+        self.memo: dict[str, tuple[float, tuple[int, ...], float]] = {}
+        self.ranked: dict[str, list[tuple[float, tuple[int, ...]]]] = {}
 
     def parts(self, text: str) -> list[str]:
         if not text:
             return []
         text = "▁" + text.replace(" ", "▁")
-        return re.findall("▁*[^▁]+|▁+", text) if self.cuts else [text]
+        return self.cutter.findall(text) if self.cuts else [text]
 
-    def best(self, part: str) -> list[tuple[float, tuple[int, ...]]]:
-        """Up to n_best (score, ids) of one part, best first; ties by ids."""
-        n = len(part)
-        edges: list[list[tuple[int, float, tuple[int, ...]]]] = [[] for _ in range(n + 1)]
-        alpha = [float("-inf")] * (n + 1)
+    def edges(self, part: str) -> list[tuple[int, int, float, tuple[int, ...]]]:
+        """(from, to, score, ids) of the part's lattice, by start."""
+        n, out, get, longest = len(part), [], self.pieces.get, self.longest.get
+        for i in range(n):
+            single = False
+            for j in range(i + 1, min(n, i + longest(part[i], 0)) + 1):
+                found = get(part[i:j])
+                if found:
+                    single |= j == i + 1
+                    out.append((i, j, found[0], (found[1],)))
+            if not single:
+                out.append((i, i + 1, self.unknown, tuple(self.byte_id[b] for b in part[i].encode())))
+        return out
+
+    def forward(self, n: int, edges: list) -> tuple[list[float], list]:
+        """Viterbi scores of all places and the edges that reach them."""
+        alpha, back = [NEVER] * (n + 1), [None] * (n + 1)
         alpha[0] = 0.0
-        get = self.pieces.get
+        for e in edges:
+            i, j, score, _ = e
+            if alpha[i] + score > alpha[j]:
+                alpha[j], back[j] = alpha[i] + score, e
+        return alpha, back
+
+    def first(self, part: str) -> tuple[float, tuple[int, ...], float]:
+        """(score, ids, loss of the second choice): the second is the best path over
+        any edge that the first doesn't use. Edges are kept as parallel lists, and a
+        start's search ends where no piece begins so."""
+        n, get = len(part), self.prefixes.get
+        alpha, back, own = [0.0] + [NEVER] * n, [0] * (n + 1), [()] * (n + 1)
+        froms, tos, scores = [], [], []
         for i in range(n):
             here, single = alpha[i], False
-            for j in range(i + 1, min(n, i + self.longest.get(part[i], 0)) + 1):
-                if found := get(part[i:j]):
-                    single |= j == i + 1
-                    edges[j].append((i, found[0], (found[1],)))
-                    if here + found[0] > alpha[j]:
-                        alpha[j] = here + found[0]
+            for j in range(i + 1, n + 1):
+                found = get(part[i:j], False)
+                if not found:
+                    if found is None:  # the beginning of longer pieces only
+                        continue
+                    break
+                if j == i + 1:
+                    single = True
+                score, ids = found
+                froms.append(i)
+                tos.append(j)
+                scores.append(score)
+                if here + score > alpha[j]:
+                    alpha[j], back[j], own[j] = here + score, i, ids
             if not single:
-                ids = tuple(self.byte_id[b] for b in part[i].encode())
-                edges[i + 1].append((i, self.unknown, ids))
+                froms.append(i)
+                tos.append(i + 1)
+                scores.append(self.unknown)
                 if here + self.unknown > alpha[i + 1]:
-                    alpha[i + 1] = here + self.unknown
-        out = []
-        heap = [(-alpha[n], n, 0.0, ())]
+                    alpha[i + 1], back[i + 1] = here + self.unknown, i
+                    own[i + 1] = tuple([self.byte_id[b] for b in part[i].encode()])
+        ahead, at, ids = [0] * (n + 1), n, ()
+        while at:
+            ahead[back[at]] = at
+            ids = own[at] + ids if n < 64 else ids
+            at = back[at]
+        if n >= 64:
+            chain, at = [], n
+            while at:
+                chain.append(own[at])
+                at = back[at]
+            ids = tuple([x for e in reversed(chain) for x in e])
+        behind, second = [NEVER] * n + [0.0], NEVER
+        for k in range(len(froms) - 1, -1, -1):
+            i, j = froms[k], tos[k]
+            rest = scores[k] + behind[j]
+            if rest > behind[i]:
+                behind[i] = rest
+            if ahead[i] != j and alpha[i] + rest > second:
+                second = alpha[i] + rest
+        return alpha[n], ids, alpha[n] - second
+
+    def best(self, part: str) -> list[tuple[float, tuple[int, ...]]]:
+        """Up to n_best (score, ids) of one part, best first, by backward A-star; the
+        forward scores are exact, so complete paths leave the heap in order."""
+        edges, n = self.edges(part), len(part)
+        alpha, _ = self.forward(n, edges)
+        into: list[list] = [[] for _ in range(n + 1)]
+        for e in edges:
+            into[e[1]].append(e)
+        out, heap = [], [(-alpha[n], n, 0.0, ())]
         while heap and len(out) < self.n_best:
             _, at, behind, ids = heapq.heappop(heap)
             if at == 0:
                 out.append((behind, ids))
                 continue
-            for i, score, own in edges[at]:
+            for i, _, score, own in into[at]:
                 heapq.heappush(heap, (-(alpha[i] + score + behind), i, score + behind, own + ids))
         return out
 
-    def encode(self, text: str) -> tuple[list[int], list[float], list[tuple[int, int]]]:
-        """Ids of the best segmentation, the n_best scores, and for each further
-        one the (part, rank) choices that differ, flattened."""
+    def encode(self, text: str) -> tuple[list[int], list[float], list[list[tuple[int, int]]]]:
+        """Ids of the best segmentation, the n_best scores, and for each of these the
+        (part, rank) choices that aren't a part's first."""
         if len(self.memo) > MEMO_PARTS:
             self.memo.clear()
-        memo, lists = self.memo, []
-        for p in self.parts(text):
-            if (got := memo.get(p)) is None:
-                got = memo[p] = self.best(p)
-            lists.append(got)
-        ids = [i for x in lists for i in x[0][1]]
-        if not lists:
+        if len(self.ranked) > MEMO_PARTS:
+            self.ranked.clear()
+        memo, rows, parts = self.memo, [], self.parts(text)
+        for p in parts:
+            got = memo.get(p)
+            if got is None:
+                got = memo[p] = self.first(p)
+            rows.append(got)
+        if not rows:
             return [], [], []
-        score = sum(x[0][0] for x in lists)
-        losses = heapq.nsmallest(self.n_best - 1, ((x[0][0] - x[1][0], k) for k, x in enumerate(lists) if len(x) > 1))
-        spots = [k for _, k in losses]
+        ids = [i for x in rows for i in x[1]]
+        score = sum([x[0] for x in rows])
+        spots = [k for loss, k in heapq.nsmallest(self.n_best - 1, zip([x[2] for x in rows], range(len(rows)))) if loss < -NEVER]  # noqa: B905
+        lists = []
+        for k in spots:
+            if parts[k] not in self.ranked:
+                self.ranked[parts[k]] = self.best(parts[k])
+            lists.append(self.ranked[parts[k]])
         # Best first over the ranks chosen at these spots.
         start = (0,) * len(spots)
         heap, seen, scores, choices = [(0.0, start)], {start}, [], []
@@ -103,12 +181,12 @@ class PieceLattice:
             loss, pick = heapq.heappop(heap)
             scores.append(score - loss)
             choices.append([(k, r) for k, r in zip(spots, pick, strict=True) if r])
-            for j, k in enumerate(spots):
-                if pick[j] + 1 < len(lists[k]):
+            for j, options in enumerate(lists):
+                if pick[j] + 1 < len(options):
                     nxt = (*pick[:j], pick[j] + 1, *pick[j + 1 :])
                     if nxt not in seen:
                         seen.add(nxt)
-                        heapq.heappush(heap, (loss + lists[k][pick[j]][0] - lists[k][nxt[j]][0], nxt))
+                        heapq.heappush(heap, (loss + options[pick[j]][0] - options[nxt[j]][0], nxt))
         return ids, scores, choices
 
     def decode(self, ids: list[int]) -> str:
