@@ -26,6 +26,7 @@ Extra columns are ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,11 @@ from kinfold.llm.textbytes import chunks, mix, shingle_sets
 
 #: Up to this many keys are sent to all executors; beyond, the join shuffles.
 BROADCAST_ROWS = 500_000
-SKETCH_WORDS = 16
+SKETCH_WORDS = 8
+#: Pieces of the one part of sets that differ in up to 0, 1, 2, 3 shingles.
+ONE_PART = (1, 4, 6, 7)
+#: Entries of a row of signature groups (a group is never divided).
+ROW_ENTRIES = 1 << 16
 
 
 def bands(most: int, num: int, den: int) -> list[tuple[int, int]]:
@@ -50,12 +55,15 @@ def bands(most: int, num: int, den: int) -> list[tuple[int, int]]:
     return out
 
 
-def plan(high: int, num: int, den: int) -> tuple[int, int]:
-    """(k, n1) of the band that ends at high: sets of this and the band below
-    that link differ in at most k shingles, and in two or more shingles in at
-    most k // 2 of the n1 parts. The rest of n1 allows for empty parts."""
+def plan(high: int, num: int, den: int) -> tuple[int, int, int, int]:
+    """(n1, n2, k2, bad) of the band that ends at high: sets of this and the band
+    below that link differ in at most k shingles, so in more than k2 in at most bad
+    of the n1 parts; a part has n2 pieces of which n2 - k2 must then agree. Small
+    sets have one part and all choices of pieces; the rest of n1 is for empty ones."""
     k = (den - num) * 2 * high // (den + num)
-    return k, k // 2 + 1 + (k // 2 + 16) // 32
+    if k < len(ONE_PART):
+        return 1, ONE_PART[k], k, 0
+    return k // 2 + 1 + (k // 2 + 16) // 32, 3, 1, k // 2
 
 
 def signatures(feats: np.ndarray, num: int, den: int, all_bands: list[tuple[int, int]]) -> np.ndarray:
@@ -64,34 +72,34 @@ def signatures(feats: np.ndarray, num: int, den: int, all_bands: list[tuple[int,
     own = int(np.searchsorted([hi for _, hi in all_bands], n))
     out = []
     for i in (own, own + 1):
-        if i >= len(all_bands):
-            lo = all_bands[-1][1] + 1
-            high = max(lo, lo * den // num)
-        else:
+        if i < len(all_bands):
             high = all_bands[i][1]
-        k, n1 = plan(high, num, den)
+        else:
+            low = all_bands[-1][1] + 1
+            high = max(low, low * den // num)
+        n1, n2, k2, bad = plan(high, num, den)
         spot = mix(feats + np.uint64(0x51ED + i))
-        part = ((spot >> np.uint64(32)) % np.uint64(n1 * 3)).astype(np.int64)
-        sums = np.zeros(n1 * 3, np.uint64)
+        part = ((spot >> np.uint64(32)) % np.uint64(n1 * n2)).astype(np.int64)
         order = np.argsort(part, kind="stable")
         at = part[order]
         heads = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
+        sums = np.zeros(n1 * n2, np.uint64)
         sums[at[heads]] = np.add.reduceat(mix(spot ^ np.uint64(0xA5A5A5A5))[order], heads)
-        filled = np.zeros(n1 * 3, bool)
-        filled[at[heads]] = True
-        three, full = sums.reshape(n1, 3), filled.reshape(n1, 3)
-        name = np.arange(n1, dtype=np.uint64) * np.uint64(4)
-        holes = 0
+        full = np.zeros(n1 * n2, bool)
+        full[at[heads]] = True
+        sums, full = sums.reshape(n1, n2), full.reshape(n1, n2)
+        name = np.arange(n1, dtype=np.uint64) + (np.uint64(i) << np.uint64(40))
         sig, some = [], []
-        for j, (x, y) in enumerate(((0, 1), (0, 2), (1, 2))):
-            here = full[:, x] | full[:, y]
-            s = mix(three[:, x] * np.uint64(3) + mix(three[:, y] + np.uint64(7)) + mix(name + np.uint64(j) + (np.uint64(i) << np.uint64(40))))
+        for j, chosen in enumerate(combinations(range(n2), n2 - k2)):
+            s = mix(name + (np.uint64(j) << np.uint64(52)))
+            for x in chosen:
+                s = mix(s * np.uint64(3) + sums[:, x])
             sig.append(s)
-            some.append(here)
-        holes = int((~(some[0] & some[1] & some[2])).sum())
+            some.append(full[:, list(chosen)].any(axis=1))
+        holes = int((~np.logical_and.reduce(some)).sum())
         sig, some = np.concatenate(sig), np.concatenate(some)
         # With fewer holes than surely good parts a non-empty signature is shared.
-        out.append(sig[some] if holes < n1 - k // 2 else sig)
+        out.append(sig[some] if holes < n1 - bad else sig)
     return np.concatenate(out)
 
 
@@ -102,9 +110,6 @@ def sketch(feats: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
-def _signed(x: np.ndarray) -> np.ndarray:
-    return x.view(np.int64)
-
 
 def _set_name(feats: np.ndarray) -> tuple[int, int]:
     a = int(mix(feats ^ np.uint64(0x1F123BB5)).sum(dtype=np.uint64))
@@ -171,7 +176,7 @@ def jaccard_classes(docs: DataFrame, *, n: int = 5, num: int = 80, den: int = 10
     def odd_half(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            for _, _, raw, offsets in chunks(batch.column(0), 8 << 20):
+            for _, _, raw, offsets in chunks(batch.column(0), 4 << 20):
                 keys, owners = [], []
                 for feats in shingle_sets(raw, offsets, n):
                     if len(feats) and (v := _set_name(feats)[0]) not in seen:
@@ -229,42 +234,56 @@ def jaccard_classes(docs: DataFrame, *, n: int = 5, num: int = 80, den: int = 10
                 rows = [(b, x.tobytes(), o.tobytes()) for b, x, o in _bucketed(np.concatenate(keys), owners, buckets)]
                 yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in enumerate((pa.int32(), pa.binary(), pa.binary()))], ["bucket", "keys", "owners"])
 
-    signed = settled(feats.select("v", "feats").mapInArrow(sign, "bucket int, keys binary, owners binary"), "signed")
+    signed = feats.select("v", "feats").mapInArrow(sign, "bucket int, keys binary, owners binary")
+
+    def regroup(table: pa.Table) -> pa.Table:
+        """Kind 0: the bucket's groups of two sets or more, in rows of whole groups.
+        Kind 1: for each range of owners, how many groups' members they meet."""
+        keys, owners, each, first = _repeated(*_grouped(table))
+        rows = []
+        start = 0
+        for end in [*first.tolist()[1:], len(keys)] if len(keys) else []:
+            if end - start >= ROW_ENTRIES or end == len(keys):
+                rows.append((0, 0, keys[start:end].tobytes(), owners[start:end].tobytes()))
+                start = end
+        v, at = np.unique(owners, return_inverse=True)
+        pop = np.bincount(at, each - 1, len(v)).astype(np.int64) if len(v) else np.empty(0, np.int64)
+        part = v.astype(np.uint64) % np.uint64(parts)
+        order = np.argsort(part, kind="stable")
+        part, v, pop = part[order], v[order], pop[order]
+        head = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1]))) if len(part) else []
+        for x, y in zip(head, [*head[1:], len(part)] if len(head) else [], strict=True):
+            rows.append((1, int(part[x]), pop[x:y].tobytes(), v[x:y].tobytes()))
+        return pa.table({c: pa.array([r[j] for r in rows], k) for j, (c, k) in enumerate((("kind", pa.int32()), ("part", pa.int32()), ("keys", pa.binary()), ("owners", pa.binary())))})
 
     def popular(table: pa.Table) -> pa.Table:
-        keys, owners = _grouped(table)
-        keys, owners, size, _ = _repeated(keys, owners)
+        pop, owners = (np.concatenate([np.frombuffer(x, np.int64) for x in table.column(c).to_pylist()]) for c in ("keys", "owners"))
         v, at = np.unique(owners, return_inverse=True)
-        return pa.table({"v": v, "pop": np.bincount(at, size - 1, len(v)).astype(np.int64)})
-
-    pops = settled(signed.groupBy("bucket").applyInArrow(popular, "v long, pop long").groupBy("v").agg(F.sum("pop").alias("pop")), "pops")
+        return pa.table({"v": v, "pop": np.bincount(at, pop, len(v)).astype(np.int64)})
 
+    grouped = signed.groupBy("bucket").applyInArrow(regroup, "kind int, part int, keys binary, owners binary")
+    grouped = settled(grouped.withColumn("row", F.monotonically_increasing_id()), "groups")
+    groups = grouped.where("kind = 0").select("row", "keys", "owners")
     # One row for each set that shares a signature; sets without any have no link.
-    def hub_pairs(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        return _pairs(left, right, 1)
-
-    def more_hub_pairs(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        return _pairs(left, right, 8)
-
-    def cross_pairs(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        return _pairs(left, right, 0)
-
-    def candidates(labels: DataFrame, pairs_of) -> DataFrame:
-        """labels: v, pop, label, sent to the buckets in which v has signatures."""
-        places = signed.select("bucket", "owners").mapInArrow(_places, "bucket int, v long")
-        notes = places.join(labels, "v").groupBy("bucket").agg(F.collect_list(F.struct("v", "pop", "label")).alias("notes"))
-        return signed.groupBy("bucket").cogroup(notes.groupBy("bucket")).applyInArrow(pairs_of, "a long, b long").distinct()
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        meta = feats.select("v", "n", *SKETCH)
-        side = lambda df, x: df.select(*[F.col(c).alias(f"{x}_{c}") for c in df.columns]).withColumnRenamed(f"{x}_v", x)
-        near = pairs.join(side(meta, "a"), "a").join(side(meta, "b"), "b")
-        low, high = F.least("a_n", "b_n"), F.greatest("a_n", "b_n")
-        apart = sum((F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}"))) for c in SKETCH), F.lit(0))
-        near = near.where((low * den >= high * num) & (apart * (den + num) <= (F.col("a_n") + F.col("b_n")) * (den - num)))
-        near = settled(near.select("a", "b"), "near")
-        blobs = feats.select("v", "feats")
-        both = near.join(side(blobs, "a"), "a").join(side(blobs, "b"), "b")
+    pops = grouped.where("kind = 1").groupBy("part").applyInArrow(popular, "v long, pop long")
+    facts = settled(pops.join(feats.drop("feats"), "v"), "facts")
+
+    def pairs_by(hubs: int):
+        def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+            return _pairs(left, right, hubs, num, den)
+
+        return run
+
+    def candidates(labels: DataFrame, hubs: int) -> DataFrame:
+        """labels: the facts and label of each set, sent to the rows it is in."""
+        places = groups.select("row", "owners").mapInArrow(_places, "row long, v long")
+        notes = places.join(labels, "v").groupBy("row").agg(F.collect_list(F.struct("v", "pop", "label", "n", *SKETCH)).alias("notes"))
+        return groups.groupBy("row").cogroup(notes.groupBy("row")).applyInArrow(pairs_by(hubs), "a long, b long").distinct()
+
+    def verified(near: DataFrame) -> DataFrame:
+        side = lambda x: feats.select(F.col("v").alias(x), F.col("feats").alias(f"{x}_feats"))
+        near = settled(near, "near")
+        both = near.join(side("a"), "a").join(side("b"), "b")
 
         def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -278,13 +297,11 @@ def jaccard_classes(docs: DataFrame, *, n: int = 5, num: int = 80, den: int = 10
 
         return both.select("a", "b", "a_feats", "b_feats").mapInArrow(compare, "a long, b long")
 
-    alone = pops.withColumn("label", F.col("v"))
-    edges = settled(verified(candidates(alone, hub_pairs)), "links")
-    for step in (more_hub_pairs, cross_pairs):
-        found = components(edges)
-        labels = pops.join(found.withColumnRenamed("vertex", "v"), "v", "left").select("v", "pop", F.coalesce("label", "v").alias("label"))
-        more = settled(verified(candidates(settled(labels, "labels"), step)), "links")
-        edges = edges.unionByName(more)
+    edges = settled(verified(candidates(facts.withColumn("label", F.col("v")), 1)), "links")
+    for hubs in (8, 0):
+        found = components(edges).withColumnRenamed("vertex", "v")
+        labels = facts.join(found, "v", "left").withColumn("label", F.coalesce("label", "v"))
+        edges = edges.unionByName(settled(verified(candidates(labels, hubs)), "links"))
     found = components(edges).withColumnRenamed("vertex", "v")
     named = classes.select("v", "w", "n", "low").join(found, "v", "left").select("v", "w", "n", "low", F.coalesce("label", "v").alias("label"))
     named = settled(named, "named")
@@ -313,9 +330,9 @@ def _blob_batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for b, o in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        for r, o in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             v = np.unique(np.frombuffer(o, np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(v), b, np.int32)), pa.array(v)], ["bucket", "v"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(v), r, np.int64)), pa.array(v)], ["row", "v"])
 
 
 def _repeated(keys: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -329,53 +346,66 @@ def _repeated(keys: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndar
     return keys[keep], owners[keep], each[keep], first
 
 
-def _pairs(left: pa.Table, right: pa.Table, hubs: int) -> pa.Table:
-    """Candidate pairs of a bucket: members of different components within one
-    signature's group; with the group's first hubs, or (0) all of them in blocks."""
+def _pairs(left: pa.Table, right: pa.Table, hubs: int, num: int, den: int) -> pa.Table:
+    """Candidate pairs of a row of groups: members of different components within one
+    signature's group, with the group's first hubs, or (0) all of them in blocks;
+    only those that sizes and sketches allow."""
     none = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
     if not left.num_rows or not right.num_rows:
         return none
     notes = right.column("notes").combine_chunks().flatten()
-    v = np.concatenate([np.asarray(notes.field("v"))])
+    v = np.asarray(notes.field("v"))
     order = np.argsort(v)
-    v, pop, label = v[order], np.asarray(notes.field("pop"))[order], np.asarray(notes.field("label"))[order]
-    keys, owners, _, first = _repeated(*_grouped(left))
-    if not len(keys):
-        return none
-    at = np.searchsorted(v, owners)
-    pop, label = pop[at], label[at]
+    pop, label, size_of = (np.asarray(notes.field(c))[order] for c in ("pop", "label", "n"))
+    v, sketches = v[order], np.stack([np.asarray(notes.field(c))[order] for c in SKETCH], 1)
+    keys = np.concatenate([np.frombuffer(x, np.uint32) for x in left.column("keys").to_pylist()])
+    at = np.searchsorted(v, np.concatenate([np.frombuffer(x, np.int64) for x in left.column("owners").to_pylist()]))
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
     size = np.diff(np.append(first, len(keys)))
-    group = np.repeat(np.arange(len(first)), size)
-    mixed = np.minimum.reduceat(label, first) != np.maximum.reduceat(label, first)
-    keep = mixed[group]
-    if not keep.any():
+    mixed = np.repeat(np.minimum.reduceat(label[at], first) != np.maximum.reduceat(label[at], first), size)
+    group, at = np.repeat(np.arange(len(first)), size)[mixed], at[mixed]
+    if not len(at):
         return none
-    owners, pop, label, group = owners[keep], pop[keep], label[keep], group[keep]
-    order = np.lexsort((owners, -pop, group))
-    owners, label, group = owners[order], label[order], group[order]
+    order = np.lexsort((at, -pop[at], group))
+    at, group = at[order], group[order]
     head = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
     size = np.diff(np.append(head, len(group)))
+    known = np.empty(0, np.int64)
+
+    def near(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Of these pairs the distinct ones of two components that may link, as
+        x * len(v) + y with x < y."""
+        apart = label[x] != label[y]
+        x, y = x[apart], y[apart]
+        code = np.unique(np.minimum(x, y) * len(v) + np.maximum(x, y))
+        x, y = code // len(v), code % len(v)
+        a, b = size_of[x], size_of[y]
+        keep = np.minimum(a, b) * den >= np.maximum(a, b) * num
+        code, x, y, both = code[keep], x[keep], y[keep], (a + b)[keep]
+        bits = np.bitwise_count((sketches[x] ^ sketches[y]).view(np.uint64)).sum(axis=1, dtype=np.int64)
+        return code[bits * (den + num) <= both * (den - num)]
+
     if hubs:
-        blocks = []
         for r in range(hubs):
-            hub, its = np.repeat(owners[head + np.minimum(r, size - 1)], size), np.repeat(label[head + np.minimum(r, size - 1)], size)
-            far = its != label
-            blocks.append(np.unique(np.stack((np.minimum(hub[far], owners[far]), np.maximum(hub[far], owners[far])), 1), axis=0))
-        pairs = np.unique(np.concatenate(blocks), axis=0)
+            hub = np.repeat(at[head + np.minimum(r, size - 1)], size)
+            known = np.union1d(known, near(hub, at))
     else:
         seen: set[bytes] = set()
-        blocks = []
+        xs, ys, held = [], [], 0
         for h, s in zip(head.tolist(), size.tolist(), strict=True):
-            o, lab = owners[h : h + s], label[h : h + s]
-            if (name := np.sort(o).tobytes()) in seen:  # the same members under another signature
+            own = at[h : h + s]
+            if (name := np.sort(own).tobytes()) in seen:  # the same members under another signature
                 continue
             seen.add(name)
-            most = np.bincount(np.unique(lab, return_inverse=True)[1]).argmax()
-            main = lab == np.unique(lab)[most]
-            for x in np.flatnonzero(~main):  # each member outside the main component against the group
-                far = lab != lab[x]
-                blocks.append(np.stack((np.minimum(o[x], o[far]), np.maximum(o[x], o[far])), 1))
-            if sum(map(len, blocks)) > 1 << 20:
-                blocks = [np.unique(np.concatenate(blocks), axis=0)]
-        pairs = np.unique(np.concatenate(blocks), axis=0)
-    return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+            labels, count = np.unique(label[own], return_counts=True)
+            outside = own[label[own] != labels[count.argmax()]]
+            for x in outside.tolist():  # each member outside the main component against the group
+                xs.append(np.full(s, x))
+                ys.append(own)
+                held += s
+                if held > 1 << 20:
+                    known, xs, ys, held = np.union1d(known, near(np.concatenate(xs), np.concatenate(ys))), [], [], 0
+        if xs:
+            known = np.union1d(known, near(np.concatenate(xs), np.concatenate(ys)))
+    a, b = v[known // len(v)], v[known % len(v)]
+    return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
