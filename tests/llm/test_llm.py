@@ -1,0 +1,436 @@
+"""Corpus operators against brute force, round trips and their edge cases."""
+
+import hashlib
+import itertools
+import random
+import re
+import tarfile
+import zlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from kinfold.llm import queries as Q
+from kinfold.llm.components import components
+from kinfold.llm.jaccard import bands, jaccard_classes, signatures, sketch
+from kinfold.llm.langid import identify_languages
+from kinfold.llm.media import from_png, media_columns, payload_of, png_size, to_png
+from kinfold.llm.mixing import mix_sources, rake
+from kinfold.llm.quality import counted, quality_rules
+from kinfold.llm.secrets import find_secrets, redact_secrets, secret_report
+from kinfold.llm.segment import PieceLattice, encode_documents
+from kinfold.llm.shards import kd_shards
+from kinfold.llm.substrings import remove_repeats
+from kinfold.llm.textbytes import buffers, shingle_sets
+from kinfold.llm.tokencount import PieceMerger, count_tokens
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, t string, row int, label string, base string, _prob double"
+rng = random.Random(5)
+VOCAB = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 7))) for _ in range(400)]
+
+
+def prose(n, r=rng):
+    return " ".join(r.choice(VOCAB) for _ in range(n))
+
+
+def texts():
+    """Nulls, empties, blanks, copies, near copies, a shared passage, a long text."""
+    r = random.Random(11)
+    out = [None, "", "   \n\t", "one", "one two three four", "ONE two three FOUR", "x" * 450, "ab" * 300, "ÄÖ ß 日本語 \U0001f600 é", "\n".join(["same line here"] * 30)]
+    base = prose(120, r)
+    out += [base, base, base, base.upper()]
+    for k in range(12):
+        w = base.split()
+        w[(7 * k) % len(w)] = f"edit{k}"
+        out.append(" ".join(w))
+    passage = prose(70, r)
+    out += [prose(60, r) + " " + passage + " " + prose(40, r) for _ in range(6)]
+    out += [prose(r.randint(3, 200), r) for _ in range(30)]
+    out.append(prose(9000, r))
+    return out
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(k if k != 17 else None, t, ("en", "de", None)[k % 3], None if k % 5 == 0 else "hot", None, "t", 1, "l", "b", 0.5) for k, t in enumerate(texts())]
+    rows += rows[20:23]  # repeated rows
+    return spark.createDataFrame(rows, SCHEMA).repartition(3).cache()
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def by_id(df):
+    return sorted((tuple(r) for r in df.collect()), key=lambda r: (r[0] is None, r[0] or 0))
+
+
+def pairs_of(docs):
+    return [(r["doc_id"], r["text"] or "") for r in docs.select("doc_id", "text").collect()]
+
+
+# ---- 1
+
+
+def test_tokens_are_the_librarys(spark, docs, empty):
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=Q.piece_model())
+    want = sorted(((i, len(t.encode()), len(sp.encode(t)), len(sp.encode(t)) > 100) for i, t in pairs_of(docs)), key=lambda r: (r[0] is None, r[0] or 0))
+    assert by_id(count_tokens(docs, Q.piece_model(), limit=100)) == want
+    assert count_tokens(empty, Q.piece_model()).count() == 0
+
+
+def test_merging_of_odd_texts():
+    import sentencepiece
+
+    sp, ours = sentencepiece.SentencePieceProcessor(model_file=Q.piece_model()), PieceMerger(Q.piece_model())
+    r = random.Random(3)
+    odd = ["", "   " * 50, "▁▁x  ▁", "a" * 3000, "ab" * 2000, "日本語テキスト" * 200, "<s>hi</s>", " " * 1000 + "x" + " " * 999, "\x00\t\n"]
+    odd += ["".join(r.choice("abcdeinghtso THE.,!0123é日̀\U0001f600\n\t") for _ in range(r.randint(0, 300))) for _ in range(200)]
+    assert ours.count(odd) == [len(x) for x in sp.encode(odd)]
+
+
+# ---- 2
+
+
+def test_shards(docs, empty):
+    got = kd_shards(docs, shards=4, salts=3).collect()
+    assert len(got) == docs.count()
+    sizes, slots = Counter(), {}
+    for r in got:
+        sizes[r["shard"]] += r["size"]
+        slots.setdefault(r["shard"], []).append(r["slot"])
+    assert set(sizes) <= {0, 1, 2, 3}  # one long text may fill the bytes of two shards
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert {r["doc_id"]: r["text_crc32"] for r in got}[4] == zlib.crc32(b"one two three four")
+    assert next(r["size"] for r in got if r["doc_id"] == 0) == 1
+    assert kd_shards(empty, shards=4).count() == 0
+
+
+def test_shards_are_even(spark):
+    df = spark.range(4000).select(F.col("id").alias("doc_id"), F.expr("repeat('x', cast(10 + id % 50 as int))").alias("text"), F.lit("en").alias("lang"), F.when(F.col("id") % 3 == 0, "a").otherwise(F.col("id").cast("string")).alias("source"))
+    sizes = [r["b"] for r in kd_shards(df, shards=6).groupBy("shard").agg(F.sum("size").alias("b")).collect()]
+    assert len(sizes) == 6 and max(sizes) - min(sizes) <= 6 * 60
+    n = kd_shards(df, target_bytes=20_000).select("shard").distinct().count()
+    assert n == -(-sum(sizes) // 20_000)
+
+
+# ---- 3
+
+
+def sets(rows, n=5):
+    out = []
+    for _, t in rows:
+        w = WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in t))
+        out.append({tuple(w[k : k + n]) for k in range(len(w) - n + 1)} if len(w) >= n else ({tuple(w)} if w else set()))
+    return out
+
+
+def brute_classes(rows):
+    s = sets(rows)
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, j in itertools.combinations(range(len(rows)), 2):
+        both = len(s[i] & s[j])
+        if both and 100 * both >= 80 * (len(s[i]) + len(s[j]) - both):
+            root[find(j)] = find(i)
+    low = {}
+    for k, (i, _) in enumerate(rows):
+        if i is not None:
+            low[find(k)] = min(low.get(find(k), i), i)
+    return sorted([(i, len(s[k]), low.get(find(k))) for k, (i, _) in enumerate(rows)], key=lambda r: (r[0] is None, r[0] or 0))
+
+
+def test_jaccard_classes(docs, empty):
+    assert by_id(jaccard_classes(docs)) == brute_classes(pairs_of(docs))
+    assert jaccard_classes(empty).count() == 0
+
+
+def test_jaccard_chain_of_edits(spark):
+    """Neighbours link, the ends don't; hubs alone would miss some."""
+    r = random.Random(2)
+    w, rows = prose(60, r).split(), []
+    for k in range(40):
+        rows.append((100 + k, " ".join(w)))
+        w[r.randrange(len(w))] = f"new{k}"
+    assert by_id(jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string"))) == brute_classes(rows)
+
+
+def test_similar_sets_share_a_signature():
+    """Every pair at or over the similarity meets, whatever the size."""
+    r = np.random.default_rng(4)
+    every = bands(3000, 80, 100)
+    for n in [*range(1, 40), 77, 200, 501, 1200]:
+        for _ in range(6):
+            a = np.unique(r.integers(0, 1 << 63, n, dtype=np.uint64))
+            drop = int(r.integers(0, max(1, len(a) // 9 + 1)))
+            keep = r.permutation(a)[drop:]
+            b = np.unique(np.concatenate((keep, r.integers(0, 1 << 63, drop, dtype=np.uint64))))
+            both = len(np.intersect1d(a, b))
+            if both and 100 * both >= 80 * (len(a) + len(b) - both):
+                assert len(np.intersect1d(signatures(a, 80, 100, every), signatures(b, 80, 100, every)))
+                assert np.bitwise_count((sketch(a) ^ sketch(b)).view(np.uint64)).sum() <= len(a) + len(b) - 2 * both
+
+
+def test_components(spark):
+    r = random.Random(8)
+    edges = [(k, k + 1) for k in range(0, 60)] + [(100, 100 + k) for k in range(1, 40)] + [(r.randrange(200, 260), r.randrange(260, 300)) for _ in range(30)]
+    root = {x: x for e in edges for x in e}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    got = {r["vertex"]: r["label"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert all(got.get(x, x) == find(x) for x in root)
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+# ---- 4
+
+
+def brute_removed(rows, width):
+    data = [t.encode() for _, t in rows]
+    count = Counter(b[k : k + width] for b in data for k in range(len(b) - width + 1))
+    out = []
+    for (i, _), b in zip(rows, data, strict=True):
+        gone = bytearray(len(b))
+        for k in range(len(b) - width + 1):
+            if count[b[k : k + width]] > 1:
+                gone[k : k + width] = b"\1" * width
+        kept = bytes(x for x, g in zip(b, gone, strict=True) if not g)
+        out.append((i, len(b), sum(gone), len(re.findall(b"\1+", bytes(gone))), hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=lambda r: (r[0] is None, r[0] or 0))
+
+
+@pytest.mark.parametrize("hot", [1024, 3])
+def test_removed_bytes(docs, empty, monkeypatch, hot):
+    from kinfold.llm import substrings
+
+    monkeypatch.setattr(substrings, "HOT", hot)
+    assert by_id(remove_repeats(docs, width=200)) == brute_removed(pairs_of(docs), 200)
+    assert remove_repeats(empty).count() == 0
+
+
+def test_nothing_shared(spark):
+    df = spark.createDataFrame([(1, "alpha beta"), (2, "gamma"), (3, None)], "doc_id long, text string")
+    assert [r[2] for r in by_id(remove_repeats(df))] == [0, 0, 0]
+    assert [r[2] for r in by_id(jaccard_classes(df))] == [1, 2, 3]
+
+
+# ---- 5
+
+
+def test_raking_meets_marginals():
+    r = np.random.default_rng(1)
+    codes = [r.integers(0, 4, 60), r.integers(0, 3, 60), r.integers(0, 5, 60)]
+    goals = [np.full(4, 1 / 4), np.array([0.5, 0.3, 0.2]), np.full(5, 0.2)]
+    fitted = rake(r.random(60) + 0.1, codes, goals)
+    for c, g in zip(codes, goals, strict=True):
+        assert np.bincount(c, fitted) == pytest.approx(g, abs=1e-6)
+
+
+def test_mixing(spark, docs, empty):
+    assert set(docs.columns) <= set(mix_sources(docs).columns) and mix_sources(docs).count() == docs.count()
+    plain = docs.drop("_prob")
+    one, two = (sorted((str(r["doc_id"]), round(r["_prob"], 6), r["_selected"]) for r in mix_sources(plain, driver_cells=n).collect()) for n in (50_000, 0))
+    assert one == two
+    assert mix_sources(empty.drop("_prob")).count() == 0
+
+
+# ---- 6
+
+
+def test_counted_rules():
+    data = [t or "" for t in texts()]
+    raw, offsets = buffers(pa.array(data))
+    got = counted(raw, offsets)
+    for k, t in enumerate(data):
+        w, lines = WORD.findall(t), [x for x in t.split("\n") if WORD.search(x)]
+        tri = [tuple(w[i : i + 3]) for i in range(len(w) - 2)]
+        n = Counter(tri)
+        cover = {i + j for i, x in enumerate(tri) if n[x] > 1 for j in range(3)}
+        want = (len(w), sum(map(len, w)), sum(t.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(cover))
+        assert tuple(int(got[c][k]) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")) == want
+
+
+def test_quality_verdicts(spark, docs, empty):
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert all(r["kept"] == (not r["base_failed"]) for r in quality_rules(docs, none).collect())
+    assert quality_rules(empty, none).count() == 0
+    good = [(k, prose(150)) for k in range(40)]
+    bad = [(100 + k, " ".join(x.upper() + "!!" for x in prose(150).split())) for k in range(15)]
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(0, 40, 2)], "doc_id long, quality int, toxic int")
+    kept = {r["doc_id"] for r in quality_rules(spark.createDataFrame(good + bad, "doc_id long, text string"), labels).where("kept").collect()}
+    assert kept == set(range(40))
+
+
+# ---- 7
+
+ASSIGN = re.compile(r"""((?:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
+SECRETS = [
+    None,
+    "",
+    'é token = "abcdefgh1" and PassWord:short; api_key=0123456789abcdef0123456789abcdef\U0001f600 secret: x',
+    "AKIAABCDEFGHIJKL AKIA123 AKIAAKIAAKIAAKIA99 " + "f" * 31 + " " + "0" * 40 + " xAKIA0123456789AB",
+    "token=secret:abcdefghij token=ab token = = 'zzzzzzzzz' " * 20,
+    "user: alice9\nkey q7Wx9Zk2Lm4Np8Rt6Vb1 end\nhttps://h.example/x",
+    "nothing near q7Wx9Zk2Lm4Np8Rt6Vb1\n\nuser: alice9",
+]
+
+
+def test_secret_spans(spark):
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(SECRETS)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in secret_report(df).collect()}
+    for k, t in enumerate(SECRETS):
+        t = t or ""
+        spans = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(t) if len(m[2]) >= 8]
+        spans += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 16]
+        spans += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 32]
+        base = ",".join(f"{('assign', 'access', 'hex')[x]}:{s}:{e}" for s, x, e in sorted(spans))
+        n = Counter(x for _, x, _ in spans)
+        r = got[k]
+        assert (r["n_assign"], r["n_access"], r["n_hex"]) == (n[0], n[1], n[2])
+        assert r["base_sha256"] == hashlib.sha256(base.encode()).hexdigest()
+    assert "weak:17" in got[5]["spans"] and "ident:0" in got[5]["spans"] and "endpoint" in got[5]["spans"]
+    assert "weak" not in got[6]["spans"]  # another scope
+
+
+def test_redaction(spark, docs, empty):
+    df = spark.createDataFrame([(k, t, "r") for k, t in enumerate(SECRETS)], "doc_id long, text string, row string")
+    got = {r["doc_id"]: r["text"] for r in redact_secrets(df).collect()}
+    assert got[0] is None and got[1] == ""
+    assert got[2] == 'é [SECRET]" and PassWord:short; [SECRET]\U0001f600 secret: x'
+    assert got[5] == "user: alice9\nkey [SECRET] end\nhttps://h.example/x"
+    assert redact_secrets(docs).columns == docs.columns and redact_secrets(docs).count() == docs.count()
+    assert find_secrets(empty).count() == 0
+
+
+# ---- 8
+
+
+def test_languages(spark, docs, empty):
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    held = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
+    rows = identify_languages(df, held_out=held).join(df.select("doc_id", "lang"), "doc_id").where("held_out").collect()
+    assert sum(r["lang_pred"] == r["lang"] for r in rows) >= 0.95 * len(rows)
+    assert all(0 <= r["score"] <= 1 for r in rows)
+    got = {r["doc_id"]: r["lang_pred"] for r in identify_languages(docs, held_out=held).where("doc_id < 10").collect()}
+    assert got[0] == got[1] == got[2] == "und" and got[3] in ("en", "de")
+    none = identify_languages(docs.withColumn("lang", F.lit(None).cast("string")), held_out=held)
+    assert {r["lang_pred"] for r in none.collect()} == {"und"}
+    assert identify_languages(empty, held_out=held).count() == 0
+
+
+# ---- 9
+
+
+def brute_segmentations(model, part):
+    if not part:
+        return [(0.0, ())]
+    out, single = [], False
+    for j in range(1, len(part) + 1):
+        if part[:j] in model.pieces:
+            single |= j == 1
+            score, i = model.pieces[part[:j]]
+            out += [(score + s, (i, *ids)) for s, ids in brute_segmentations(model, part[j:])]
+    if not single:
+        ids = tuple(model.byte_id[b] for b in part[0].encode())
+        out += [(model.unknown + s, ids + rest) for s, rest in brute_segmentations(model, part[1:])]
+    return out
+
+
+def test_n_best():
+    model = PieceLattice(Q.piece_model(), 4)
+    for part in ("▁the", "▁hello", "▁x\U0001f600y", "▁▁", "▁ß\n"):
+        want = sorted(brute_segmentations(model, part), key=lambda x: -x[0])[:4]
+        got = model.best(part)
+        assert [round(s, 6) for s, _ in got] == [round(s, 6) for s, _ in want]
+    text = "the cat hello"
+    parts = [brute_segmentations(model, p) for p in model.parts(text)]
+    want = sorted((sum(s for s, _ in x) for x in itertools.product(*parts)), reverse=True)[:4]
+    assert model.encode(text)[1] == pytest.approx(want)
+
+
+def test_encoding_round_trip(docs, empty):
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=Q.piece_model())
+    rows = encode_documents(docs, Q.piece_model()).collect()
+    assert len(rows) == docs.count() and all(r["round_trip"] for r in rows)
+    assert all(list(r["scores"]) == sorted(r["scores"], reverse=True) for r in rows)
+    text = dict(pairs_of(docs))
+    assert all(sp.decode(list(r["ids"])) == text[r["doc_id"]] for r in rows)
+    assert encode_documents(empty, Q.piece_model()).count() == 0
+
+
+# ---- 10
+
+
+def test_media(spark, docs, empty, tmp_path):
+    for data in (b"", b"a", b"x" * 576, bytes(range(256)) * 9):
+        png = to_png(payload_of(data))
+        assert from_png(png) == payload_of(data) and png_size(png[:33])[0] == 576
+    rows = media_columns(docs, folder=f"file://{tmp_path}").collect()
+    text = dict(pairs_of(docs))
+    for r in rows:
+        want = text[r["doc_id"]].encode()
+        want += b"\xff" * ((-len(want)) % 576 if want else 576)
+        assert (r["payload_bytes"], r["payload_sha256"], r["tail_crc32"]) == (len(want), hashlib.sha256(want).hexdigest(), zlib.crc32(want[-32:]))
+        assert (r["width"], r["height"]) == (576, len(want) // 576)
+        with open(tmp_path / r["shard"], "rb") as f:
+            f.seek(r["offset"])
+            assert hashlib.sha256(f.read(r["length"])).hexdigest() == r["media_sha256"]
+    shard = tmp_path / rows[0]["shard"]
+    names = tarfile.open(shard).getnames()
+    assert len(names) == len(set(names))
+    assert media_columns(empty).count() == 0
+
+
+# ---- kernels and the pipeline
+
+
+def test_shingle_hashes_are_sets():
+    rows = [(k, t or "") for k, t in enumerate(texts())]
+    raw, offsets = buffers(pa.array([t for _, t in rows]))
+    got, want = shingle_sets(raw, offsets, 5), sets(rows)
+    assert [len(x) for x in got] == [len(x) for x in want]
+    for i, j in itertools.combinations(range(8, 30), 2):
+        assert len(np.intersect1d(got[i], got[j])) == len(want[i] & want[j])
+
+
+def test_pipeline(spark, data):
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    cols, seen = docs.columns, docs
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, seen, data).cache()
+        ids = lambda df: {r["doc_id"] for r in df.select("doc_id").collect()}
+        if name != "encoding":
+            assert out.columns == cols
+        if name == "quality":
+            assert ids(out) == {r["doc_id"] for r in quality_rules(docs, spark.read.parquet(f"{data}/labels.parquet")).where("kept").collect()}
+        if name == "near_duplicates":
+            rows = [(r["doc_id"], r["text"] or "") for r in seen.collect()]
+            assert ids(out) == {c for _, _, c in brute_classes(rows)}
+        if name == "secrets":
+            assert ids(out) == ids(seen) and not out.where("text rlike 'token = \"[0-9a-f]{32}'").count()
+        if name == "encoding":
+            assert ids(out) == ids(seen) and not out.where("not round_trip").count()
+        seen = out
+    assert 0 < seen.count() < docs.count()
