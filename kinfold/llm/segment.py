@@ -1,6 +1,6 @@
 """N-best piece segmentation and decoding over a piece lattice.
 
-A text is cut where no piece can cross (before each run of spaces). In a part's
+A text is cut where no piece crosses (which is verified on the pieces). In a part's
 lattice the forward Viterbi scores are exact completions, so a backward A-star
 search from the end takes partial paths in the order of their final scores and
 yields segmentations best first. A text's N best combine its parts': only the
@@ -22,6 +22,9 @@ from pyspark.sql import functions as F
 
 MEMO_PARTS = 400_000
 NEVER = float("-inf")
+#: Characters taken as signs: ASCII and Latin-1 signs, digits and controls, general punctuation.
+SIGNS = r"\x00-@\[-`{-\xa9\xab-\xb4\xb6-\xb9\xbb-\xbf\u02c6-\u02df\u2010-\u206f"
+CUTS = (rf"▁*(?:[{SIGNS}]+|[^{SIGNS}▁]+)|▁+", "▁*[^▁]+|▁+")
 UNKNOWN_PENALTY, BARRED = 10.0, -1e8
 
 
@@ -44,11 +47,9 @@ class PieceLattice:
         self.prefixes = {p[:k]: None for p in self.pieces for k in range(1, len(p))}
         self.prefixes |= {p: (score, (i,)) for p, (score, i) in self.pieces.items()}
         self.n_best = n_best
-        # Control characters that no longer piece holds are parts of their own.
-        inside = {c for p in self.pieces if len(p) > 1 for c in p}
-        alone = "".join(re.escape(chr(c)) for c in range(32) if chr(c) not in inside)
-        self.cutter = re.compile(f"▁*[^▁{alone}]+|▁+|[{alone}]" if alone else "▁*[^▁]+|▁+")
-        self.cuts = not any(re.search("[^▁]▁", p) for p in self.pieces)
+        # The finest cut that leaves every piece whole: at changes between
+        # signs and letters, else before each run of spaces, else none.
+        self.cutter = next((c for c in map(re.compile, CUTS) if all(c.findall(p) == [p] for p in self.pieces)), None)
         self.memo: dict[str, tuple[float, tuple[int, ...], float]] = {}
         self.ranked: dict[str, list[tuple[float, tuple[int, ...]]]] = {}
 
@@ -56,7 +57,7 @@ class PieceLattice:
         if not text:
             return []
         text = "▁" + text.replace(" ", "▁")
-        return self.cutter.findall(text) if self.cuts else [text]
+        return self.cutter.findall(text) if self.cutter else [text]
 
     def edges(self, part: str) -> list[tuple[int, int, float, tuple[int, ...]]]:
         """(from, to, score, ids) of the part's lattice, by start."""
