@@ -111,6 +111,18 @@ def sketch(feats: np.ndarray) -> np.ndarray:
 
 
 
+def packed(feats: np.ndarray) -> bytes:
+    """The upper 48 bits of each hash: within a pair of sets of n shingles two of them
+    agree by chance with probability n * n / 2**48."""
+    return feats.view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 6, 8), np.uint8)
+    out[:, 2:] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return out.view(np.uint64).ravel()
+
+
 def _set_name(feats: np.ndarray) -> tuple[int, int]:
     a = int(mix(feats ^ np.uint64(0x1F123BB5)).sum(dtype=np.uint64))
     b = int(mix(feats + np.uint64(0x7F4A7C159E37)).sum(dtype=np.uint64))
@@ -215,21 +227,29 @@ def jaccard_classes(docs: DataFrame, *, n: int = 5, num: int = 80, den: int = 10
                 for feats in shingle_sets(raw, offsets, n):
                     if len(feats) and (v := _set_name(feats)[0]) not in seen:
                         seen.add(v)
-                        rows.append((v, len(feats), feats.tobytes(), sketch(feats)))
+                        rows.append((v, len(feats), packed(feats), sketch(feats)))
                 if rows:
                     v, size, blob, sk = zip(*rows, strict=True)
                     cols = [pa.array(v, pa.int64()), pa.array(size, pa.int64()), pa.array(blob, pa.binary()), *[pa.array(c) for c in np.array(sk).T]]
                     yield pa.RecordBatch.from_arrays(cols, ["v", "n", "feats", *SKETCH])
 
-    wanted = _keyed_join(hashed, live.select("th").distinct(), "th").select("text")
+    # Of equal texts the rows with the least identifier are read.
+    lows = sets.groupBy("th").agg(F.min("doc_id").alias("doc_id")).join(live.select("th").distinct(), "th", "left_semi")
+    few = settled(lows, "lows")
+    here = F.broadcast(few) if few.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else few
+    wanted = hashed.join(here.toDF("_th", "_id"), (F.col("th") == F.col("_th")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select("text")
     loaded = wanted.mapInArrow(load, "v long, n long, feats binary, " + ", ".join(f"{c} long" for c in SKETCH))
-    feats = settled(loaded.groupBy("v").agg(F.first("n").alias("n"), F.first("feats").alias("feats"), *[F.first(c).alias(c) for c in SKETCH]), "feats")
+    loaded = settled(loaded.withColumn("id", F.monotonically_increasing_id()), "feats")
+    # Equal texts in several tasks give a set again: only the rows to leave out move.
+    first = loaded.groupBy("v").agg(F.min("id").alias("low"), F.count(F.lit(1)).alias("times")).where("times > 1")
+    again = settled(loaded.select("v", "id").join(first, "v").where("id > low").select("id"), "again")
+    feats = _keyed_join(loaded, again, "id", "left_anti").drop("id")
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(0, batch.num_rows, 512):
                 part = batch.slice(k, 512)
-                keys = [signatures(np.frombuffer(x, np.uint64), num, den, spread) for x in part.column(1).to_pylist()]
+                keys = [signatures(unpacked(x), num, den, spread) for x in part.column(1).to_pylist()]
                 owners = np.repeat(part.column(0).to_numpy(), [len(x) for x in keys])
                 rows = [(b, x.tobytes(), o.tobytes()) for b, x, o in _bucketed(np.concatenate(keys), owners, buckets)]
                 yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in enumerate((pa.int32(), pa.binary(), pa.binary()))], ["bucket", "keys", "owners"])
@@ -283,13 +303,19 @@ def jaccard_classes(docs: DataFrame, *, n: int = 5, num: int = 80, den: int = 10
     def verified(near: DataFrame) -> DataFrame:
         side = lambda x: feats.select(F.col("v").alias(x), F.col("feats").alias(f"{x}_feats"))
         near = settled(near, "near")
-        both = near.join(side("a"), "a").join(side("b"), "b")
+        # Sets stay where they are read if the pairs are few enough to be sent: then
+        # only the second members' sets, and each hub's once, meet in a shuffle.
+        small = near.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+        sent = F.broadcast(near) if small else near
+        hubs = sent.select("a").distinct()
+        firsts = side("a").join(F.broadcast(hubs) if small else hubs, "a", "left_semi")
+        both = side("b").join(sent, "b").join(firsts, "a")
 
         def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 keep = []
                 for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                    x, y = unpacked(x), unpacked(y)
                     z = np.sort(np.concatenate((x, y)))
                     both = int((z[1:] == z[:-1]).sum())
                     keep.append(den * both >= num * (len(x) + len(y) - both))
