@@ -28,9 +28,10 @@ ASSIGN = "(" + "|".join(map(_ANY, ("password", "passwd", "secret", "token"))) +
 ACCESS = "AKIA[A-Z0-9]{12,}"
 HEX = "(?<![0-9a-f])[0-9a-f]{32,}"
 KINDS = ("assign", "access", "hex", "ident", "weak", "endpoint")
-# The weak patterns.
+# The weak patterns. A '=' is padding at a token's end, and else stands
+# between a key and its token.
 IDENT = "(?:" + "|".join(map(_ANY, ("username", "user", "login", "account"))) + "|" + _ANY("client") + "_?" + _ANY("id") + "|" + _ANY("key") + "_?" + _ANY("id") + r""")["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._-]{3,64}"""
-WEAK = "(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_-]{0,40}[0-9])(?=[0-9+/_-]{0,40}[A-Za-z])[A-Za-z0-9+/_-]{20,80}(?![A-Za-z0-9+/_-])"
+WEAK = "(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,40}[0-9])(?=[0-9+/_-]{0,40}[A-Za-z])[A-Za-z0-9+/_-]{20,80}(?![A-Za-z0-9+/_-])(?:={1,2}(?![A-Za-z0-9+/_=-]))?"
 ENDPOINT = r"(?:https?|ftp|postgres|mysql|redis|amqp|s3)://[^\x20\x09-\x0D\"'<>]+"
 #: Rows with linked parts are sent to all executors up to this count.
 BROADCAST_ROWS = 100_000
