@@ -29,9 +29,10 @@ ACCESS = "AKIA[A-Z0-9]{12,}"
 HEX = "(?<![0-9a-f])[0-9a-f]{32,}"
 KINDS = ("assign", "access", "hex", "ident", "weak", "endpoint")
 # The weak patterns. A '=' is padding at a token's end, and else stands
-# between a key and its token.
+# between a key and its token. A token is a whole run, however long; possessive steps
+# read each run a bounded number of times.
 IDENT = "(?:" + "|".join(map(_ANY, ("username", "user", "login", "account"))) + "|" + _ANY("client") + "_?" + _ANY("id") + "|" + _ANY("key") + "_?" + _ANY("id") + r""")["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._-]{3,64}"""
-WEAK = "(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,40}[0-9])(?=[0-9+/_-]{0,40}[A-Za-z])[A-Za-z0-9+/_-]{20,80}(?![A-Za-z0-9+/_-])(?:={1,2}(?![A-Za-z0-9+/_=-]))?"
+WEAK = "(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])(?=[0-9+/_-]*+[A-Za-z])[A-Za-z0-9+/_-]{20,}+(?:={1,2}(?![A-Za-z0-9+/_=-]))?"
 ENDPOINT = r"(?:https?|ftp|postgres|mysql|redis|amqp|s3)://[^\x20\x09-\x0D\"'<>]+"
 #: Rows with linked parts are sent to all executors up to this count.
 BROADCAST_ROWS = 100_000
@@ -98,8 +99,8 @@ def _link(rows: DataFrame, reach: int) -> DataFrame:
 
     weak = parts(F.col("weak")).where(~_overlapping(F.col("base"), F.col("x"))).select("row", "scope", F.col("x").alias("w"))
     other = parts(F.concat("ident", "endpoint", "access")).select("row", "scope", F.col("x").alias("o"))
-    weak = weak.withColumn("bin", F.floor(F.col("w.s") / F.lit(reach)))
-    low, high = F.floor((F.col("o.s") - F.lit(reach + 80)) / F.lit(reach)), F.floor((F.col("o.e") + F.lit(reach)) / F.lit(reach))
+    weak = weak.withColumn("bin", F.explode(F.sequence(F.floor(F.col("w.s") / F.lit(reach)), F.floor(F.col("w.e") / F.lit(reach)))))
+    low, high = F.floor((F.col("o.s") - F.lit(reach)) / F.lit(reach)), F.floor((F.col("o.e") + F.lit(reach)) / F.lit(reach))
     other = other.withColumn("bin", F.explode(F.sequence(low, high)))
     meets = (F.col("w.s") < F.col("o.e") + reach) & (F.col("o.s") < F.col("w.e") + reach)
     apart = (F.col("w.e") <= F.col("o.s")) | (F.col("o.e") <= F.col("w.s"))

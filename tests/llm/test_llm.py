@@ -332,6 +332,15 @@ def test_redaction(spark, docs, empty):
     assert redact_secrets(one).first()["text"] == "AWS_ACCESS_KEY_ID=[SECRET]\nAWS_SECRET_ACCESS_KEY=[SECRET]\n"
 
 
+def test_long_secrets(spark):
+    """Runs of over 80 characters, first digits after 40 letters, and what lies near a long run's end."""
+    long, late = "aB3/" * 22 + "xY", "abcdefghij" * 5 + "7"
+    texts = [f"user: alice9 {long}== end", f"user: alice9 {late} end", f"{'aB3/' * 300} user: alice9", f"user: alice9 {'abcdefghij' * 5} end"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in redact_secrets(df).collect()}
+    assert [got[k] for k in range(4)] == ["user: alice9 [SECRET] end", "user: alice9 [SECRET] end", "[SECRET] user: alice9", texts[3]]
+
+
 # ---- 8
 
 
