@@ -2,11 +2,11 @@ r"""Secret scans with multipart credential linking, in DataFrame operations only
 
 Base spans are the leftmost non-overlapping matches of three fixed patterns.
 Weak parts (identifiers, bare secret-like tokens, endpoints) are too common to
-report alone: a weak secret is reported, with what completes it, only when its
-interval, widened by `reach` characters, meets the interval of a complementary
-part (an identifier, an endpoint or an access identifier) in the same scope. A
-scope is a text between blank lines. The interval join runs on bins of `reach`
-characters of rows that have both kinds of part; texts are never shuffled.
+report alone: a weak secret is reported, with what completes it, only when a
+complementary part (an identifier, an endpoint or an access identifier) that doesn't
+overlap it is in the same scope, at any distance or, where `reach` is given, under
+that many characters away. A scope is a text between blank lines. Parts of rows that
+have both kinds meet by row and scope; texts are never shuffled.
 
 A null text counts as empty (no span). A null identifier is kept. Repeated rows
 are scanned one by one. Extra columns are ignored by the scan and kept by the
@@ -15,7 +15,7 @@ redaction; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinfold.llm.shared import settled
@@ -68,7 +68,7 @@ def _overlapping(spans: Column, x: Column) -> Column:
     return F.exists(spans, lambda y: (y["s"] < x["e"]) & (x["s"] < y["e"]))
 
 
-def find_secrets(docs: DataFrame, *, reach: int = 200, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+def find_secrets(docs: DataFrame, *, reach: int | None = None, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """Row by row: row (its number here), doc_id, kept_<column> for each of keep, the
     counts, base and linked (arrays of s, k, e, sorted)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -88,24 +88,27 @@ def find_secrets(docs: DataFrame, *, reach: int = 200, id_col: str = "doc_id", t
     return rows.join(F.broadcast(linked) if few else linked, "row", "left").select("row", "doc_id", *[f"kept_{c}" for c in keep], "n_assign", "n_access", "n_hex", "base", F.coalesce("linked", F.array().cast(_SPANS)).alias("linked"))
 
 
-def _link(rows: DataFrame, reach: int) -> DataFrame:
-    """row, linked: weak secrets near a complementary part of their scope, and
-    those identifiers and endpoints. Parts meet by row, scope and bin."""
+def _link(rows: DataFrame, reach: int | None) -> DataFrame:
+    """row, linked: weak secrets with a complementary part apart from them in their
+    scope, and those identifiers and endpoints. Each part looks for the nearest part
+    of the other side before and after it, so no pairs are made."""
 
-    def parts(spans: Column) -> DataFrame:
+    def parts(spans: Column, weak: bool) -> DataFrame:
         one = rows.select("row", "scopes", "base", F.explode(spans).alias("x"))
         scope = F.size(F.filter("scopes", lambda b: b < F.col("x.s")))
-        return one.select("row", "base", scope.alias("scope"), "x")
-
-    weak = parts(F.col("weak")).where(~_overlapping(F.col("base"), F.col("x"))).select("row", "scope", F.col("x").alias("w"))
-    other = parts(F.concat("ident", "endpoint", "access")).select("row", "scope", F.col("x").alias("o"))
-    weak = weak.withColumn("bin", F.explode(F.sequence(F.floor(F.col("w.s") / F.lit(reach)), F.floor(F.col("w.e") / F.lit(reach)))))
-    low, high = F.floor((F.col("o.s") - F.lit(reach)) / F.lit(reach)), F.floor((F.col("o.e") + F.lit(reach)) / F.lit(reach))
-    other = other.withColumn("bin", F.explode(F.sequence(low, high)))
-    meets = (F.col("w.s") < F.col("o.e") + reach) & (F.col("o.s") < F.col("w.e") + reach)
-    apart = (F.col("w.e") <= F.col("o.s")) | (F.col("o.e") <= F.col("w.s"))
-    pairs = weak.join(other, ["row", "scope", "bin"]).where(meets & apart)
-    found = pairs.select("row", F.col("w").alias("x")).unionByName(pairs.where("o.k <> 1").select("row", F.col("o").alias("x"))).distinct()
+        return one.select("row", "base", scope.alias("scope"), "x", F.lit(weak).alias("weak"))
+
+    weak = parts(F.col("weak"), True).where(~_overlapping(F.col("base"), F.col("x")))
+    is_weak = F.col("weak")
+    both = weak.unionByName(parts(F.concat("ident", "endpoint", "access"), False)).drop("base")
+    # On `a` a weak secret's start meets the others' ends, on `b` its end their starts.
+    both = both.withColumn("a", F.when(is_weak, F.col("x.s")).otherwise(F.col("x.e"))).withColumn("b", F.when(is_weak, F.col("x.e")).otherwise(F.col("x.s")))
+    up = lambda c: Window.partitionBy("row", "scope").orderBy(c).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    down = lambda c: up(F.col(c).desc())
+    of_weak = F.least(F.col("a") - F.max(F.when(~is_weak, F.col("a"))).over(up("a")), F.min(F.when(~is_weak, F.col("b"))).over(down("b")) - F.col("b"))
+    of_other = F.least(F.min(F.when(is_weak, F.col("a"))).over(down("a")) - F.col("a"), F.col("b") - F.max(F.when(is_weak, F.col("b"))).over(up("b")))
+    gap = F.when(is_weak, of_weak).otherwise(of_other)
+    found = both.withColumn("gap", gap).where(F.col("gap").isNotNull() if reach is None else F.col("gap") < reach).where("weak or x.k <> 1")
     return found.groupBy("row").agg(F.array_sort(F.collect_list("x")).alias("linked"))
 
 
@@ -115,7 +118,7 @@ def secret_report(docs: DataFrame, **options) -> DataFrame:
     return got.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.encode(_listed(F.col("base")), "utf-8"), 256).alias("base_sha256"), _listed(F.array_sort(F.concat("base", "linked"))).alias("spans"))
 
 
-def redact_secrets(docs: DataFrame, *, mark: str = "[SECRET]", reach: int = 200, text_col: str = "text", **options) -> DataFrame:
+def redact_secrets(docs: DataFrame, *, mark: str = "[SECRET]", reach: int | None = None, text_col: str = "text", **options) -> DataFrame:
     """docs with every base span and every linked weak secret replaced by mark;
     overlapping spans are replaced together. All columns are kept."""
     got = find_secrets(docs, reach=reach, text_col=text_col, keep=tuple(docs.columns), **options)

@@ -341,6 +341,15 @@ def test_long_secrets(spark):
     assert [got[k] for k in range(4)] == ["user: alice9 [SECRET] end", "user: alice9 [SECRET] end", "[SECRET] user: alice9", texts[3]]
 
 
+def test_scopes_bound_the_links(spark):
+    key, gap = "q7Wx9Zk2Lm4Np8Rt6Vb1", " filler" * 100
+    texts = [f"user: alice9{gap}\nkey {key} end", f"key {key}{gap} https://h.example/x", f"user: alice9{gap}\n\n{key} end", f"https://h.example/{key}", f"{key} near user: alice9{gap} {key[::-1]}"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kinds = lambda **o: {r["doc_id"]: [x.split(":")[0] for x in r["spans"].split(",") if x] for r in secret_report(df, **o).collect()}
+    assert kinds() == {0: ["ident", "weak"], 1: ["weak", "endpoint"], 2: [], 3: [], 4: ["weak", "ident", "weak"]}
+    assert kinds(reach=200) == {0: [], 1: [], 2: [], 3: [], 4: ["weak", "ident"]}
+
+
 # ---- 8
 
 
