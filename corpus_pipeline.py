@@ -1,7 +1,7 @@
 """From raw documents to encoded text: the stages of one corpus build.
 
-quality rules drop rejected documents; the n-gram Jaccard join keeps the document
-that names each component; secret scans replace secrets in the texts; mixing
+quality rules drop rejected rows; the n-gram Jaccard join keeps the row that names
+each component; secret scans replace secrets in the texts; mixing
 samples documents by calibrated probabilities; segmentation encodes what is left.
 No stage can be written as one SQL statement over whole tables (hashed n-gram
 models, signatures, raking), so ORACLE_SQL is None and the tests hold run()
@@ -21,24 +21,26 @@ from kinfold.llm.secrets import redact_secrets
 from kinfold.llm.segment import encode_documents
 from kinfold.llm.shared import new_folder, settled
 
-#: Up to this many identifiers are sent to all executors; beyond, joins shuffle.
+#: Up to this many row numbers are sent to all executors; beyond, joins shuffle.
 BROADCAST_IDS = 500_000
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """docs whose doc_id isn't among ids (a null doc_id never is)."""
-    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_anti")
-
-
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    verdict = quality_rules(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return _without(docs, settled(verdict.where(~F.col("kept")).select("doc_id").distinct(), "rejected"))
+    """Each row by its own verdict, which the row carries."""
+    verdict = quality_rules(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), keep=tuple(docs.columns))
+    return verdict.where("kept").select(*[F.col(f"kept_{c}").alias(c) for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    classes = jaccard_classes(docs, n=5, num=80, den=100)
-    return _without(docs, settled(classes.where("component_id <> doc_id").select("doc_id").distinct(), "copies"))
+    """One row of each component: that of the least doc_id (nulls last), of repeated
+    rows the one written first."""
+    # The row number holds from here on, because the rows are written.
+    rows = settled(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    named = rows.withColumn("_key", F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.col("_row").alias("row")))
+    classes = jaccard_classes(named, n=5, num=80, den=100, id_col="_key")
+    copies = settled(classes.where("component_id.row <> doc_id.row").select(F.col("doc_id.row").alias("_row")), "copies")
+    few = copies.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    return rows.join(F.broadcast(copies) if few else copies, "_row", "left_anti").select(*docs.columns)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

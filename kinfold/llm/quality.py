@@ -146,8 +146,8 @@ def fit_ratio(docs: DataFrame, labels: DataFrame, *, most_labelled: int, id_col:
     return np.log(p_good / p_raw).astype(np.float32)
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, *, threshold: float = -0.38, most_labelled: int = 20_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, the counted figures, base_failed, llr, kept."""
+def quality_rules(docs: DataFrame, labels: DataFrame, *, threshold: float = -0.38, most_labelled: int = 20_000, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the counted figures, base_failed, llr, kept; kept_<column> for each of keep."""
     ratio = fit_ratio(docs, labels, most_labelled=most_labelled, id_col=id_col, text_col=text_col)
     kind = docs.schema[id_col].dataType.simpleString()
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -165,6 +165,8 @@ def quality_rules(docs: DataFrame, labels: DataFrame, *, threshold: float = -0.3
                 failed = (got["n_words"] < LEAST_WORDS) | (100 * got["n_repeat_words"] > MOST_REPEATED * got["n_words"])
                 score = np.round(score, 9)
                 cols = [pa.array(x.astype(np.int64)) for x in got.values()]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *cols, pa.array(failed), pa.array(score), pa.array(~failed & (score >= threshold))], ["doc_id", *got, "base_failed", "llr", "kept"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *cols, pa.array(failed), pa.array(score), pa.array(~failed & (score >= threshold)), *[c.slice(a, b - a) for c in batch.columns[2:]]], ["doc_id", *got, "base_failed", "llr", "kept", *names])
 
-    return docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).mapInArrow(run, f"doc_id {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, llr double, kept boolean")
+    names = [f"kept_{c}" for c in keep]
+    more = "".join(f", `{name}` {docs.schema[c].dataType.simpleString()}" for name, c in zip(names, keep, strict=True))
+    return docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), *[F.col(c).alias(f"kept_{c}") for c in keep]).mapInArrow(run, f"doc_id {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, llr double, kept boolean{more}")

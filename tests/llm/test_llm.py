@@ -462,3 +462,16 @@ def test_pipeline(spark, data):
             assert ids(out) == ids(seen) and not out.where("not round_trip").count()
         seen = out
     assert 0 < seen.count() < docs.count()
+
+
+def test_pipeline_decides_by_row(spark, tmp_path):
+    r = random.Random(23)
+    one, two, three, four = (prose(120, r) for _ in range(4))
+    rows = [(1, one), (1, one), (None, two), (None, two), (None, "short"), (7, "short"), (7, three), (None, four), (9, four), (5, four)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    spark.createDataFrame([], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    kept = corpus_pipeline.quality(spark, docs, str(tmp_path))
+    assert Counter(tuple(x) for x in kept.collect()) == Counter(x for x in rows if x[1] != "short")
+    left = corpus_pipeline.near_duplicates(spark, kept, str(tmp_path))
+    assert left.columns == docs.columns
+    assert Counter(tuple(x) for x in left.collect()) == Counter([(1, one), (None, two), (7, three), (5, four)])
