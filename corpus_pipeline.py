@@ -53,7 +53,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     encoded = encode_documents(docs, piece_model(), n_best=3)
-    return encoded.select("doc_id", "n_bytes", F.size("ids").cast("long").alias("n_pieces"), "ids", "scores", "round_trip")
+    return encoded.select("doc_id", "n_bytes", F.size("ids").cast("long").alias("n_pieces"), "ids", "other_ids", "scores", "round_trip")
 
 
 STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("secrets", secrets), ("mixing", mixing), ("encoding", encoding)]

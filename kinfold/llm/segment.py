@@ -152,9 +152,34 @@ class PieceLattice:
                 heapq.heappush(heap, (-(alpha[i] + score + behind), i, score + behind, own + ids))
         return out
 
+    def options(self, part: str, ids: tuple[int, ...]) -> list[tuple[float, tuple[int, ...]]]:
+        """best(part) with ids, the first choice, in front: among equal scores the two
+        searches may differ, and no segmentation may come twice."""
+        got = self.best(part)
+        if got[0][1] == ids:
+            return got
+        return [(got[0][0], ids), *[x for x in got if x[1] != ids]][: self.n_best]
+
     def encode(self, text: str) -> tuple[list[int], list[float], list[list[tuple[int, int]]]]:
         """Ids of the best segmentation, the n_best scores, and for each of these the
         (part, rank) choices that aren't a part's first."""
+        _, rows, scores, choices = self._search(text)
+        return [i for x in rows for i in x[1]], scores, choices
+
+    def encode_all(self, text: str) -> tuple[list[list[int]], list[float]]:
+        """The ids of the n_best segmentations, best first, and their scores."""
+        parts, rows, scores, choices = self._search(text)
+        best, out = [i for x in rows for i in x[1]], []
+        for choice in choices:
+            ids = best
+            for k, r in sorted(choice, reverse=True):  # later parts first: earlier places hold
+                at = sum([len(x[1]) for x in rows[:k]])
+                ids = [*ids[:at], *self.ranked[parts[k]][r][1], *ids[at + len(rows[k][1]) :]]
+            out.append(ids)
+        return out, scores
+
+    def _search(self, text: str) -> tuple[list[str], list, list[float], list[list[tuple[int, int]]]]:
+        """Parts, their first choices, and encode's scores and choices."""
         if len(self.memo) > MEMO_PARTS:
             self.memo.clear()
         if len(self.ranked) > MEMO_PARTS:
@@ -166,14 +191,13 @@ class PieceLattice:
                 got = memo[p] = self.first(p)
             rows.append(got)
         if not rows:
-            return [], [], []
-        ids = [i for x in rows for i in x[1]]
+            return [], [], [], []
         score = sum([x[0] for x in rows])
         spots = [k for loss, k in heapq.nsmallest(self.n_best - 1, zip([x[2] for x in rows], range(len(rows)))) if loss < -NEVER]  # noqa: B905
         lists = []
         for k in spots:
             if parts[k] not in self.ranked:
-                self.ranked[parts[k]] = self.best(parts[k])
+                self.ranked[parts[k]] = self.options(parts[k], rows[k][1])
             lists.append(self.ranked[parts[k]])
         # Best first over the ranks chosen at these spots.
         start = (0,) * len(spots)
@@ -188,7 +212,7 @@ class PieceLattice:
                     if nxt not in seen:
                         seen.add(nxt)
                         heapq.heappush(heap, (loss + options[pick[j]][0] - options[nxt[j]][0], nxt))
-        return ids, scores, choices
+        return parts, rows, scores, choices
 
     def decode(self, ids: list[int]) -> str:
         names, byte = self.names, self.bytes_of
@@ -209,8 +233,9 @@ def lattice(model_file: str, n_best: int) -> PieceLattice:
 
 
 def encode_documents(docs: DataFrame, model_file: str, *, n_best: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_bytes, ids (best segmentation), scores (n best, best first) and
-    round_trip: decoding the ids gives the text (its '▁' read as spaces)."""
+    """doc_id, n_bytes, ids (best segmentation), other_ids (the second to the n-th),
+    scores (n best, best first) and round_trip: decoding each of the n id lists gives
+    the text (its '▁' read as spaces)."""
     kind = docs.schema[id_col].dataType.simpleString()
     text = F.coalesce(F.col(text_col), F.lit(""))
 
@@ -219,13 +244,15 @@ def encode_documents(docs: DataFrame, model_file: str, *, n_best: int = 3, id_co
         for batch in batches:
             for k in range(0, batch.num_rows, 256):
                 part = batch.slice(k, 256)
-                ids, scores, same = [], [], []
+                ids, others, scores, same = [], [], [], []
                 for t in part.column(1).to_pylist():
-                    i, s, _ = model.encode(t)
-                    ids.append(i)
+                    lists, s = model.encode_all(t)
+                    ids.append(lists[0] if lists else [])
+                    others.append(lists[1:])
                     scores.append(s)
-                    same.append(model.decode(i) == t.replace("▁", " "))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(ids, pa.list_(pa.int32())), pa.array(scores, pa.list_(pa.float64())), pa.array(same, pa.bool_())], ["doc_id", "n_bytes", "ids", "scores", "round_trip"])
+                    plain = t.replace("▁", " ")
+                    same.append(all([model.decode(i) == plain for i in lists or [[]]]))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(ids, pa.list_(pa.int32())), pa.array(others, pa.list_(pa.list_(pa.int32()))), pa.array(scores, pa.list_(pa.float64())), pa.array(same, pa.bool_())], ["doc_id", "n_bytes", "ids", "other_ids", "scores", "round_trip"])
 
     rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.octet_length(text).cast("long").alias("n_bytes"))
-    return rows.mapInArrow(run, f"doc_id {kind}, n_bytes long, ids array<int>, scores array<double>, round_trip boolean")
+    return rows.mapInArrow(run, f"doc_id {kind}, n_bytes long, ids array<int>, other_ids array<array<int>>, scores array<double>, round_trip boolean")

@@ -408,6 +408,35 @@ def test_encoding_round_trip(docs, empty):
     assert encode_documents(empty, Q.piece_model()).count() == 0
 
 
+def test_all_n_best_are_returned(spark, docs):
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=Q.piece_model())
+    model = PieceLattice(Q.piece_model(), 3)
+    score_of = {i: s for s, i in model.pieces.values()}
+    text = dict(pairs_of(docs))
+    rows = encode_documents(docs, Q.piece_model()).collect()
+    assert any(len(r["other_ids"]) == 2 for r in rows)
+    for r in rows:
+        lists = [list(r["ids"]), *map(list, r["other_ids"])] if r["scores"] else []
+        assert len(lists) == len(r["scores"]) == len(set(map(tuple, lists)))
+        for ids, score in zip(lists, r["scores"], strict=True):
+            assert sp.decode(ids) == text[r["doc_id"]]
+            if all(i in score_of for i in ids):
+                assert sum(score_of[i] for i in ids) == pytest.approx(score)
+
+
+def test_equal_scores_give_no_segmentation_twice():
+    model = PieceLattice(Q.piece_model(), 3)
+    piece = {p: (-1.0, (k,)) for k, p in enumerate(["a", "aa", "aaa"])}
+    model.pieces = {p: (s, i[0]) for p, (s, i) in piece.items()} | {"▁": (-1.0, 9)}
+    model.longest = {"a": 3, "▁": 1}
+    model.prefixes = piece | {"▁": (-1.0, (9,))}
+    for n in range(1, 9):
+        lists, scores = model.encode_all("a" * n)
+        assert len(set(map(tuple, lists))) == len(lists) == len(scores) and scores == sorted(scores, reverse=True)
+
+
 # ---- 10
 
 
