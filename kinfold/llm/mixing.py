@@ -5,7 +5,9 @@ marginals agree with the targets; each document is then kept with its cell's
 calibrated probability, decided by a hash of its identifier and text. A cell's
 probability is min(1, rate * share / weight); the rate is the one at which the
 expected tokens are `keep` of all, so cells too small for their share are taken
-whole and all others hold exactly their fitted proportions.
+whole and all others hold exactly their fitted proportions. Without `keep` the
+tokens are BUDGET of all, or more where all cells can hold their proportions with
+more (all tokens where the targets are the corpus's own).
 
 A document's topic is a bucket of its most frequent word of five bytes or more
 (ties: the lesser hash); without such a word it is -1. Its tokens are its words.
@@ -31,6 +33,8 @@ DIMS = ("source", "lang", "topic")
 #: windows over the cell table.
 DRIVER_CELLS = 50_000
 ROUNDS, CLOSE = 200, 1e-10
+#: The token budget, as a share of all, where no `keep` is given.
+BUDGET = 0.6
 
 
 def topics_and_tokens(texts: pa.Array, topics: int) -> tuple[np.ndarray, np.ndarray]:
@@ -86,7 +90,7 @@ def tempered(have: np.ndarray, temper: float) -> np.ndarray:
     return t / t.sum()
 
 
-def cell_probabilities(cells: DataFrame, *, temper: float, targets: dict[str, dict] | None, keep: float = 0.6, driver_cells: int = DRIVER_CELLS) -> DataFrame:
+def cell_probabilities(cells: DataFrame, *, temper: float, targets: dict[str, dict] | None, keep: float | None = None, driver_cells: int = DRIVER_CELLS) -> DataFrame:
     """cells: source, lang, topic, tokens. Adds share and prob."""
     cells = settled(cells.where("tokens > 0"), "cells")
     if cells.limit(driver_cells + 1).count() <= driver_cells:
@@ -111,7 +115,8 @@ def cell_probabilities(cells: DataFrame, *, temper: float, targets: dict[str, di
         w, f = weight[some][order], share[some][order]
         used = np.concatenate(([0.0], np.cumsum(w)[:-1]))
         left = np.cumsum(f[::-1])[::-1]
-        rates = (keep * weight.sum() - used) / left
+        tokens = keep * weight.sum() if keep is not None else max(BUDGET * weight.sum(), (w / f).min(initial=np.inf))
+        rates = (tokens - used) / left
         fits = rates * f <= w * (1 + 1e-12)
         rate = rates[fits.argmax()] if fits.any() else np.inf
         prob = np.where(some, np.minimum(1.0, rate * share / weight), 0.0)
@@ -141,15 +146,16 @@ def cell_probabilities(cells: DataFrame, *, temper: float, targets: dict[str, di
         if done:
             break
     # The rate as above; the order of use is found by bisection over sums.
-    low, high = 0.0, fitted.where("share > 0").agg(F.max(F.col("tokens") / F.col("share"))).first()[0]
+    exact, high = fitted.where("share > 0").agg(F.min(F.col("tokens") / F.col("share")), F.max(F.col("tokens") / F.col("share"))).first()
+    low, wanted = 0.0, keep * total if keep is not None else max(BUDGET * total, exact)
     for _ in range(60):
         rate = (low + high) / 2
         got = fitted.agg(F.sum(F.least(F.col("tokens").cast("double"), F.lit(rate) * F.col("share")))).first()[0]
-        low, high = (rate, high) if got < keep * total else (low, rate)
+        low, high = (rate, high) if got < wanted else (low, rate)
     return fitted.withColumn("prob", F.least(F.lit(1.0), F.lit(high) * F.col("share") / F.col("tokens"))).select(*cells.columns, "share", "prob")
 
 
-def mix_sources(docs: DataFrame, *, temper: float = 0.7, topics: int = 8, targets: dict[str, dict] | None = None, keep: float = 0.6, seed: int = 7, keep_empty: bool = False, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang", driver_cells: int = DRIVER_CELLS) -> DataFrame:
+def mix_sources(docs: DataFrame, *, temper: float = 0.7, topics: int = 8, targets: dict[str, dict] | None = None, keep: float | None = None, seed: int = 7, keep_empty: bool = False, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang", driver_cells: int = DRIVER_CELLS) -> DataFrame:
     """All rows and columns of docs, and _topic, _tokens, _prob, _selected (columns of
     these names are replaced)."""
     rows = described(docs, topics=topics, text_col=text_col)

@@ -254,6 +254,14 @@ def test_mixing(spark, docs, empty):
     assert mix_sources(empty.drop("_prob")).count() == 0
 
 
+def test_mixing_drops_only_what_targets_ask(spark):
+    rows = [(k, "words of some text here", lang, src) for k, (lang, src) in enumerate([("en", "a"), ("en", "a"), ("de", "b"), ("en", "b")] * 5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    for n in (50_000, 0):
+        assert all(r["_selected"] and r["_prob"] == pytest.approx(1) for r in mix_sources(df, temper=1.0, driver_cells=n).collect())
+        assert all(r["_prob"] == pytest.approx(0.3) for r in mix_sources(df, temper=1.0, keep=0.3, driver_cells=n).collect())
+
+
 # ---- 6
 
 
