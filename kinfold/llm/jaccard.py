@@ -3,30 +3,39 @@
 A document's set is its distinct n-word shingles (64-bit hashes; words are
 lower-cased in A-Z). Two documents link when den * |intersection| >= num *
 |union|. Sets are put in size bands whose upper end is the lower end over the
-similarity, so linked sets lie in the same or in neighbouring bands; in band i
-linked sets differ in at most k_i shingles. The shingle domain is partitioned
-twice: into n1 parts of which at least one differs in one shingle at most, each
-into three parts of which two must then agree. A signature is the hash of what a
-set has in two of three parts; sets that link share one.
+similarity, so linked sets lie in the same or in neighbouring bands and differ in
+a bounded number of shingles. The shingle domain is partitioned twice: into n1
+parts, of which some differ in k2 shingles at most, each into n2 pieces of which
+n2 - k2 must then agree. A signature is the hash of what a set has in n2 - k2
+pieces of a part; sets that link share one that isn't empty, or, if a set has
+too few full pieces for that (rare by the choice of n1 and n2), an empty one.
 
 Before that, equal sets are merged into classes, and classes are dropped which
 provably link with nothing: more than (1 - similarity) of the set occurs in no
 other set, counted over the half of the shingle space that is odd.
 
-Candidate pairs are (hub, member) of each signature's group, the hub being the
-member that shares most signatures; pairs of a group whose members are still in
-different components afterwards are checked one and all. Every candidate passes
-a parity-sketch bound and then the exact comparison of whole sets.
+Round one takes the signatures of a few parts and links each group's members to
+its first one, so most copies get one label. Round two takes all signatures and
+keeps the groups with two labels or more; their members meet with parity sketches,
+and pairs of two labels that sizes and sketches allow are candidates. Groups over
+`block` members are dealt into blocks that meet two by two in tasks of their own;
+signatures of over `hot_key` sets go there at once, never through one task. Every
+candidate passes the exact comparison of whole sets.
 
 Nulls and texts without words have an empty set and link with nothing. A null
-identifier takes part but never names a component. Repeated rows are copies.
-Extra columns are ignored; an empty table gives an empty result.
+identifier takes part but never names a component. Repeated rows and equal sets
+are copies: one class, one component. Ties don't arise (links are symmetric, the
+least identifier names). A very long text is one large set; memory follows the
+longest text. Extra columns are ignored, whatever their names; an empty table gives
+an empty result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 from itertools import combinations
+from math import comb, exp, log
 
 import numpy as np
 import pyarrow as pa
@@ -40,66 +49,106 @@ from kinfold.llm.textbytes import chunks, mix, shingle_sets
 #: Up to this many keys are sent to all executors; beyond, the join shuffles.
 BROADCAST_ROWS = 500_000
 SKETCH_WORDS = 8
-#: Pieces of the one part of sets that differ in up to 0, 1, 2, 3 shingles.
-ONE_PART = (1, 4, 6, 7)
-#: Entries of a row of signature groups (a group is never divided).
-ROW_ENTRIES = 1 << 16
+SKETCH = [f"s{k}" for k in range(SKETCH_WORDS)]
+#: Parts whose signatures the first round takes.
+FIRST_PARTS = 4
+#: Of unrelated sets, one in so many may share an empty signature.
+RARE = 3000
+#: Texts are read so many bytes at a time, and entries leave a task so many at a time.
+READ_BYTES, HELD = 512 << 10, 1 << 19
 
 
 def bands(most: int, num: int, den: int) -> list[tuple[int, int]]:
+    """Size bands up to most and one more."""
     out, low = [], 1
-    while low <= most:
+    while not out or out[-1][0] <= most:
         high = max(low, low * den // num)
         out.append((low, high))
         low = high + 1
     return out
 
 
-def plan(high: int, num: int, den: int) -> tuple[int, int, int, int]:
-    """(n1, n2, k2, bad) of the band that ends at high: sets of this and the band
-    below that link differ in at most k shingles, so in more than k2 in at most bad
-    of the n1 parts; a part has n2 pieces of which n2 - k2 must then agree. Small
-    sets have one part and all choices of pieces; the rest of n1 is for empty ones."""
+def _at_least(n: int, p: float, least: int) -> float:
+    """P(Binomial(n, p) >= least); beyond 200 trials its Chernoff bound."""
+    if least <= 0 or p >= 1:
+        return 1.0
+    if least > n:
+        return 0.0
+    if n <= 200:
+        return sum(comb(n, j) * p**j * (1 - p) ** (n - j) for j in range(least, n + 1))
+    a = least / n
+    if a <= p:
+        return 1.0
+    return exp(-n * (a * log(a / p) + ((1 - a) * log((1 - a) / (1 - p)) if a < 1 else 0)))
+
+
+def differences(n: int, high: int, num: int, den: int) -> int:
+    """In so many shingles can a set of n differ from one of high or fewer that it links with."""
+    return (min(n * den // num, high) + n) * (den - num) // (den + num)
+
+
+def _empty_share(n: int, n1: int, n2: int, k2: int, most: int) -> float:
+    """The chance that a set of n shingles sends one given empty signature."""
+    few = min(k2, most)
+    if n1 == 1:  # all shingles lie in few of the k2 pieces that the choice leaves out
+        return comb(k2, few) * (few / n2) ** n
+    bare = (1 - 1 / (n1 * n2)) ** n
+    hole = sum(comb(n2, f) * (1 - bare) ** f * bare ** (n2 - f) for f in range(few + 1))
+    return bare ** (n2 - k2) * _at_least(n1 - 1, hole, n1 - most // (k2 + 1) - 1)
+
+
+@cache
+def plan(low: int, high: int, num: int, den: int) -> tuple[int, int, int]:
+    """(n1, n2, k2) for sets of low to high shingles: sets that link differ in at most
+    k shingles, so in more than k2 in at most k // (k2 + 1) of the n1 parts. Taken is
+    the plan with the fewest signatures whose empty ones are rare."""
     k = (den - num) * 2 * high // (den + num)
-    if k < len(ONE_PART):
-        return 1, ONE_PART[k], k, 0
-    return k // 2 + 1 + (k // 2 + 16) // 32, 3, 1, k // 2
-
-
-def signatures(feats: np.ndarray, num: int, den: int, all_bands: list[tuple[int, int]]) -> np.ndarray:
-    """Signatures of one sorted distinct non-empty set."""
-    n = len(feats)
-    own = int(np.searchsorted([hi for _, hi in all_bands], n))
+    options = []
+    for k2 in {min(k, 1), k} if k <= 8 else {1}:
+        bad = k // (k2 + 1)
+        for n2 in range(k2 + 1, 13):
+            for slack in {0, 1, 2, 3, 4, 6, 8, *(bad // x for x in (4, 6, 8, 12, 16))} if bad else {0}:
+                n1 = bad + 1 + slack
+                worst = max(_empty_share(n, n1, n2, k2, differences(n, high, num, den)) for n in (low, (low + high) // 2, int(0.8 * high), high) if n)
+                full = high * (n2 - k2) / (n1 * n2)
+                options.append((worst * RARE > 1, bad > 0 and full < 5.5, n1 * comb(n2, k2), n1, n2, k2))
+    return min(options)[3:]
+
+
+def plans(most: int, num: int, den: int) -> list[tuple[int, int, int, int]]:
+    """(band's high end, n1, n2, k2) of all bands."""
+    ends = bands(most, num, den)
+    return [(high, *plan(ends[max(0, i - 1)][0], high, num, den)) for i, (_, high) in enumerate(ends)]
+
+
+def signatures(feats: np.ndarray, num: int, den: int, every: list[tuple[int, int, int, int]], parts: int = 0) -> np.ndarray:
+    """Signatures of one sorted distinct non-empty set; parts: of the first parts only."""
+    own = int(np.searchsorted([x[0] for x in every], len(feats)))
     out = []
-    for i in (own, own + 1):
-        if i < len(all_bands):
-            high = all_bands[i][1]
-        else:
-            low = all_bands[-1][1] + 1
-            high = max(low, low * den // num)
-        n1, n2, k2, bad = plan(high, num, den)
+    for i in range(own, min(own + 2, len(every))):
+        high, n1, n2, k2 = every[i]
+        most = differences(len(feats), high, num, den)
         spot = mix(feats + np.uint64(0x51ED + i))
-        part = ((spot >> np.uint64(32)) % np.uint64(n1 * n2)).astype(np.int64)
-        order = np.argsort(part, kind="stable")
-        at = part[order]
+        piece = ((spot >> np.uint64(32)) % np.uint64(n1 * n2)).astype(np.int64)
+        order = np.argsort(piece, kind="stable")
+        at = piece[order]
         heads = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
         sums = np.zeros(n1 * n2, np.uint64)
         sums[at[heads]] = np.add.reduceat(mix(spot ^ np.uint64(0xA5A5A5A5))[order], heads)
         full = np.zeros(n1 * n2, bool)
         full[at[heads]] = True
         sums, full = sums.reshape(n1, n2), full.reshape(n1, n2)
-        name = np.arange(n1, dtype=np.uint64) + (np.uint64(i) << np.uint64(40))
-        sig, some = [], []
+        # A part with as few full pieces as may differ might share an empty choice only;
+        # with fewer such parts than surely good ones some other part is shared.
+        holes = int((full.sum(axis=1) <= min(k2, most)).sum())
+        bare = holes >= n1 - most // (k2 + 1)
+        take = min(parts, n1) if parts else n1
+        name = np.arange(take, dtype=np.uint64) + (np.uint64(i) << np.uint64(40))
         for j, chosen in enumerate(combinations(range(n2), n2 - k2)):
             s = mix(name + (np.uint64(j) << np.uint64(52)))
             for x in chosen:
-                s = mix(s * np.uint64(3) + sums[:, x])
-            sig.append(s)
-            some.append(full[:, list(chosen)].any(axis=1))
-        holes = int((~np.logical_and.reduce(some)).sum())
-        sig, some = np.concatenate(sig), np.concatenate(some)
-        # With fewer holes than surely good parts a non-empty signature is shared.
-        out.append(sig[some] if holes < n1 - bad else sig)
+                s = mix(s * np.uint64(3) + sums[:take, x])
+            out.append(s if bare else s[full[:take, list(chosen)].any(axis=1)])
     return np.concatenate(out)
 
 
@@ -110,64 +159,128 @@ def sketch(feats: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
-
-def packed(feats: np.ndarray) -> bytes:
-    """The upper 48 bits of each hash: within a pair of sets of n shingles two of them
-    agree by chance with probability n * n / 2**48."""
-    return feats.view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
-
-
-def unpacked(data: bytes) -> np.ndarray:
-    out = np.zeros((len(data) // 6, 8), np.uint8)
-    out[:, 2:] = np.frombuffer(data, np.uint8).reshape(-1, 6)
-    return out.view(np.uint64).ravel()
-
-
 def _set_name(feats: np.ndarray) -> tuple[int, int]:
     a = int(mix(feats ^ np.uint64(0x1F123BB5)).sum(dtype=np.uint64))
     b = int(mix(feats + np.uint64(0x7F4A7C159E37)).sum(dtype=np.uint64))
     return [x - (1 << 64) if x >= 1 << 63 else x for x in (a, b)]
 
 
-def _bucketed(keys: np.ndarray, owners: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Split by the high half of the key; the low half stays as its 32-bit name."""
-    bucket = ((keys >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
-    order = np.argsort(bucket, kind="stable")
-    bucket, keys, owners = bucket[order], keys[order].astype(np.uint32), owners[order]
-    ends = np.flatnonzero(np.append(bucket[1:] != bucket[:-1], True)) + 1 if len(bucket) else []
-    start = 0
-    for end in ends:
-        yield int(bucket[start]), keys[start:end], owners[start:end]
-        start = end
-
-
-def _grouped(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """All (key, owner) of a bucket, distinct, sorted by key then owner."""
-    keys = np.concatenate([np.frombuffer(x, np.uint32) for x in table.column("keys").to_pylist()])
-    owners = np.concatenate([np.frombuffer(x, np.int64) for x in table.column("owners").to_pylist()])
-    order = np.lexsort((owners, keys))
+BLOBS = "bucket int, keys binary, owners binary, labels binary, runs binary"
+
+
+class _Sender:
+    """Holds (key, owner, label) entries and gives them out by bucket: the low 32 bits
+    of the keys, and the owners and labels as runs."""
+
+    def __init__(self, buckets: int):
+        self.buckets, self.held, self.keys, self.facts = buckets, 0, [], []
+
+    def add(self, keys: np.ndarray, owner: int, label: int = 0) -> Iterator[pa.RecordBatch]:
+        self.keys.append(keys)
+        self.facts.append((owner, label))
+        self.held += len(keys)
+        if self.held >= HELD:
+            yield from self.flush()
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        if self.held:
+            each = np.repeat(np.arange(len(self.keys)), [len(x) for x in self.keys])
+            keys, facts = np.concatenate(self.keys), np.array(self.facts, np.int64)
+            bucket = ((keys >> np.uint64(32)) % np.uint64(self.buckets)).astype(np.int32)
+            order = np.argsort(bucket, kind="stable")
+            bucket, keys, each = bucket[order], keys[order].astype(np.uint32), each[order]
+            ends = (np.flatnonzero(np.append(bucket[1:] != bucket[:-1], True)) + 1).tolist()
+            rows = []
+            for a, b in zip([0, *ends[:-1]], ends, strict=True):
+                heads = a + np.flatnonzero(np.concatenate(([True], each[a + 1 : b] != each[a : b - 1])))
+                own = facts[each[heads]]
+                rows.append((int(bucket[a]), keys[a:b].tobytes(), own[:, 0].tobytes(), own[:, 1].tobytes(), np.diff(np.append(heads, b)).astype(np.uint32).tobytes()))
+            kinds = (pa.int32(), *[pa.binary()] * 4)
+            yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in enumerate(kinds)], ["bucket", "keys", "owners", "labels", "runs"])
+        self.held, self.keys, self.facts = 0, [], []
+
+
+def _shared(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct (key, owner) entries of a bucket and their labels whose key has two
+    owners or more, sorted by key and owner."""
+    got = {c: [np.frombuffer(x, t) for x in table.column(c).to_pylist()] for c, t in (("keys", np.uint32), ("owners", np.int64), ("labels", np.int64), ("runs", np.uint32))}
+    keys, runs = np.concatenate(got["keys"]), np.concatenate(got["runs"])
+    owners, labels = (np.repeat(np.concatenate(got[c]), runs) for c in ("owners", "labels"))
+    order = np.argsort(keys, kind="stable")
     keys, owners = keys[order], owners[order]
-    new = np.concatenate(([True], (keys[1:] != keys[:-1]) | (owners[1:] != owners[:-1])))
-    return keys[new], owners[new]
-
-
-def _keyed_join(big: DataFrame, small: DataFrame, on: str, how: str = "left_semi") -> DataFrame:
-    """Send the small side whole only after counting it."""
-    n = small.limit(BROADCAST_ROWS + 1).count()
-    return big.join(F.broadcast(small) if n <= BROADCAST_ROWS else small, on, how)
+    head = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    many = np.repeat(np.minimum.reduceat(owners, head) != np.maximum.reduceat(owners, head), np.diff(np.append(head, len(keys))))
+    keys, owners, labels = keys[many], owners[many], labels[order[many]]
+    order = np.lexsort((owners, keys))
+    keys, owners, labels = keys[order], owners[order], labels[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = (keys[1:] != keys[:-1]) | (owners[1:] != owners[:-1])
+    return keys[new], owners[new], labels[new]
 
 
-def jaccard_classes(docs: DataFrame, *, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First place and size of each run of equal keys."""
+    head = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.empty(0, np.int64)
+    return head, np.diff(np.append(head, len(keys)))
+
+
+def _signed(x: np.ndarray) -> np.ndarray:
+    return x.astype(np.uint64).view(np.int64)
+
+
+def _allowed(table: pa.Table, num: int, den: int) -> pa.Table:
+    """Pairs of two labels that sizes and sketches allow, of all groups of a bucket.
+    Within a group of blocks x < y only members of different sides meet."""
+    empty = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+    got = {c: table.column(c).to_numpy() for c in ("gid", "x", "y", "side", "v", "label", "n")}
+    sketches = np.stack([table.column(c).to_numpy() for c in SKETCH], 1).view(np.uint64)
+    order = np.lexsort((got["v"], got["y"], got["x"], got["gid"]))
+    gid, x, y, side, v, label, n = (got[c][order] for c in ("gid", "x", "y", "side", "v", "label", "n"))
+    sketches = sketches[order]
+    start = np.ones(len(gid), bool)
+    start[1:] = (gid[1:] != gid[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])
+    head = np.flatnonzero(start)
+    size, own = np.diff(np.append(head, len(gid))), x == y
+    found = []
+
+    def near(i: np.ndarray, j: np.ndarray) -> None:
+        a, b = n[i], n[j]
+        keep = (label[i] != label[j]) & (own[i] | (side[i] != side[j])) & (np.minimum(a, b) * den >= np.maximum(a, b) * num)
+        i, j, both = i[keep], j[keep], (a + b)[keep]
+        bits = np.bitwise_count(sketches[i] ^ sketches[j]).sum(axis=1, dtype=np.int64)
+        keep = bits * (den + num) <= both * (den - num)
+        found.append(np.stack((v[i[keep]], v[j[keep]]), 1))
+
+    for s in np.unique(size).tolist():
+        heads = head[size == s]
+        for lag in range(1, s):  # members lag places apart, of all groups of this size
+            step = max(1, (1 << 18) // (s - lag))
+            for k in range(0, len(heads), step):
+                i = (heads[k : k + step, None] + np.arange(s - lag)).ravel()
+                near(i, i + lag)
+    pairs = np.concatenate(found) if found else np.empty((0, 2), np.int64)
+    if not len(pairs):
+        return empty
+    pairs = np.unique(np.sort(pairs, axis=1), axis=0)
+    return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+
+def _few(df: DataFrame) -> DataFrame:
+    """Marked to be sent whole if its rows, counted, are within the bound."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
+def jaccard_classes(docs: DataFrame, *, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text", block: int = 2048, hot_key: int = 1 << 18) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id reachable by links)."""
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     text = F.coalesce(F.col(text_col), F.lit(""))
     source = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
 
     def name_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, raw, offsets in chunks(batch.column(1)):
+            for a, b, raw, offsets in chunks(batch.column(1), READ_BYTES):
                 got = []
                 for feats in shingle_sets(raw, offsets, n):
                     odd = int((feats & np.uint64(1)).sum())
@@ -181,40 +294,28 @@ def jaccard_classes(docs: DataFrame, *, n: int = 5, num: int = 80, den: int = 10
     total, most = classes.agg(F.sum("n"), F.max("n")).first()
     if not total:
         return sets.select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    buckets = max(parts, int(total) // (8 << 20))
-    spread = bands(int(most), num, den)
+    every = plans(int(most), num, den)
+    buckets = max(least, int(total) // (3 << 20))
 
     # Which classes share enough of the odd half with others to have a link?
     def odd_half(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        sender = _Sender(buckets)
         for batch in batches:
-            for _, _, raw, offsets in chunks(batch.column(0), 4 << 20):
-                keys, owners = [], []
+            for _, _, raw, offsets in chunks(batch.column(0), READ_BYTES):
                 for feats in shingle_sets(raw, offsets, n):
                     if len(feats) and (v := _set_name(feats)[0]) not in seen:
                         seen.add(v)
-                        odd = feats[(feats & np.uint64(1)) == 1]
-                        keys.append(mix(odd))
-                        owners.append(np.full(len(odd), v, np.int64))
-                if len(seen) > 1 << 20:
+                        yield from sender.add(mix(feats[(feats & np.uint64(1)) == 1]), v)
+                if len(seen) > 1 << 18:
                     seen.clear()
-                if keys:
-                    rows = list(_bucketed_runs(np.concatenate(keys), np.concatenate(owners), buckets))
-                    yield _blob_batch(rows)
+        yield from sender.flush()
 
     def shared_count(table: pa.Table) -> pa.Table:
-        keys = np.concatenate([np.frombuffer(x, np.uint32) for x in table.column("keys").to_pylist()])
-        owners = np.concatenate([np.repeat(np.frombuffer(o, np.int64), np.frombuffer(r, np.uint32)) for o, r in zip(table.column("owners").to_pylist(), table.column("runs").to_pylist(), strict=True)])
-        order = np.lexsort((owners, keys))
-        keys, owners = keys[order], owners[order]
-        new = np.concatenate(([True], (keys[1:] != keys[:-1]) | (owners[1:] != owners[:-1])))
-        keys, owners = keys[new], owners[new]
-        head = np.concatenate(([True], keys[1:] != keys[:-1]))
-        many = ~(head & np.append(head[1:], True))
-        v, count = np.unique(owners[many], return_counts=True)
+        v, count = np.unique(_shared(table)[1], return_counts=True)
         return pa.table({"v": v, "shared": count.astype(np.int64)})
 
-    halves = source.select("text").mapInArrow(odd_half, "bucket int, keys binary, owners binary, runs binary")
+    halves = source.select("text").mapInArrow(odd_half, BLOBS).drop("labels").withColumn("labels", F.col("owners"))
     shared = halves.groupBy("bucket").applyInArrow(shared_count, "v long, shared long").groupBy("v").agg(F.sum("shared").alias("shared"))
     live = classes.where("need <= 0").select("v", "th").unionByName(classes.where("need > 0").join(shared, "v").where("shared >= need").select("v", "th"))
     live = settled(live, "live")
@@ -222,216 +323,163 @@ def jaccard_classes(docs: DataFrame, *, n: int = 5, num: int = 80, den: int = 10
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            for _, _, raw, offsets in chunks(batch.column(0)):
+            for _, _, raw, offsets in chunks(batch.column(0), READ_BYTES):
                 rows = []
                 for feats in shingle_sets(raw, offsets, n):
                     if len(feats) and (v := _set_name(feats)[0]) not in seen:
                         seen.add(v)
-                        rows.append((v, len(feats), packed(feats), sketch(feats)))
+                        count = len(signatures(feats, num, den, every))
+                        rows.append((v, len(feats), count, feats.tobytes(), sketch(feats)))
                 if rows:
-                    v, size, blob, sk = zip(*rows, strict=True)
-                    cols = [pa.array(v, pa.int64()), pa.array(size, pa.int64()), pa.array(blob, pa.binary()), *[pa.array(c) for c in np.array(sk).T]]
-                    yield pa.RecordBatch.from_arrays(cols, ["v", "n", "feats", *SKETCH])
+                    v, size, count, blob, sk = zip(*rows, strict=True)
+                    cols = [*[pa.array(x, pa.int64()) for x in (v, size, count)], pa.array(blob, pa.binary()), *[pa.array(c) for c in np.array(sk).T]]
+                    yield pa.RecordBatch.from_arrays(cols, ["v", "n", "signs", "feats", *SKETCH])
 
     # Of equal texts the rows with the least identifier are read.
     lows = sets.groupBy("th").agg(F.min("doc_id").alias("doc_id")).join(live.select("th").distinct(), "th", "left_semi")
-    few = settled(lows, "lows")
-    here = F.broadcast(few) if few.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else few
-    wanted = hashed.join(here.toDF("_th", "_id"), (F.col("th") == F.col("_th")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select("text")
-    loaded = wanted.mapInArrow(load, "v long, n long, feats binary, " + ", ".join(f"{c} long" for c in SKETCH))
+    wanted = hashed.join(_few(settled(lows, "lows")).toDF("_th", "_id"), (F.col("th") == F.col("_th")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select("text")
+    loaded = wanted.mapInArrow(load, "v long, n long, signs long, feats binary, " + ", ".join(f"{c} long" for c in SKETCH))
     loaded = settled(loaded.withColumn("id", F.monotonically_increasing_id()), "feats")
     # Equal texts in several tasks give a set again: only the rows to leave out move.
     first = loaded.groupBy("v").agg(F.min("id").alias("low"), F.count(F.lit(1)).alias("times")).where("times > 1")
     again = settled(loaded.select("v", "id").join(first, "v").where("id > low").select("id"), "again")
-    feats = _keyed_join(loaded, again, "id", "left_anti").drop("id")
+    feats = loaded.join(_few(again), "id", "left_anti").drop("id")
+    facts = feats.drop("feats", "signs")
+    signs = int(feats.agg(F.sum("signs")).first()[0] or 0)
+    rooms = max(least, signs >> 20)
+
+    # Round one: each group's members to its first, over the signatures of a few parts;
+    # and how often a task meets the keys it meets often.
+    def sign_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sender, keys, held = _Sender(least), [], 0
+
+        def often() -> Iterator[pa.RecordBatch]:
+            key, count = np.unique(np.concatenate(keys), return_counts=True)
+            key, count = key[count * 256 >= min(hot_key, held)], count[count * 256 >= min(hot_key, held)]
+            none = pa.array([None] * len(key), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), -1, np.int32)), none, none, none, none, pa.array(_signed(key)), pa.array(count.astype(np.int64))], names)
+
+        names = ["bucket", "keys", "owners", "labels", "runs", "key", "times"]
+
+        def wide(out: pa.RecordBatch) -> pa.RecordBatch:
+            none = pa.array([None] * out.num_rows, pa.int64())
+            return pa.RecordBatch.from_arrays([*out.columns, none, none], names)
 
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(0, batch.num_rows, 512):
-                part = batch.slice(k, 512)
-                keys = [signatures(unpacked(x), num, den, spread) for x in part.column(1).to_pylist()]
-                owners = np.repeat(part.column(0).to_numpy(), [len(x) for x in keys])
-                rows = [(b, x.tobytes(), o.tobytes()) for b, x, o in _bucketed(np.concatenate(keys), owners, buckets)]
-                yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in enumerate((pa.int32(), pa.binary(), pa.binary()))], ["bucket", "keys", "owners"])
-
-    signed = feats.select("v", "feats").mapInArrow(sign, "bucket int, keys binary, owners binary")
-
-    def regroup(table: pa.Table) -> pa.Table:
-        """Kind 0: the bucket's groups of two sets or more, in rows of whole groups.
-        Kind 1: for each range of owners, how many groups' members they meet."""
-        keys, owners, each, first = _repeated(*_grouped(table))
-        rows = []
-        start = 0
-        for end in [*first.tolist()[1:], len(keys)] if len(keys) else []:
-            if end - start >= ROW_ENTRIES or end == len(keys):
-                rows.append((0, 0, keys[start:end].tobytes(), owners[start:end].tobytes()))
-                start = end
-        v, at = np.unique(owners, return_inverse=True)
-        pop = np.bincount(at, each - 1, len(v)).astype(np.int64) if len(v) else np.empty(0, np.int64)
-        part = v.astype(np.uint64) % np.uint64(parts)
-        order = np.argsort(part, kind="stable")
-        part, v, pop = part[order], v[order], pop[order]
-        head = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1]))) if len(part) else []
-        for x, y in zip(head, [*head[1:], len(part)] if len(head) else [], strict=True):
-            rows.append((1, int(part[x]), pop[x:y].tobytes(), v[x:y].tobytes()))
-        return pa.table({c: pa.array([r[j] for r in rows], k) for j, (c, k) in enumerate((("kind", pa.int32()), ("part", pa.int32()), ("keys", pa.binary()), ("owners", pa.binary())))})
-
-    def popular(table: pa.Table) -> pa.Table:
-        pop, owners = (np.concatenate([np.frombuffer(x, np.int64) for x in table.column(c).to_pylist()]) for c in ("keys", "owners"))
-        v, at = np.unique(owners, return_inverse=True)
-        return pa.table({"v": v, "pop": np.bincount(at, pop, len(v)).astype(np.int64)})
-
-    grouped = signed.groupBy("bucket").applyInArrow(regroup, "kind int, part int, keys binary, owners binary")
-    grouped = settled(grouped.withColumn("row", F.monotonically_increasing_id()), "groups")
-    groups = grouped.where("kind = 0").select("row", "keys", "owners")
-    # One row for each set that shares a signature; sets without any have no link.
-    pops = grouped.where("kind = 1").groupBy("part").applyInArrow(popular, "v long, pop long")
-    facts = settled(pops.join(feats.drop("feats"), "v"), "facts")
-
-    def pairs_by(hubs: int):
-        def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-            return _pairs(left, right, hubs, num, den)
-
-        return run
-
-    def candidates(labels: DataFrame, hubs: int) -> DataFrame:
-        """labels: the facts and label of each set, sent to the rows it is in."""
-        places = groups.select("row", "owners").mapInArrow(_places, "row long, v long")
-        notes = places.join(labels, "v").groupBy("row").agg(F.collect_list(F.struct("v", "pop", "label", "n", *SKETCH)).alias("notes"))
-        return groups.groupBy("row").cogroup(notes.groupBy("row")).applyInArrow(pairs_by(hubs), "a long, b long").distinct()
+            for v, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                x = np.frombuffer(blob, np.uint64)
+                yield from map(wide, sender.add(signatures(x, num, den, every, FIRST_PARTS), v))
+                keys.append(signatures(x, num, den, every))
+                held += len(keys[-1])
+                if held >= HELD:
+                    yield from often()
+                    keys, held = [], 0
+        if keys:
+            yield from often()
+        yield from map(wide, sender.flush())
+
+    begun = settled(feats.select("v", "feats").mapInArrow(sign_first, BLOBS + ", key long, times long"), "signed")
+    hot = settled(begun.where("bucket < 0").groupBy("key").agg(F.sum("times").alias("times")).where(F.col("times") >= hot_key), "hot")
+
+    def stars(table: pa.Table) -> pa.Table:
+        keys, owners, _ = _shared(table)
+        head, size = _groups(keys)
+        hub = np.repeat(owners[head], size)
+        pairs = np.unique(np.stack((hub, owners), 1)[hub != owners], axis=0).reshape(-1, 2)
+        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    # Hot keys have no star: their members meet in blocks.
+    near = begun.where("bucket >= 0").select("bucket", "keys", "owners", "labels", "runs").groupBy("bucket").applyInArrow(stars, "a long, b long").distinct()
 
     def verified(near: DataFrame) -> DataFrame:
-        side = lambda x: feats.select(F.col("v").alias(x), F.col("feats").alias(f"{x}_feats"))
-        near = settled(near, "near")
+        """Candidate pairs (a, b) that link: sizes and sketches first, then whole sets."""
+        a, b = (facts.select(F.col("v").alias(x), F.col("n").alias(f"n_{x}"), *[F.col(c).alias(f"{c}_{x}") for c in SKETCH]) for x in "ab")
+        bits = sum((F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in SKETCH), F.lit(0))
+        fits = (F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num) & (bits * (den + num) <= (F.col("n_a") + F.col("n_b")) * (den - num))
+        near = settled(_few(settled(near, "near")).join(a, "a").join(b, "b").where(fits).select("a", "b"), "close")
         # Sets stay where they are read if the pairs are few enough to be sent: then
         # only the second members' sets, and each hub's once, meet in a shuffle.
-        small = near.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-        sent = F.broadcast(near) if small else near
-        hubs = sent.select("a").distinct()
-        firsts = side("a").join(F.broadcast(hubs) if small else hubs, "a", "left_semi")
+        side = lambda x: feats.select(F.col("v").alias(x), F.col("feats").alias(f"{x}_feats"))
+        sent = _few(near)
+        firsts = side("a").join(_few(near.select("a").distinct()), "a", "left_semi")
         both = side("b").join(sent, "b").join(firsts, "a")
 
         def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 keep = []
                 for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                    x, y = unpacked(x), unpacked(y)
-                    z = np.sort(np.concatenate((x, y)))
+                    z = np.sort(np.concatenate((np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64))))
                     both = int((z[1:] == z[:-1]).sum())
-                    keep.append(den * both >= num * (len(x) + len(y) - both))
+                    keep.append(den * both >= num * (len(z) - both))
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
         return both.select("a", "b", "a_feats", "b_feats").mapInArrow(compare, "a long, b long")
 
-    edges = settled(verified(candidates(facts.withColumn("label", F.col("v")), 1)), "links")
-    for hubs in (8, 0):
-        found = components(edges).withColumnRenamed("vertex", "v")
-        labels = facts.join(found, "v", "left").withColumn("label", F.coalesce("label", "v"))
-        edges = edges.unionByName(settled(verified(candidates(labels, hubs)), "links"))
-    found = components(edges).withColumnRenamed("vertex", "v")
-    named = classes.select("v", "w", "n", "low").join(found, "v", "left").select("v", "w", "n", "low", F.coalesce("label", "v").alias("label"))
+    joined = components(settled(verified(near), "links"))
+    labels = settled(joined, "labels")
+    labelled = feats.select("v", "feats").join(_few(labels).withColumnRenamed("vertex", "v"), "v", "left").select("v", F.coalesce("label", "v").alias("label"), "feats")
+    # At least hot_key entries each, so few among all.
+    hot_keys = {int(k) for (k,) in hot.select("key").collect()}
+
+    # Round two: all signatures; groups of two labels or more meet.
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Kinds by bucket: entries of keys, or (-1) a member of a hot key's group."""
+        sender, apart = _Sender(rooms), np.array(sorted(hot_keys), np.int64)
+        for batch in batches:
+            for v, label, blob in zip(*[batch.column(j).to_pylist() for j in range(3)], strict=True):
+                keys = signatures(np.frombuffer(blob, np.uint64), num, den, every)
+                if len(apart):
+                    is_hot = np.isin(_signed(keys), apart)
+                    for key in np.unique(keys[is_hot]):
+                        own = np.int64(v).tobytes()
+                        yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), *[pa.array([x], pa.binary()) for x in (key.tobytes(), own, own, b"")]], ["bucket", "keys", "owners", "labels", "runs"])
+                    keys = keys[~is_hot]
+                yield from sender.add(keys, v, label)
+        yield from sender.flush()
+
+    def mixed(table: pa.Table) -> pa.Table:
+        """Members of groups with two labels or more, each set of members once: its
+        name, its size, the member."""
+        keys, owners, labels = _shared(table)
+        head, size = _groups(keys)
+        if not len(head):
+            return pa.table({c: pa.array([], pa.int64()) for c in ("gid", "size", "v")})
+        keep = np.minimum.reduceat(labels, head) != np.maximum.reduceat(labels, head)
+        name = np.add.reduceat(mix(owners.view(np.uint64)), head)
+        _, first = np.unique(np.where(keep, name, 0), return_index=True)
+        chosen = np.zeros(len(head), bool)
+        chosen[first] = True
+        chosen &= keep
+        at = np.repeat(chosen, size)
+        return pa.table({"gid": np.repeat(_signed(name[chosen]), size[chosen]), "size": np.repeat(size[chosen], size[chosen]).astype(np.int64), "v": owners[at]})
+
+    signed = labelled.mapInArrow(sign, BLOBS)
+    if hot_keys:
+        signed = settled(signed, "signed")
+    places = signed.where("bucket >= 0").groupBy("bucket").applyInArrow(mixed, "gid long, size long, v long")
+    if hot_keys:
+        long_of = lambda c: F.conv(F.hex(F.reverse(F.col(c))), 16, -10).cast("long")
+        members = signed.where("bucket < 0").select(long_of("keys").alias("gid"), long_of("owners").alias("v"))
+        places = places.unionByName(members.join(F.broadcast(hot), F.col("gid") == F.col("key")).select("gid", F.col("times").alias("size"), "v"))
+    places = settled(places.distinct(), "places")
+
+    # Groups of many members as pairs of blocks, then groups dealt into buckets by their size.
+    count, = places.agg(F.sum(F.ceil(F.col("size") / block))).first()
+    tasks = max(least, int(count or 0) // 200_000)
+    blocks, own = F.ceil(F.col("size") / block).cast("int"), F.pmod(F.xxhash64("v"), F.ceil(F.col("size") / block)).cast("int")
+    dealt = places.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    dealt = dealt.select("v", "gid", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"))
+    described = facts.join(_few(labels).withColumnRenamed("vertex", "v"), "v", "left").withColumn("label", F.coalesce("label", "v"))
+    met = dealt.join(described, "v").withColumn("bucket", F.pmod(F.xxhash64("gid", "x", "y"), F.lit(tasks)))
+    near = met.groupBy("bucket").applyInArrow(lambda t: _allowed(t, num, den), "a long, b long").distinct()
+
+    edges = labels.select(F.col("vertex").alias("a"), F.col("label").alias("b")).unionByName(settled(verified(near), "links"))
+    found = settled(components(edges).withColumnRenamed("vertex", "v"), "found")
+    named = classes.select("v", "w", "n", "low").join(_few(found), "v", "left").select("v", "w", "n", "low", F.coalesce("label", "v").alias("label"))
     named = settled(named, "named")
     lows = named.groupBy("label").agg(F.min("low").alias("component_id"))
     names = named.join(lows, "label").select("v", "w", "n", "component_id")
+    # Copies of one text meet in a join whose other side has one row: Spark splits that.
     out = sets.where("n > 0").join(names, ["v", "w", "n"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     empty = sets.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return out.unionByName(empty)
-
-
-SKETCH = [f"s{k}" for k in range(SKETCH_WORDS)]
-
-
-def _bucketed_runs(keys: np.ndarray, owners: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes, bytes, bytes]]:
-    """As _bucketed, the owners as run lengths (they come in runs)."""
-    for bucket, k, o in _bucketed(keys, owners, buckets):
-        heads = np.flatnonzero(np.concatenate(([True], o[1:] != o[:-1])))
-        runs = np.diff(np.append(heads, len(o))).astype(np.uint32)
-        yield bucket, k.tobytes(), o[heads].tobytes(), runs.tobytes()
-
-
-def _blob_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in enumerate(kinds)], ["bucket", "keys", "owners", "runs"])
-
-
-def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for r, o in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            v = np.unique(np.frombuffer(o, np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(v), r, np.int64)), pa.array(v)], ["row", "v"])
-
-
-def _repeated(keys: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Entries of keys that occur twice or more, their group's size and first place."""
-    head = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.empty(0, np.int64)
-    size = np.diff(np.append(head, len(keys)))
-    each = np.repeat(size, size)
-    keep = each > 1
-    size = size[size > 1]
-    first = np.concatenate(([0], np.cumsum(size)[:-1])) if len(size) else np.empty(0, np.int64)
-    return keys[keep], owners[keep], each[keep], first
-
-
-def _pairs(left: pa.Table, right: pa.Table, hubs: int, num: int, den: int) -> pa.Table:
-    """Candidate pairs of a row of groups: members of different components within one
-    signature's group, with the group's first hubs, or (0) all of them in blocks;
-    only those that sizes and sketches allow."""
-    none = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
-    if not left.num_rows or not right.num_rows:
-        return none
-    notes = right.column("notes").combine_chunks().flatten()
-    v = np.asarray(notes.field("v"))
-    order = np.argsort(v)
-    pop, label, size_of = (np.asarray(notes.field(c))[order] for c in ("pop", "label", "n"))
-    v, sketches = v[order], np.stack([np.asarray(notes.field(c))[order] for c in SKETCH], 1)
-    keys = np.concatenate([np.frombuffer(x, np.uint32) for x in left.column("keys").to_pylist()])
-    at = np.searchsorted(v, np.concatenate([np.frombuffer(x, np.int64) for x in left.column("owners").to_pylist()]))
-    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-    size = np.diff(np.append(first, len(keys)))
-    mixed = np.repeat(np.minimum.reduceat(label[at], first) != np.maximum.reduceat(label[at], first), size)
-    group, at = np.repeat(np.arange(len(first)), size)[mixed], at[mixed]
-    if not len(at):
-        return none
-    order = np.lexsort((at, -pop[at], group))
-    at, group = at[order], group[order]
-    head = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
-    size = np.diff(np.append(head, len(group)))
-    known = np.empty(0, np.int64)
-
-    def near(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        """Of these pairs the distinct ones of two components that may link, as
-        x * len(v) + y with x < y."""
-        apart = label[x] != label[y]
-        x, y = x[apart], y[apart]
-        code = np.unique(np.minimum(x, y) * len(v) + np.maximum(x, y))
-        x, y = code // len(v), code % len(v)
-        a, b = size_of[x], size_of[y]
-        keep = np.minimum(a, b) * den >= np.maximum(a, b) * num
-        code, x, y, both = code[keep], x[keep], y[keep], (a + b)[keep]
-        bits = np.bitwise_count((sketches[x] ^ sketches[y]).view(np.uint64)).sum(axis=1, dtype=np.int64)
-        return code[bits * (den + num) <= both * (den - num)]
-
-    if hubs:
-        for r in range(hubs):
-            hub = np.repeat(at[head + np.minimum(r, size - 1)], size)
-            known = np.union1d(known, near(hub, at))
-    else:
-        seen: set[bytes] = set()
-        xs, ys, held = [], [], 0
-        for h, s in zip(head.tolist(), size.tolist(), strict=True):
-            own = at[h : h + s]
-            if (name := np.sort(own).tobytes()) in seen:  # the same members under another signature
-                continue
-            seen.add(name)
-            labels, count = np.unique(label[own], return_counts=True)
-            outside = own[label[own] != labels[count.argmax()]]
-            for x in outside.tolist():  # each member outside the main component against the group
-                xs.append(np.full(s, x))
-                ys.append(own)
-                held += s
-                if held > 1 << 20:
-                    known, xs, ys, held = np.union1d(known, near(np.concatenate(xs), np.concatenate(ys))), [], [], 0
-        if xs:
-            known = np.union1d(known, near(np.concatenate(xs), np.concatenate(ys)))
-    a, b = v[known // len(v)], v[known % len(v)]
-    return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from kinfold.llm import queries as Q
 from kinfold.llm.components import components
-from kinfold.llm.jaccard import bands, jaccard_classes, signatures, sketch
+from kinfold.llm.jaccard import jaccard_classes, plans, signatures, sketch
 from kinfold.llm.langid import identify_languages
 from kinfold.llm.media import from_png, media_columns, payload_of, png_size, to_png
 from kinfold.llm.mixing import mix_sources, rake
@@ -171,9 +171,9 @@ def test_jaccard_chain_of_edits(spark):
 def test_similar_sets_share_a_signature():
     """Every pair at or over the similarity meets, whatever the size."""
     r = np.random.default_rng(4)
-    every = bands(3000, 80, 100)
-    for n in [*range(1, 40), 77, 200, 501, 1200]:
-        for _ in range(6):
+    every = plans(3000, 80, 100)
+    for n in [*range(1, 60), 77, 93, 116, 117, 200, 501, 1200]:
+        for _ in range(25 if n < 100 else 6):
             a = np.unique(r.integers(0, 1 << 63, n, dtype=np.uint64))
             drop = int(r.integers(0, max(1, len(a) // 9 + 1)))
             keep = r.permutation(a)[drop:]
@@ -184,6 +184,41 @@ def test_similar_sets_share_a_signature():
                 assert np.bitwise_count((sketch(a) ^ sketch(b)).view(np.uint64)).sum() <= len(a) + len(b) - 2 * both
 
 
+def test_unrelated_sets_share_no_signature():
+    """Empty pieces would make keys as hot as the corpus is large."""
+    r = np.random.default_rng(5)
+    every = plans(3000, 80, 100)
+    for n in (1, 2, 4, 6, 9, 14, 18, 24, 30, 36, 46, 60, 80, 150, 300, 700):
+        seen = Counter()
+        for _ in range(1000 if n < 100 else 300):
+            seen.update(set(signatures(np.unique(r.integers(0, 1 << 63, n, dtype=np.uint64)), 80, 100, every).tolist()))
+        assert max(seen.values()) <= 5
+
+
+def template(k, r):
+    """Texts that share 60 of about 80 shingles with all others: groups without links."""
+    return " ".join([*TEMPLATE, *[f"own{k}x{j}" for j in range(r.randint(14, 22))]])
+
+
+TEMPLATE = prose(64, random.Random(77)).split()
+
+
+@pytest.mark.parametrize(("block", "hot_key"), [(2048, 1 << 18), (8, 1 << 18), (8, 20)])
+def test_jaccard_hot_groups(spark, block, hot_key):
+    """Large groups whose members mostly don't link, in one task, in blocks, and
+    with signatures that are sent to blocks at once."""
+    r = random.Random(6)
+    rows = [(k, template(k, r)) for k in range(90)]
+    base = template(500, r).split()
+    for k in range(60):
+        w = list(base)
+        for _ in range(r.randint(1, 4)):
+            w[r.randrange(len(w))] = f"edit{r.randrange(1000)}"
+        rows.append((1000 - k, " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert by_id(jaccard_classes(df, block=block, hot_key=hot_key)) == brute_classes(rows)
+
+
 def test_components(spark):
     r = random.Random(8)
     edges = [(k, k + 1) for k in range(0, 60)] + [(100, 100 + k) for k in range(1, 40)] + [(r.randrange(200, 260), r.randrange(260, 300)) for _ in range(30)]
