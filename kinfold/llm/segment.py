@@ -1,31 +1,62 @@
 """N-best piece segmentation and decoding over a piece lattice.
 
-A text is cut where no piece crosses (which is verified on the pieces). In a part's
-lattice the forward Viterbi scores are exact completions, so a backward A-star
+A text is cut where no piece crosses (which is verified on the pieces). In each
+part's lattice the forward Viterbi scores are exact completions, so a backward A-star
 search from the end takes partial paths in the order of their final scores and
-yields segmentations best first. A text's N best combine its parts': only the
-N - 1 parts with the least loss for their second choice can differ from the best.
+yields segmentations best first. As all completions of two partial paths differ, no
+more of them are kept than segmentations are still wanted: memory and time are
+linear in a part. Parts are remembered, so each distinct part of a batch is searched
+once; short parts are searched together, one step of all of them at a time. A text's N best combine its parts' N best: only the N - 1 parts with the least
+loss for their second choice can differ from the best.
 
-Characters of no piece become byte pieces. Nulls and empty texts have no pieces;
-repeated rows get equal rows; extra columns are ignored.
+Scores are unigram log-probabilities of the pieces in whole micro-units, so sums are
+exact. Tokenizers are not trained here: the probabilities follow from the order of
+the given model's pieces (rank_scores). Among equal scores the path whose last pieces begin
+earlier comes first.
+
+Characters of no piece become byte pieces, and so does the sign that stands for a
+space in pieces, so decoding gives the very text. Nulls and empty texts have no
+pieces; repeated rows get equal rows; a text without any cut is one part, however
+long; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 import re
+from bisect import insort
 from collections.abc import Iterator
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MEMO_PARTS = 400_000
-NEVER = float("-inf")
+from kinfold.llm.textbytes import chunks
+
+#: What a worker remembers: ids of pieces in all, and parts.
+MEMO_IDS, MEMO_PARTS = 6_000_000, 400_000
+READ_BYTES = 1 << 20
+MICRO = 1_000_000
+NEVER = -(1 << 62)
 #: Characters taken as signs: ASCII and Latin-1 signs, digits and controls, general punctuation.
-SIGNS = r"\x00-@\[-`{-\xa9\xab-\xb4\xb6-\xb9\xbb-\xbf\u02c6-\u02df\u2010-\u206f"
+SIGNS = r"\x00-@\[-`{-\xa9\xab-\xb4\xb6-\xb9\xbb-\xbfˆ-˟‐-⁯"
 CUTS = (rf"▁*(?:[{SIGNS}]+|[^{SIGNS}▁]+)|▁+", "▁*[^▁]+|▁+")
-UNKNOWN_PENALTY, BARRED = 10.0, -1e8
+UNKNOWN_PENALTY, BARRED = 10 * MICRO, -1e8
+#: Stands for the sign ▁ of a text; no UTF-8 text holds it.
+OWN_SIGN = "\udc81"
+#: Parts of up to so many characters are searched together.
+TOGETHER, SHUT = 60, (1 << 63) - 1
+
+
+def rank_scores(sp) -> dict[int, float]:
+    """Log-probabilities by the order of the model's pieces: a share of 1 / (rank + 10)
+    each. A merge table's scores are ranks, whose sums would prefer short pieces."""
+    order = sorted((i for i in range(sp.vocab_size())), key=lambda i: -sp.get_score(i))
+    total = sum(1 / (k + 10) for k in range(len(order)))
+    return {i: -math.log((k + 10) * total) for k, i in enumerate(order)}
 
 
 class PieceLattice:
@@ -33,196 +64,303 @@ class PieceLattice:
         import sentencepiece
 
         sp = sentencepiece.SentencePieceProcessor(model_file=model_file)
-        self.pieces = {sp.id_to_piece(i): (sp.get_score(i), i) for i in range(sp.vocab_size()) if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))}
+        shares = rank_scores(sp)
+        free = [i for i in range(sp.vocab_size()) if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))]
         self.byte_id = [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.names = [sp.id_to_piece(i) for i in range(sp.vocab_size())]
         self.bytes_of = {i: b for b, i in enumerate(self.byte_id)}
-        self.longest: dict[str, int] = {}
-        for p in self.pieces:
-            self.longest[p[0]] = max(self.longest.get(p[0], 0), len(p))
         # Pieces that their model bars by an extreme score cost as much as an unknown.
-        self.unknown = min(s for s, _ in self.pieces.values() if s > BARRED) - UNKNOWN_PENALTY
-        self.pieces = {p: (max(s, self.unknown), i) for p, (s, i) in self.pieces.items()}
-        #: every beginning of a piece: None, or (score, (id,)) where it is a piece
-        self.prefixes = {p[:k]: None for p in self.pieces for k in range(1, len(p))}
-        self.prefixes |= {p: (score, (i,)) for p, (score, i) in self.pieces.items()}
+        scores = {i: round(shares[i] * MICRO) for i in free if sp.get_score(i) > BARRED}
+        self.unknown = min(scores.values()) - UNKNOWN_PENALTY
+        #: piece: (score, id)
+        self.pieces = {self.names[i]: (scores.get(i, self.unknown), i) for i in free}
         self.n_best = n_best
         # The finest cut that leaves every piece whole: at changes between
         # signs and letters, else before each run of spaces, else none.
         self.cutter = next((c for c in map(re.compile, CUTS) if all(c.findall(p) == [p] for p in self.pieces)), None)
-        self.memo: dict[str, tuple[float, tuple[int, ...], float]] = {}
-        self.ranked: dict[str, list[tuple[float, tuple[int, ...]]]] = {}
+        self.index()
+
+    def index(self) -> None:
+        #: every beginning of a piece: its score, or None where it isn't a piece itself
+        self.begins: dict[str, int | None] = {p[:k]: None for p in self.pieces for k in range(1, len(p))}
+        self.begins |= {p: s for p, (s, _) in self.pieces.items()}
+        self.longest = max(map(len, self.pieces))
+        # The same as arrays: codes of characters, and a node's child by node and code.
+        letters = sorted(p for p in self.begins if len(p) == 1)
+        self.code = np.zeros(0x110000, np.int64)
+        self.code[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
+        self.single = np.array([False] + [c in self.pieces for c in letters])
+        node = {"": 0} | {p: k for k, p in enumerate(self.begins, 1)}
+        edge = np.array([node[p[:-1]] * (len(letters) + 1) + self.code[ord(p[-1])] for p in self.begins])
+        order = np.argsort(edge)
+        self.edge, self.child = edge[order], order + 1
+        self.node_score = np.array([NEVER] + [NEVER if s is None else s for s in self.begins.values()])
+        self.node_id = np.array([-1] + [self.pieces[p][1] if p in self.pieces else -1 for p in self.begins], np.int32)
+        self.name_end = np.cumsum([0, *map(len, self.names)])
+        self.name_codes = _codepoints("".join(self.names))
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.flat = np.empty(0, np.int32)
+        self.facts = [np.empty((0, self.n_best), np.int64)] * 3  # place, length (-1: none) and score by rank
+        self.right = np.empty(0, bool)
 
     def parts(self, text: str) -> list[str]:
         if not text:
             return []
+        if "▁" in text:
+            text = text.replace("▁", OWN_SIGN)
         text = "▁" + text.replace(" ", "▁")
         return self.cutter.findall(text) if self.cutter else [text]
 
-    def edges(self, part: str) -> list[tuple[int, int, float, tuple[int, ...]]]:
-        """(from, to, score, ids) of the part's lattice, by start."""
-        n, out, get, longest = len(part), [], self.pieces.get, self.longest.get
-        for i in range(n):
-            single = False
-            for j in range(i + 1, min(n, i + longest(part[i], 0)) + 1):
-                found = get(part[i:j])
-                if found:
-                    single |= j == i + 1
-                    out.append((i, j, found[0], (found[1],)))
-            if not single:
-                out.append((i, i + 1, self.unknown, tuple(self.byte_id[b] for b in part[i].encode())))
-        return out
-
-    def forward(self, n: int, edges: list) -> tuple[list[float], list]:
-        """Viterbi scores of all places and the edges that reach them."""
-        alpha, back = [NEVER] * (n + 1), [None] * (n + 1)
-        alpha[0] = 0.0
-        for e in edges:
-            i, j, score, _ = e
-            if alpha[i] + score > alpha[j]:
-                alpha[j], back[j] = alpha[i] + score, e
-        return alpha, back
-
-    def first(self, part: str) -> tuple[float, tuple[int, ...], float]:
-        """(score, ids, loss of the second choice): the second is the best path over
-        any edge that the first doesn't use. Edges are kept as parallel lists, and a
-        start's search ends where no piece begins so."""
-        n, get = len(part), self.prefixes.get
-        alpha, back, own = [0.0] + [NEVER] * n, [0] * (n + 1), [()] * (n + 1)
-        froms, tos, scores = [], [], []
+    def forward(self, part: str) -> list[int]:
+        """Viterbi scores of all places of a part."""
+        n, get, unknown = len(part), self.begins.get, self.unknown
+        alpha = [NEVER] * (n + 1)
+        alpha[0] = 0
         for i in range(n):
             here, single = alpha[i], False
             for j in range(i + 1, n + 1):
-                found = get(part[i:j], False)
-                if not found:
-                    if found is None:  # the beginning of longer pieces only
-                        continue
+                score = get(part[i:j], 0)
+                if score is None:  # the beginning of longer pieces only
+                    continue
+                if not score:  # scores are below zero
                     break
-                if j == i + 1:
-                    single = True
-                score, ids = found
-                froms.append(i)
-                tos.append(j)
-                scores.append(score)
+                single |= j == i + 1
                 if here + score > alpha[j]:
-                    alpha[j], back[j], own[j] = here + score, i, ids
-            if not single:
-                froms.append(i)
-                tos.append(i + 1)
-                scores.append(self.unknown)
-                if here + self.unknown > alpha[i + 1]:
-                    alpha[i + 1], back[i + 1] = here + self.unknown, i
-                    own[i + 1] = tuple([self.byte_id[b] for b in part[i].encode()])
-        ahead, at, ids = [0] * (n + 1), n, ()
-        while at:
-            ahead[back[at]] = at
-            ids = own[at] + ids if n < 64 else ids
-            at = back[at]
-        if n >= 64:
-            chain, at = [], n
-            while at:
-                chain.append(own[at])
-                at = back[at]
-            ids = tuple([x for e in reversed(chain) for x in e])
-        behind, second = [NEVER] * n + [0.0], NEVER
-        for k in range(len(froms) - 1, -1, -1):
-            i, j = froms[k], tos[k]
-            rest = scores[k] + behind[j]
-            if rest > behind[i]:
-                behind[i] = rest
-            if ahead[i] != j and alpha[i] + rest > second:
-                second = alpha[i] + rest
-        return alpha[n], ids, alpha[n] - second
-
-    def best(self, part: str) -> list[tuple[float, tuple[int, ...]]]:
-        """Up to n_best (score, ids) of one part, best first, by backward A-star; the
-        forward scores are exact, so complete paths leave the heap in order."""
-        edges, n = self.edges(part), len(part)
-        alpha, _ = self.forward(n, edges)
-        into: list[list] = [[] for _ in range(n + 1)]
-        for e in edges:
-            into[e[1]].append(e)
-        out, heap = [], [(-alpha[n], n, 0.0, ())]
-        while heap and len(out) < self.n_best:
-            _, at, behind, ids = heapq.heappop(heap)
-            if at == 0:
-                out.append((behind, ids))
+                    alpha[j] = here + score
+            if not single and here + unknown > alpha[i + 1]:
+                alpha[i + 1] = here + unknown
+        return alpha
+
+    def best(self, part: str, n_best: int = 0) -> list[tuple[int, tuple[int, ...]]]:
+        """Up to n_best (score, ids) of one part, best first, by backward A-star. A partial
+        path is (loss against the best, place, order, (from, to, rest of the path))."""
+        want, get, longest, unknown = n_best or self.n_best, self.pieces.get, self.longest, self.unknown
+        alpha, out, order = self.forward(part), [], 0
+        open_: list[tuple] = [(0, len(part), 0, None)]
+        while open_ and want:
+            loss, at, _, path = open_.pop(0)
+            if not at:
+                out.append((alpha[-1] - loss, self._ids(part, path)))
+                want -= 1
                 continue
-            for i, _, score, own in into[at]:
-                heapq.heappush(heap, (-(alpha[i] + score + behind), i, score + behind, own + ids))
+            base = loss + alpha[at]
+            for i in range(at - 1, max(at - longest, 0) - 1, -1):
+                found = get(part[i:at])
+                if found:
+                    score = found[0]
+                elif i == at - 1:
+                    score = unknown
+                else:
+                    continue
+                # Every partial path completes with its loss, each in its own way.
+                order += 1
+                entry = (base - alpha[i] - score, i, order, (i, at, path))
+                if len(open_) < want:
+                    insort(open_, entry)
+                elif entry < open_[-1]:
+                    open_.pop()
+                    insort(open_, entry)
         return out
 
-    def options(self, part: str, ids: tuple[int, ...]) -> list[tuple[float, tuple[int, ...]]]:
-        """best(part) with ids, the first choice, in front: among equal scores the two
-        searches may differ, and no segmentation may come twice."""
-        got = self.best(part)
-        if got[0][1] == ids:
-            return got
-        return [(got[0][0], ids), *[x for x in got if x[1] != ids]][: self.n_best]
-
-    def encode(self, text: str) -> tuple[list[int], list[float], list[list[tuple[int, int]]]]:
-        """Ids of the best segmentation, the n_best scores, and for each of these the
-        (part, rank) choices that aren't a part's first."""
-        _, rows, scores, choices = self._search(text)
-        return [i for x in rows for i in x[1]], scores, choices
-
-    def encode_all(self, text: str) -> tuple[list[list[int]], list[float]]:
-        """The ids of the n_best segmentations, best first, and their scores."""
-        parts, rows, scores, choices = self._search(text)
-        best, out = [i for x in rows for i in x[1]], []
-        for choice in choices:
-            ids = best
-            for k, r in sorted(choice, reverse=True):  # later parts first: earlier places hold
-                at = sum([len(x[1]) for x in rows[:k]])
-                ids = [*ids[:at], *self.ranked[parts[k]][r][1], *ids[at + len(rows[k][1]) :]]
-            out.append(ids)
-        return out, scores
-
-    def _search(self, text: str) -> tuple[list[str], list, list[float], list[list[tuple[int, int]]]]:
-        """Parts, their first choices, and encode's scores and choices."""
-        if len(self.memo) > MEMO_PARTS:
-            self.memo.clear()
-        if len(self.ranked) > MEMO_PARTS:
-            self.ranked.clear()
-        memo, rows, parts = self.memo, [], self.parts(text)
-        for p in parts:
-            got = memo.get(p)
-            if got is None:
-                got = memo[p] = self.first(p)
-            rows.append(got)
-        if not rows:
-            return [], [], [], []
-        score = sum([x[0] for x in rows])
-        spots = [k for loss, k in heapq.nsmallest(self.n_best - 1, zip([x[2] for x in rows], range(len(rows)))) if loss < -NEVER]  # noqa: B905
-        lists = []
-        for k in spots:
-            if parts[k] not in self.ranked:
-                self.ranked[parts[k]] = self.options(parts[k], rows[k][1])
-            lists.append(self.ranked[parts[k]])
-        # Best first over the ranks chosen at these spots.
-        start = (0,) * len(spots)
-        heap, seen, scores, choices = [(0.0, start)], {start}, [], []
-        while heap and len(scores) < self.n_best:
-            loss, pick = heapq.heappop(heap)
-            scores.append(score - loss)
-            choices.append([(k, r) for k, r in zip(spots, pick, strict=True) if r])
-            for j, options in enumerate(lists):
-                if pick[j] + 1 < len(options):
+    def _ids(self, part: str, path: tuple | None) -> tuple[int, ...]:
+        ids: list[int] = []
+        while path:
+            i, j, path = path
+            found = self.pieces.get(part[i:j])
+            if found:
+                ids.append(found[1])
+            else:
+                ids.extend([self.byte_id[b] for b in ("▁" if part[i] == OWN_SIGN else part[i]).encode()])
+        return tuple(ids)
+
+    def search(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """best() of many parts: all ids; place among them, length (-1: no such rank)
+        and score by part and rank; and whether all decode right.
+        Short parts of known letters are searched together, one step of all at a time."""
+        n, none = len(parts), np.full((len(parts), self.n_best), -1)
+        size, codes = np.array([len(p) for p in parts], np.int64), self.code[_codepoints("".join(parts))]
+        first = np.cumsum(size) - size
+        plain = np.logical_and.reduceat(self.single[codes], first) & (size <= TOGETHER) if n else np.empty(0, bool)
+        place, length, score, right = none.copy(), none.copy(), none.copy(), np.zeros(n, bool)
+        ids, used = [np.empty(0, np.int32)], 0
+        for k in np.flatnonzero(~plain).tolist():
+            got, text = self.best(parts[k]), parts[k].replace("▁", " ").replace(OWN_SIGN, "▁")
+            right[k] = all([self._plain(x) == text for _, x in got])
+            for r, (s, x) in enumerate(got):
+                place[k, r], length[k, r], score[k, r] = used, len(x), s
+                ids.append(np.array(x, np.int32))
+                used += len(x)
+        order = np.flatnonzero(plain)
+        order = order[np.argsort(-size[order], kind="stable")]
+        for k in range(0, len(order), 4096):
+            which = order[k : k + 4096]
+            flat, many, row, rank, points, right[which] = self._together(codes, first[which], size[which])
+            place[which[row], rank], length[which[row], rank], score[which[row], rank] = used + np.cumsum(many) - many, many, points
+            ids.append(flat)
+            used += len(flat)
+        return np.concatenate(ids), place, length, score, right
+
+    def _together(self, codes: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Backward A-star over parts of falling length; an entry is one number: loss,
+        place, step that made it, and length of its edge, compared in this order."""
+        n, top, width = len(size), self.n_best, min(self.longest, int(size[0]))
+        owner = np.repeat(np.arange(n), size)
+        start = np.cumsum(size) - size
+        own = codes[np.repeat(first - start, size) + np.arange(size.sum())]
+        base = start + np.arange(n)  # a part has one place more than letters
+        # Edges by their end and length.
+        edge, piece = np.full((len(own) + n, width), NEVER), np.full((len(own) + n, width), -1, np.int32)
+        at, node, end = np.arange(len(own)), np.zeros(len(own), np.int64), (start + size)[owner]
+        for d in range(1, width + 1):
+            inside = at + d <= end[at]
+            at, node = at[inside], node[inside]
+            want = node * len(self.single) + own[at + d - 1]
+            spot = np.minimum(np.searchsorted(self.edge, want), len(self.edge) - 1)
+            hit = self.edge[spot] == want
+            at, node = at[hit], self.child[spot[hit]]
+            edge[at + owner[at] + d, d - 1], piece[at + owner[at] + d, d - 1] = self.node_score[node], self.node_id[node]
+        alpha, back = np.zeros(len(edge), np.int64), np.arange(1, width + 1)
+        for p in range(1, int(size[0]) + 1):
+            g = base[: int((size >= p).sum())] + p
+            w = min(p, width)
+            alpha[g] = (alpha[g[:, None] - back[:w]] + edge[g, :w]).max(axis=1)
+        open_ = np.full((n, top), SHUT)
+        open_[:, 0] = size << 18
+        live, popped, out, found = np.arange(n), [np.zeros(n, np.int64)], np.zeros((n, top), np.int64), np.zeros(n, np.int64)
+        while len(live):
+            step, head = len(popped), open_[live, 0]
+            popped.append(np.zeros(n, np.int64))
+            popped[-1][live] = head
+            at = (head >> 18) & 127
+            ended = live[at == 0]
+            out[ended, found[ended]] = step
+            found[ended] += 1
+            made = np.full((len(live), width), SHUT)
+            go = at > 0
+            g, at = base[live[go]] + at[go], at[go][:, None]
+            lost = ((head[go] >> 25) + alpha[g])[:, None] - alpha[g[:, None] - back] - edge[g]
+            made[go] = np.where(edge[g] > NEVER, (lost << 25) | ((at - back) << 18) | (step << 6) | back, SHUT)
+            made = np.concatenate((open_[live, 1:], made), axis=1)
+            made.partition(top - 1, axis=1)
+            open_[live] = np.sort(made[:, :top], axis=1)
+            live = live[(found[live] < top) & (open_[live, 0] < SHUT)]
+        # Read the paths back, first piece first.
+        row, rank = np.nonzero(np.arange(top) < found[:, None])
+        popped, step = np.stack(popped), out[row, rank]
+        lost = popped[step, row] >> 25
+        tokens, live = np.full((len(row), int(size[0])), -1, np.int32), np.arange(len(row))
+        for k in range(int(size[0]) + 1):
+            entry = popped[step[live], row[live]]
+            live, entry = live[(entry & 63) > 0], entry[(entry & 63) > 0]
+            if not len(live):
+                break
+            tokens[live, k] = piece[base[row[live]] + ((entry >> 18) & 127) + (entry & 63), (entry & 63) - 1]
+            step[live] = (entry >> 6) & 4095
+        many = (tokens >= 0).sum(axis=1)
+        flat = tokens[tokens >= 0]
+        # Decoding: the pieces' letters must be the part's.
+        letters = self.name_end[flat + 1] - self.name_end[flat]
+        said = np.add.reduceat(letters, np.cumsum(many) - many) == size[row]
+        if said.all():
+            got = self.code[self.name_codes[np.repeat(self.name_end[flat] - (np.cumsum(letters) - letters), letters) + np.arange(letters.sum())]]
+            text = own[np.repeat(start[row] - (np.cumsum(size[row]) - size[row]), size[row]) + np.arange(size[row].sum())]
+            said = np.logical_and.reduceat(got == text, np.cumsum(size[row]) - size[row])
+        fine = np.ones(n, bool)
+        np.logical_and.at(fine, row, said)
+        return flat, many, row, rank, alpha[base + size][row] - lost, fine
+
+    def remember(self, parts: list[str]) -> None:
+        """Number new parts and keep their ranked segmentations."""
+        ids, place, length, score, right = self.search(parts)
+        place += len(self.flat)
+        self.known.update(zip(parts, range(len(self.right), len(self.right) + len(parts)), strict=True))
+        self.flat = np.concatenate((self.flat, ids))
+        self.facts = [np.concatenate(x) for x in zip(self.facts, (place, length, score), strict=True)]
+        self.right = np.concatenate((self.right, right))
+
+    def encode_texts(self, texts: list[str]) -> tuple[list[list[np.ndarray]], list[list[float]], list[bool]]:
+        """Of each text the ids of its n_best segmentations, best first, their scores,
+        and whether each of them decodes to the text."""
+        if len(self.flat) > MEMO_IDS or len(self.right) > MEMO_PARTS:
+            self.forget()
+        parts = [self.parts(t) for t in texts]
+        every = list(chain.from_iterable(parts))
+        new = sorted(set(every).difference(self.known))
+        if new:
+            self.remember(new)
+        place, length, score = self.facts
+        # Of each part of the chunk: its number, its first choice and the second's loss.
+        number = np.array(list(map(self.known.__getitem__, every)), np.int64)
+        size, points = length[:, 0].copy()[number], score[:, 0].copy()[number]
+        loss = np.where(length[:, 1] < 0, -NEVER, score[:, 0] - score[:, 1])[number] if self.n_best > 1 else points
+        right = self.right[number]
+        start = np.cumsum(size) - size
+        best = self.flat[np.repeat(place[:, 0].copy()[number] - start, size) + np.arange(size.sum())]
+        lists, scores, same = [], [], []
+        end = 0
+        for own in parts:
+            a, end = end, end + len(own)
+            if not own:
+                lists.append([])
+                scores.append([])
+                same.append(True)
+                continue
+            x, spots = number[a:end], []
+            if self.n_best > 1:
+                lost = loss[a:end]
+                few = min(self.n_best - 1, len(x))
+                # Of equal losses the first parts: the result doesn't depend on the sort.
+                spots = np.flatnonzero(lost <= np.partition(lost, few - 1)[few - 1])
+                spots = [k for k in spots[np.argsort(lost[spots], kind="stable")][:few].tolist() if lost[k] < -NEVER]
+            total, origin = int(points[a:end].sum()), int(start[a])
+            first = best[origin : start[end - 1] + size[end - 1]]
+            ids, own_scores = [], []
+            for less, pick in self._combined([score[x[k]][length[x[k]] >= 0].tolist() for k in spots]):
+                out = first
+                for k, r in sorted(zip(spots, pick, strict=True), reverse=True):  # later parts first: earlier places hold
+                    if r:
+                        at, here = place[x[k], r], start[a + k] - origin
+                        out = np.concatenate((out[:here], self.flat[at : at + length[x[k], r]], out[here + size[a + k] :]))
+                ids.append(out)
+                own_scores.append((total - less) / MICRO)
+            lists.append(ids)
+            scores.append(own_scores)
+            same.append(bool(right[a:end].all()))
+        return lists, scores, same
+
+    def _combined(self, options: list[list[int]]) -> list[tuple[int, tuple[int, ...]]]:
+        """The n_best (loss, ranks) over the choices at some parts, best first."""
+        start = (0,) * len(options)
+        heap, seen, out = [(0, start)], {start}, []
+        while heap and len(out) < self.n_best:
+            less, pick = heapq.heappop(heap)
+            out.append((less, pick))
+            for j, own in enumerate(options):
+                if pick[j] + 1 < len(own):
                     nxt = (*pick[:j], pick[j] + 1, *pick[j + 1 :])
                     if nxt not in seen:
                         seen.add(nxt)
-                        heapq.heappush(heap, (loss + options[pick[j]][0] - options[nxt[j]][0], nxt))
-        return parts, rows, scores, choices
+                        heapq.heappush(heap, (less + own[pick[j]] - own[nxt[j]], nxt))
+        return out
 
-    def decode(self, ids: list[int]) -> str:
+    def _plain(self, ids: list[int]) -> str:
         names, byte = self.names, self.bytes_of
-        if not any(i in byte for i in set(ids)):
-            text = "".join([names[i] for i in ids]).replace("▁", " ")
-        else:
-            text = b"".join([bytes([byte[i]]) if i in byte else names[i].replace("▁", " ").encode() for i in ids]).decode("utf-8", "replace")
+        if not any([i in byte for i in ids]):
+            return "".join([names[i] for i in ids]).replace("▁", " ")
+        return b"".join([bytes([byte[i]]) if i in byte else names[i].replace("▁", " ").encode() for i in ids]).decode("utf-8", "replace")
+
+    def decode(self, ids: list[int]) -> str:
+        text = self._plain(ids)
         return text[1:] if text[:1] == " " else text
 
 
+def _codepoints(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
 _loaded: dict[tuple[str, int], PieceLattice] = {}
 
 
@@ -235,24 +373,28 @@ def lattice(model_file: str, n_best: int) -> PieceLattice:
 def encode_documents(docs: DataFrame, model_file: str, *, n_best: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, ids (best segmentation), other_ids (the second to the n-th),
     scores (n best, best first) and round_trip: decoding each of the n id lists gives
-    the text (its '▁' read as spaces)."""
+    the text."""
     kind = docs.schema[id_col].dataType.simpleString()
     text = F.coalesce(F.col(text_col), F.lit(""))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = lattice(model_file, n_best)
         for batch in batches:
-            for k in range(0, batch.num_rows, 256):
-                part = batch.slice(k, 256)
-                ids, others, scores, same = [], [], [], []
-                for t in part.column(1).to_pylist():
-                    lists, s = model.encode_all(t)
-                    ids.append(lists[0] if lists else [])
-                    others.append(lists[1:])
-                    scores.append(s)
-                    plain = t.replace("▁", " ")
-                    same.append(all([model.decode(i) == plain for i in lists or [[]]]))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(ids, pa.list_(pa.int32())), pa.array(others, pa.list_(pa.list_(pa.int32()))), pa.array(scores, pa.list_(pa.float64())), pa.array(same, pa.bool_())], ["doc_id", "n_bytes", "ids", "other_ids", "scores", "round_trip"])
+            for a, b, _, _ in chunks(batch.column(1), READ_BYTES):
+                part = batch.slice(a, b - a)
+                lists, scores, same = model.encode_texts(part.column(1).to_pylist())
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), _lists([x[0] if x else x for x in lists]), _nested([x[1:] for x in lists]), pa.array(scores, pa.list_(pa.float64())), pa.array(same, pa.bool_())], ["doc_id", "n_bytes", "ids", "other_ids", "scores", "round_trip"])
 
     rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.octet_length(text).cast("long").alias("n_bytes"))
     return rows.mapInArrow(run, f"doc_id {kind}, n_bytes long, ids array<int>, other_ids array<array<int>>, scores array<double>, round_trip boolean")
+
+
+def _lists(arrays: list) -> pa.Array:
+    ends = np.cumsum([0, *map(len, arrays)])
+    flat = np.concatenate([np.asarray(x, np.int32) for x in arrays]) if arrays else np.empty(0, np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
+
+
+def _nested(rows: list[list]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, rows)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), _lists([x for r in rows for x in r]))

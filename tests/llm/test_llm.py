@@ -414,7 +414,7 @@ def test_languages(spark, docs, empty):
 
 def brute_segmentations(model, part):
     if not part:
-        return [(0.0, ())]
+        return [(0, ())]
     out, single = [], False
     for j in range(1, len(part) + 1):
         if part[:j] in model.pieces:
@@ -429,55 +429,108 @@ def brute_segmentations(model, part):
 
 def test_n_best():
     model = PieceLattice(Q.piece_model(), 4)
-    for part in ("▁the", "▁hello", "▁x\U0001f600y", "▁▁", "▁ß\n"):
-        want = sorted(brute_segmentations(model, part), key=lambda x: -x[0])[:4]
+    for part in ("▁the", "▁hello", "▁x\U0001f600y", "▁▁", "▁ß\n", "aaaaaaaa"):
+        every = dict((ids, s) for s, ids in brute_segmentations(model, part))
         got = model.best(part)
-        assert [round(s, 6) for s, _ in got] == [round(s, 6) for s, _ in want]
+        assert [s for s, _ in got] == sorted(every.values(), reverse=True)[:4]
+        assert all(every[ids] == s for s, ids in got) and len({ids for _, ids in got}) == len(got)
     text = "the cat hello"
     parts = [brute_segmentations(model, p) for p in model.parts(text)]
     want = sorted((sum(s for s, _ in x) for x in itertools.product(*parts)), reverse=True)[:4]
-    assert model.encode(text)[1] == pytest.approx(want)
+    lists, scores, same = model.encode_texts([text, "", text])
+    assert scores[0] == scores[2] == pytest.approx([x / 1e6 for x in want]) and lists[1] == [] and all(same)
+    assert len({tuple(x) for x in lists[0]}) == 4 and all(model.decode(list(x)) == text for x in lists[0])
 
 
-def test_encoding_round_trip(docs, empty):
+@pytest.fixture(scope="module")
+def encoded(docs):
+    return encode_documents(docs, Q.piece_model()).collect()
+
+
+def test_encoding_round_trip(docs, empty, encoded):
     import sentencepiece
 
     sp = sentencepiece.SentencePieceProcessor(model_file=Q.piece_model())
-    rows = encode_documents(docs, Q.piece_model()).collect()
-    assert len(rows) == docs.count() and all(r["round_trip"] for r in rows)
-    assert all(list(r["scores"]) == sorted(r["scores"], reverse=True) for r in rows)
+    assert len(encoded) == docs.count() and all(r["round_trip"] for r in encoded)
+    assert all(list(r["scores"]) == sorted(r["scores"], reverse=True) for r in encoded)
     text = dict(pairs_of(docs))
-    assert all(sp.decode(list(r["ids"])) == text[r["doc_id"]] for r in rows)
+    assert all(sp.decode(list(r["ids"])) == text[r["doc_id"]] for r in encoded)
     assert encode_documents(empty, Q.piece_model()).count() == 0
 
 
-def test_all_n_best_are_returned(spark, docs):
+def test_all_n_best_are_returned(docs, encoded):
+    """Each list decodes to the text and has the score that its pieces have."""
     import sentencepiece
 
     sp = sentencepiece.SentencePieceProcessor(model_file=Q.piece_model())
     model = PieceLattice(Q.piece_model(), 3)
     score_of = {i: s for s, i in model.pieces.values()}
     text = dict(pairs_of(docs))
-    rows = encode_documents(docs, Q.piece_model()).collect()
-    assert any(len(r["other_ids"]) == 2 for r in rows)
-    for r in rows:
+    assert any(len(r["other_ids"]) == 2 for r in encoded)
+    for r in encoded:
         lists = [list(r["ids"]), *map(list, r["other_ids"])] if r["scores"] else []
         assert len(lists) == len(r["scores"]) == len(set(map(tuple, lists)))
         for ids, score in zip(lists, r["scores"], strict=True):
             assert sp.decode(ids) == text[r["doc_id"]]
             if all(i in score_of for i in ids):
-                assert sum(score_of[i] for i in ids) == pytest.approx(score)
+                assert sum(score_of[i] for i in ids) / 1e6 == pytest.approx(score)
+
+
+def test_the_texts_own_space_sign_survives(spark):
+    texts = ["▁", "a▁b ▁ c", "  ▁▁x", "\u2581 \U0001f600 "]
+    rows = encode_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), Q.piece_model()).collect()
+    model = PieceLattice(Q.piece_model(), 3)
+    assert all(r["round_trip"] for r in rows)
+    assert {r["doc_id"]: model.decode(list(r["ids"])) for r in rows} == dict(enumerate(texts))
+
+
+def test_whole_words_come_first():
+    model = PieceLattice(Q.piece_model(), 3)
+    assert [model.names[i] for i in model.best("▁the")[0][1]] == ["▁the"]
+    assert len(model.best("▁internationalization")[0][1]) <= 3
+
+
+def test_parts_together_and_alone():
+    """The search over many parts gives what the search of one part gives."""
+    model, r = PieceLattice(Q.piece_model(), 3), random.Random(9)
+    parts = sorted({"▁" * r.randint(0, 2) + "".join(r.choices("aeinorst日é\udc81", [9] * 8 + [1] * 3, k=r.randint(1, 70))) for _ in range(400)})
+    ids, place, length, score, right = model.search(parts)
+    assert right.all()
+    for k, p in enumerate(parts):
+        got = model.best(p)
+        assert (length[k] >= 0).sum() == len(got)
+        for j, (s, x) in enumerate(got):
+            assert score[k, j] == s and tuple(ids[place[k, j] : place[k, j] + length[k, j]].tolist()) == x
+
+
+def test_long_parts_take_linear_time_and_memory():
+    """Texts of many letters without a space: random ones, and equal ones, whose
+    segmentations tie at every place."""
+    import time
+    import tracemalloc
+
+    r, took = random.Random(1), {}
+    for n in (25_000, 100_000):
+        for kind, text in (("base64", "".join(r.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", k=n))), ("ties", "a" * n)):
+            model = PieceLattice(Q.piece_model(), 3)
+            tracemalloc.start()
+            began = time.process_time()
+            lists, scores, same = model.encode_texts([text])
+            took[kind, n] = time.process_time() - began
+            assert tracemalloc.get_traced_memory()[1] < 200 * n + (20 << 20)
+            tracemalloc.stop()
+            assert same == [True] and len(lists[0]) == 3 and scores[0] == sorted(scores[0], reverse=True)
+            assert model.decode(lists[0][2].tolist()) == text
+    assert all(took[kind, 100_000] < 10 * took[kind, 25_000] + 1 for kind in ("base64", "ties"))
 
 
 def test_equal_scores_give_no_segmentation_twice():
     model = PieceLattice(Q.piece_model(), 3)
-    piece = {p: (-1.0, (k,)) for k, p in enumerate(["a", "aa", "aaa"])}
-    model.pieces = {p: (s, i[0]) for p, (s, i) in piece.items()} | {"▁": (-1.0, 9)}
-    model.longest = {"a": 3, "▁": 1}
-    model.prefixes = piece | {"▁": (-1.0, (9,))}
+    model.pieces = {"a": (-1, 0), "aa": (-1, 1), "aaa": (-1, 2), "▁": (-1, 9)}
+    model.index()
     for n in range(1, 9):
-        lists, scores = model.encode_all("a" * n)
-        assert len(set(map(tuple, lists))) == len(lists) == len(scores) and scores == sorted(scores, reverse=True)
+        lists, scores, _ = model.encode_texts(["a" * n])
+        assert len({tuple(x) for x in lists[0]}) == len(lists[0]) == len(scores[0]) and scores[0] == sorted(scores[0], reverse=True)
 
 
 # ---- 10
