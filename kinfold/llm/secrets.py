@@ -9,8 +9,10 @@ that many characters away. A scope is a text between blank lines. Parts of rows
 have both kinds meet by row and scope; texts are never shuffled.
 
 A null text counts as empty (no span). A null identifier is kept. Repeated rows
-are scanned one by one. Extra columns are ignored by the scan and kept by the
-redaction; an empty table gives an empty result.
+are scanned one by one. Spans of one start are listed by kind. A very long text is
+scanned whole, in time that follows its length and number of matches; its matches
+meet in one task. Extra columns are ignored by the scan and kept by the redaction,
+whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -36,6 +38,8 @@ WEAK = "(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])(?=[0-9+/_-]*+[A-Za-z])[A-Za-
 ENDPOINT = r"(?:https?|ftp|postgres|mysql|redis|amqp|s3)://[^\x20\x09-\x0D\"'<>]+"
 #: Rows with linked parts are sent to all executors up to this count.
 BROADCAST_ROWS = 100_000
+#: Spans are gathered in blocks of so many.
+BLOCK = 256
 SCOPE_BREAK = r"\n[\x20\x09\r]*\n"
 
 _SPANS = "array<struct<s:int,k:int,e:int>>"
@@ -48,14 +52,28 @@ def _spans(text: Column, pattern: str, kind: int, fits=None) -> Column:
     gaps = F.split(text, pattern)
     steps = F.zip_with(F.slice(gaps, F.lit(1), F.size(matches)), matches, lambda g, m: F.struct(F.length(g).alias("g"), F.length(m).alias("m"), (fits(m) if fits else F.lit(True)).alias("ok")))
     empty = F.array().cast(_SPANS)
-    found = F.aggregate(
-        steps,
-        F.struct(F.lit(0).alias("at"), empty.alias("spans")),
-        lambda acc, x: F.struct(
-            (acc["at"] + x["g"] + x["m"]).alias("at"),
-            F.when(x["ok"], F.concat(acc["spans"], F.array(F.struct((acc["at"] + x["g"]).alias("s"), F.lit(kind).alias("k"), (acc["at"] + x["g"] + x["m"]).alias("e"))))).otherwise(acc["spans"]).alias("spans"),
-        ),
-    )["spans"]
+
+    def block(st: Column, at: Column, first: Column) -> Column:
+        """(at, spans) after the steps of one block."""
+
+        def add(acc: Column, i: Column) -> Column:
+            x = F.get(st, i)
+            start = acc["at"] + x["g"]
+            end = start + x["m"]
+            return F.struct(end.alias("at"), F.when(x["ok"], F.concat(acc["spans"], F.array(F.struct(start.alias("s"), F.lit(kind).alias("k"), end.alias("e"))))).otherwise(acc["spans"]).alias("spans"))
+
+        return F.aggregate(F.sequence(first, F.least(first + BLOCK, F.size(st)) - 1), F.struct(at.alias("at"), empty.alias("spans")), add)
+
+    def folded(st: Column) -> Column:
+        # Appending copies: within a block a bounded number of spans, then whole blocks.
+        return F.aggregate(
+            F.transform(F.sequence(F.lit(0), F.floor((F.size(st) - 1) / BLOCK).cast("int")), lambda b: b * BLOCK),
+            F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPANS}>").alias("spans")),
+            lambda acc, first: F.get(F.transform(F.array(block(st, acc["at"], first)), lambda r: F.struct(r["at"].alias("at"), F.concat(acc["spans"], F.array(r["spans"])).alias("spans"))), F.lit(0)),
+            lambda acc: F.flatten(acc["spans"]),
+        )
+
+    found = F.get(F.transform(F.array(steps), folded), F.lit(0))
     return F.when(text.rlike(pattern), found).otherwise(empty)
 
 
@@ -64,10 +82,6 @@ def _listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", F.element_at(names, x["k"] + 1), x["s"].cast("string"), x["e"].cast("string"))), ",")
 
 
-def _overlapping(spans: Column, x: Column) -> Column:
-    return F.exists(spans, lambda y: (y["s"] < x["e"]) & (x["s"] < y["e"]))
-
-
 def find_secrets(docs: DataFrame, *, reach: int | None = None, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """Row by row: row (its number here), doc_id, kept_<column> for each of keep, the
     counts, base and linked (arrays of s, k, e, sorted)."""
@@ -93,14 +107,21 @@ def _link(rows: DataFrame, reach: int | None) -> DataFrame:
     scope, and those identifiers and endpoints. Each part looks for the nearest part
     of the other side before and after it, so no pairs are made."""
 
-    def parts(spans: Column, weak: bool) -> DataFrame:
-        one = rows.select("row", "scopes", "base", F.explode(spans).alias("x"))
-        scope = F.size(F.filter("scopes", lambda b: b < F.col("x.s")))
-        return one.select("row", "base", scope.alias("scope"), "x", F.lit(weak).alias("weak"))
-
-    weak = parts(F.col("weak"), True).where(~_overlapping(F.col("base"), F.col("x")))
+    # All parts, base spans and ends of scopes as events of their row; its matches are
+    # what a window holds, and no array is copied to each of them.
+    role = lambda spans, name: F.transform(spans, lambda x: F.struct(x.alias("x"), F.lit(name).alias("role")))
+    ends = F.transform("scopes", lambda b: F.struct(F.struct(b.alias("s"), F.lit(-1).alias("k"), b.alias("e")).alias("x"), F.lit("end").alias("role")))
+    others = F.concat("ident", "endpoint", "access")
+    events = rows.select("row", F.explode(F.concat(role(F.col("weak"), "weak"), role(others, "other"), role(F.col("base"), "base"), ends)).alias("v")).select("row", "v.x", "v.role")
+    before = lambda c: Window.partitionBy("row").orderBy(c).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    # A weak secret overlaps a base span if of those that start before its end one ends after its start.
+    spot = F.when(F.col("role") == "weak", F.col("x.e") - 1).otherwise(F.col("x.s"))
+    covered = F.max(F.when(F.col("role") == "base", F.col("x.e"))).over(before("spot"))
+    scope = F.sum(F.when(F.col("role") == "end", 1).otherwise(0)).over(before("start"))
+    events = events.withColumn("spot", spot).withColumn("start", F.col("x.s")).withColumn("covered", covered).withColumn("scope", scope)
+    both = events.where((F.col("role") == "other") | ((F.col("role") == "weak") & (F.coalesce("covered", F.lit(-1)) <= F.col("start"))))
+    both = both.select("row", "scope", "x", (F.col("role") == "weak").alias("weak"))
     is_weak = F.col("weak")
-    both = weak.unionByName(parts(F.concat("ident", "endpoint", "access"), False)).drop("base")
     # On `a` a weak secret's start meets the others' ends, on `b` its end their starts.
     both = both.withColumn("a", F.when(is_weak, F.col("x.s")).otherwise(F.col("x.e"))).withColumn("b", F.when(is_weak, F.col("x.e")).otherwise(F.col("x.s")))
     up = lambda c: Window.partitionBy("row", "scope").orderBy(c).rangeBetween(Window.unboundedPreceding, Window.currentRow)

@@ -4,13 +4,18 @@ The metadata space has four dimensions (language, source, size, identifier),
 each quantised to 20 bits. A node that must hold several shards is split along
 its widest dimension at the weighted median (the byte quantile that divides its
 shards between the children). Medians come from histograms of 12 bits of the
-composite key (coordinate, then a hash and the identifier's low bits) refined
-digit by digit, so only bounded tables ever reach the driver: one row per node
-and digit.
+composite key (coordinate, then a hash of identifier and checksum, then a row's own
+digits, which part repeated rows) refined digit by digit, so only bounded tables
+ever reach the driver: one row per node.
 
 Nulls: a null text has no bytes (size 1, CRC 0), null metadata is a value of its
-own, a null identifier sorts first. Repeated rows are placed one by one. An empty
-table gives an empty result. Extra columns are ignored.
+own, a null identifier sorts first. Repeated rows are placed one by one, so any
+number of them is cut at a median like other rows; which of them goes where makes no
+difference. Ties of a coordinate are cut by the hash. A very long text is one row:
+it may fill the bytes of several shards, which then stay small. Copies of a text under
+several identifiers are placed one by one too: law `bytes` could not hold otherwise
+where a group has more bytes than a shard. Slots depend on the rows and `salts` alone.
+An empty table gives an empty result. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,7 +28,7 @@ from pyspark.sql import functions as F
 from kinfold.llm.shared import settled
 
 COORD_BITS, DIGIT_BITS = 20, 12
-TIE_BITS = 40
+TIE_BITS, OWN_BITS = 40, 24
 DIMS = ("lang", "source", "size", "ident")
 
 
@@ -42,6 +47,8 @@ def _coordinates(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sou
         F.least(F.floor(F.log2(size.cast("double")) * F.lit(1 << 15)), top).alias("d_size"),
         low20(ident).alias("d_ident"),
         F.pmod(F.xxhash64(F.lit(1), ident, F.crc32(text)), F.lit(1 << TIE_BITS)).alias("tie"),
+        # Fixed when the rows are written; it decides between equal keys only.
+        F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << OWN_BITS)).alias("own"),
     )
 
 
@@ -62,7 +69,7 @@ def kd_shards(
     *,
     shards: int | None = None,
     target_bytes: int | None = None,
-    salts: int | None = None,
+    salts: int = 64,
     id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str = "lang",
@@ -89,7 +96,7 @@ def kd_shards(
             width = [r[2 + k] / spread[k] for k in range(len(DIMS))]
             dims[r["node"]] = max(range(len(DIMS)), key=lambda k: (width[k], -k))
             goal[r["node"]] = r["b"] * (leaves[r["node"]][1] // 2) / leaves[r["node"]][1]
-        cuts = _medians(rows, dims, goal)
+        cuts, own_cuts = _medians(rows, dims, goal)
         nxt, moves = dict(leaves), {}
         for node in dims:
             first, count = leaves[node]
@@ -101,11 +108,11 @@ def kd_shards(
         # Nodes that no row reached keep their name and have nothing to split.
         leaves = {k: v if k in moves or k not in open_nodes else (v[0], 1) for k, v in nxt.items()}
         node = F.col("node")
-        right = _key(_lookup(node, dims)) >= _lookup(node, cuts)
+        key, cut = _key(_lookup(node, dims)), _lookup(node, cuts)
+        right = (key > cut) | ((key == cut) & (F.col("own") >= _lookup(node, own_cuts)))
         rows = rows.withColumn("node", F.when(node.isin(list(dims)) & right, _lookup(node, moves)).otherwise(node).cast("int"))
         rows = settled(rows, "kdnodes")  # short lineage; a level reads no earlier level's splits
     placed = rows.select("doc_id", "size", "text_crc32", "tie", F.col("node").alias("shard"))
-    salts = salts or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     placed = placed.withColumn("salt", F.pmod(F.xxhash64(F.lit(2), "tie"), F.lit(salts)).cast("int"))
     before = (
         placed.groupBy("shard", "salt")
@@ -119,29 +126,30 @@ def kd_shards(
     return out.select("doc_id", "size", "text_crc32", "shard", (F.col("before") + F.col("nth") - 1).alias("slot"))
 
 
-def _medians(rows: DataFrame, dims: dict[int, int], goal: dict[int, float]) -> dict[int, int]:
-    """For each node the key at which its bytes pass the goal, digit by digit."""
+def _medians(rows: DataFrame, dims: dict[int, int], goal: dict[int, float]) -> tuple[dict[int, int], dict[int, int]]:
+    """For each node the key, and the row's own digits, at which its bytes pass the
+    goal, digit by digit."""
     node = F.col("node")
-    keyed = rows.where(node.isin(list(dims))).select("node", "size", _key(_lookup(node, dims)).alias("key"))
-    low, rest = dict.fromkeys(dims, 0), dict(goal)
-    shift = COORD_BITS + TIE_BITS
-    while shift > 0:
-        shift -= DIGIT_BITS
-        inside = F.shiftright(F.col("key"), shift + DIGIT_BITS) == F.shiftright(_lookup(node, low), shift + DIGIT_BITS)
-        digit = F.shiftright(F.col("key"), shift).bitwiseAND(F.lit((1 << DIGIT_BITS) - 1))
-        got = keyed.where(inside).groupBy("node", digit.alias("digit")).agg(F.sum("size").alias("b"), F.count(F.lit(1)).alias("n"))
-        upto = F.sum("b").over(Window.partitionBy("node").orderBy("digit").rowsBetween(Window.unboundedPreceding, 0))
-        got = got.withColumn("upto", upto).withColumn("last", F.max("digit").over(Window.partitionBy("node")))
-        hit = got.where((F.col("upto") > _lookup_float(node, rest)) | (F.col("digit") == F.col("last")))
-        hit = hit.groupBy("node").agg(F.min_by(F.struct("digit", "upto", "b", "n"), "digit").alias("h"))
-        alone = True
-        for r in hit.collect():  # at most one row for each node
-            low[r["node"]] |= r["h"]["digit"] << shift
-            rest[r["node"]] = max(0.0, rest[r["node"]] - (r["h"]["upto"] - r["h"]["b"]))
-            alone &= r["h"]["n"] == 1
-        if alone:
-            break
-    return low
+    keyed = rows.where(node.isin(list(dims))).select("node", "size", _key(_lookup(node, dims)).alias("key"), "own")
+    low, rest = {"key": dict.fromkeys(dims, 0), "own": dict.fromkeys(dims, 0)}, dict(goal)
+    for name, bits in (("key", COORD_BITS + TIE_BITS), ("own", OWN_BITS)):
+        inside = F.lit(True) if name == "key" else F.col("key") == _lookup(node, low["key"])
+        for shift in range(bits - DIGIT_BITS, -1, -DIGIT_BITS):
+            here = inside & (F.shiftright(F.col(name), shift + DIGIT_BITS) == F.shiftright(_lookup(node, low[name]), shift + DIGIT_BITS))
+            digit = F.shiftright(F.col(name), shift).bitwiseAND(F.lit((1 << DIGIT_BITS) - 1))
+            got = keyed.where(here).groupBy("node", digit.alias("digit")).agg(F.sum("size").alias("b"), F.count(F.lit(1)).alias("n"))
+            upto = F.sum("b").over(Window.partitionBy("node").orderBy("digit").rowsBetween(Window.unboundedPreceding, 0))
+            got = got.withColumn("upto", upto).withColumn("last", F.max("digit").over(Window.partitionBy("node")))
+            hit = got.where((F.col("upto") > _lookup_float(node, rest)) | (F.col("digit") == F.col("last")))
+            hit = hit.groupBy("node").agg(F.min_by(F.struct("digit", "upto", "b", "n"), "digit").alias("h"))
+            alone = True
+            for r in hit.collect():  # at most one row for each node
+                low[name][r["node"]] |= r["h"]["digit"] << shift
+                rest[r["node"]] = max(0.0, rest[r["node"]] - (r["h"]["upto"] - r["h"]["b"]))
+                alone &= r["h"]["n"] == 1
+            if alone:
+                return low["key"], low["own"]
+    return low["key"], low["own"]
 
 
 def _lookup_float(node: Column, values: dict[int, float]) -> Column:

@@ -122,6 +122,49 @@ def test_shards_are_even(spark):
     assert n == -(-sum(sizes) // 20_000)
 
 
+def test_repeated_rows_are_placed_one_by_one(spark):
+    """Any number of equal rows is cut at medians; slots do not depend on settings."""
+    df = spark.range(0, 1200, 1, 5).select(F.least(F.col("id"), F.lit(200)).alias("doc_id"), F.lit("some text of a row").alias("text"), F.lit("en").alias("lang"), F.lit("s").alias("source"))
+    got = kd_shards(df, shards=16).collect()
+    rows = Counter(r["shard"] for r in got)
+    assert len(rows) == 16 and max(rows.values()) - min(rows.values()) <= 16
+    one = df.where("doc_id < 200")
+    places = lambda: sorted(map(tuple, kd_shards(one, shards=5).collect()))
+    first = places()
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    try:
+        assert places() == first
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def brute_tree(points, first, shards, spread):
+    """The tree of op2 over (size, coordinates, tie, identifier) in plain lists."""
+    if shards == 1 or not points:
+        return {p[3]: first for p in points}
+    width = [(max(p[1][k] for p in points) - min(p[1][k] for p in points)) / spread[k] for k in range(4)]
+    dim = max(range(4), key=lambda k: (width[k], -k))
+    points = sorted(points, key=lambda p: (p[1][dim], p[2]))
+    goal, run, cut = sum(p[0] for p in points) * (shards // 2) / shards, 0, len(points) - 1
+    for j, p in enumerate(points):
+        run += p[0]
+        if run > goal:
+            cut = j
+            break
+    return brute_tree(points[:cut], first, shards // 2, spread) | brute_tree(points[cut:], first + shards // 2, shards - shards // 2, spread)
+
+
+def test_shards_are_the_trees_leaves(spark):
+    from kinfold.llm.shards import _coordinates
+
+    r = random.Random(12)
+    rows = [(k, prose(r.randint(1, 80), r), r.choice(["en", "de", None]), r.choice("abc")) for k in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    points = [(p["size"], (p["d_lang"], p["d_source"], p["d_size"], p["d_ident"]), p["tie"], p["doc_id"]) for p in _coordinates(df, "doc_id", "text", "lang", "source").collect()]
+    spread = [max(1, max(p[1][k] for p in points) - min(p[1][k] for p in points)) for k in range(4)]
+    assert {x["doc_id"]: x["shard"] for x in kd_shards(df, shards=7).collect()} == brute_tree(points, 0, 7, spread)
+
+
 # ---- 3
 
 
@@ -393,6 +436,30 @@ def test_scopes_bound_the_links(spark):
     assert kinds(reach=200) == {0: [], 1: [], 2: [], 3: [], 4: ["weak", "ident"]}
 
 
+def test_links_are_what_brute_force_links(spark):
+    """Weak secrets and their parts against all pairs, many matches a text among them."""
+    from kinfold.llm import secrets as X
+
+    r = random.Random(21)
+    bits = ["user: alice9", "key q7Wx9Zk2Lm4Np8Rt6Vb1", "https://h.example/x", "AKIAABCDEFGHIJKL", "\n\n", "\n", "token = q7Wx9Zk2Lm4Np8Rt6Vb1", "plain words", "https://u:q7Wx9Zk2Lm4Np8Rt6Vb2@h/", "0123456789abcdef0123456789abcdef", "😀 é"]
+    texts = [" ".join(r.choices(bits, k=r.randint(1, 14))) for _ in range(60)] + [" ".join(r.choices(bits, k=3000))]
+    got = {x["row"]: x for x in find_secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).withColumn("row", F.col("doc_id")).collect()}
+    runs = lambda p, t, k: [(m.start(), k, m.end()) for m in re.finditer(p, t)]
+    for k, t in enumerate(texts):
+        assign = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(t) if len(m[2]) >= 8]
+        base = assign + runs(X.ACCESS, t, 1) + runs(X.HEX, t, 2)
+        apart = lambda x, y: x[2] <= y[0] or y[2] <= x[0]
+        weak = [x for x in runs(X.WEAK, t, 4) if all(apart(x, y) for y in base)]
+        others = runs(X.IDENT, t, 3) + runs(X.ENDPOINT, t, 5) + runs(X.ACCESS, t, 1)
+        breaks = [m.start() for m in re.finditer(X.SCOPE_BREAK, t)]
+        scope = lambda x, b=breaks: sum(y < x[0] for y in b)
+        meets = lambda x, ys: any(apart(x, y) and scope(x) == scope(y) for y in ys)
+        want = [x for x in weak if meets(x, others)] + [x for x in others if x[1] != 1 and meets(x, weak)] if k < 60 else None
+        if want is not None:
+            assert [tuple(x) for x in got[k]["linked"]] == sorted(want)
+        assert [tuple(x) for x in got[k]["base"]] == sorted(base)
+
+
 # ---- 8
 
 
