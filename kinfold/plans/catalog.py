@@ -73,12 +73,21 @@ def r6(c: str | Column) -> Column:
     return F.round(c, 6)
 
 
+#: A difference of scores of 9 digits often lies just between two of 6: it is rounded
+#: as a whole number of 1e-9, the same way in Spark and in SQL.
+_GAP = "floor((round(cand_gap_to_best * 1e9) + 500) / 1000) / 1e6::DOUBLE"
+
+
+def _six(c: str) -> Column:
+    return F.expr(_GAP) if c == "cand_gap_to_best" else r6(F.col(c))
+
+
 def _rounded(df: DataFrame, cols: list[str]) -> DataFrame:
-    return df.select("s1_id", "r_id", *[r6(F.col(c)).alias(c) for c in cols])
+    return df.select("s1_id", "r_id", *[_six(c).alias(c) for c in cols])
 
 
 def _sql_rounded(cols: list[str]) -> str:
-    return "s1_id, r_id, " + ", ".join(f"round({c}, 6) AS {c}" for c in cols)
+    return "s1_id, r_id, " + ", ".join(f"{_GAP if c == 'cand_gap_to_best' else f'round({c}, 6)'} AS {c}" for c in cols)
 
 
 def entry(spark: SparkSession, sf: str) -> DataFrame:
@@ -288,7 +297,7 @@ def e_injected(spark, sf):
     natural = blocking.candidate_pairs(blocking.signal_pairs(left, right, vec))
     pool = truth.training_pool(truth.true_pairs(truth_table(spark, sf), left, right), natural).drop("label")
     rows = features.list_features(features.pair_features(pool, features.record_features(left, vec), features.record_features(right, vec)))
-    return rows.select("natural", "s1_id", "r_id", *[r6(F.col(c)).alias(c) for c in features.LIST])
+    return rows.select("natural", "s1_id", "r_id", *[_six(c).alias(c) for c in features.LIST])
 
 
 # ---------------------------------------------------------------- G: evaluation with the combined score
