@@ -50,6 +50,8 @@ from kinfold.llm.textbytes import chunks, mix, shingle_sets
 BROADCAST_ROWS = 500_000
 SKETCH_WORDS = 8
 SKETCH = [f"s{k}" for k in range(SKETCH_WORDS)]
+#: So many of its groups a set carries, to meet another in few of those they share.
+LEAST = 8
 #: Parts whose signatures the first round takes.
 FIRST_PARTS = 4
 #: Of unrelated sets, one in so many may share an empty signature.
@@ -152,6 +154,12 @@ def signatures(feats: np.ndarray, num: int, den: int, every: list[tuple[int, int
     return np.concatenate(out)
 
 
+def signed_as(n: int, every: list[tuple[int, int, int, int]]) -> int:
+    """How many signatures a set of n shingles has, empty ones included."""
+    own = int(np.searchsorted([x[0] for x in every], n))
+    return sum(n1 * comb(n2, k2) for _, n1, n2, k2 in every[own : own + 2])
+
+
 def sketch(feats: np.ndarray) -> np.ndarray:
     """Parities of the set over 64 * SKETCH_WORDS cells: two sketches differ in
     no more bits than the sets differ in elements."""
@@ -230,13 +238,16 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 def _allowed(table: pa.Table, num: int, den: int) -> pa.Table:
     """Pairs of two labels that sizes and sketches allow, of all groups of a bucket.
-    Within a group of blocks x < y only members of different sides meet."""
+    Within a group of blocks x < y only members of different sides meet. A pair that
+    is known to share a lesser group (by its sets' least ones) is left to that one."""
     empty = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
     got = {c: table.column(c).to_numpy() for c in ("gid", "x", "y", "side", "v", "label", "n")}
     sketches = np.stack([table.column(c).to_numpy() for c in SKETCH], 1).view(np.uint64)
     order = np.lexsort((got["v"], got["y"], got["x"], got["gid"]))
     gid, x, y, side, v, label, n = (got[c][order] for c in ("gid", "x", "y", "side", "v", "label", "n"))
     sketches = sketches[order]
+    most = np.iinfo(np.int64).max
+    least = np.array([(x + [most] * LEAST)[:LEAST] for x in table.column("least").to_pylist()], np.int64).reshape(-1, LEAST)[order]
     start = np.ones(len(gid), bool)
     start[1:] = (gid[1:] != gid[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])
     head = np.flatnonzero(start)
@@ -249,7 +260,10 @@ def _allowed(table: pa.Table, num: int, den: int) -> pa.Table:
         i, j, both = i[keep], j[keep], (a + b)[keep]
         bits = np.bitwise_count(sketches[i] ^ sketches[j]).sum(axis=1, dtype=np.int64)
         keep = bits * (den + num) <= both * (den - num)
-        found.append(np.stack((v[i[keep]], v[j[keep]]), 1))
+        i, j = i[keep], j[keep]
+        before = (least[i][:, :, None] == least[j][:, None, :]) & (least[i] < gid[i][:, None])[:, :, None]
+        here = ~before.any(axis=(1, 2))
+        found.append(np.stack((v[i[here]], v[j[here]]), 1))
 
     for s in np.unique(size).tolist():
         heads = head[size == s]
@@ -328,8 +342,7 @@ def jaccard_classes(docs: DataFrame, *, n: int = 5, num: int = 80, den: int = 10
                 for feats in shingle_sets(raw, offsets, n):
                     if len(feats) and (v := _set_name(feats)[0]) not in seen:
                         seen.add(v)
-                        count = len(signatures(feats, num, den, every))
-                        rows.append((v, len(feats), count, feats.tobytes(), sketch(feats)))
+                        rows.append((v, len(feats), signed_as(len(feats), every), feats.tobytes(), sketch(feats)))
                 if rows:
                     v, size, count, blob, sk = zip(*rows, strict=True)
                     cols = [*[pa.array(x, pa.int64()) for x in (v, size, count)], pa.array(blob, pa.binary()), *[pa.array(c) for c in np.array(sk).T]]
@@ -470,7 +483,8 @@ def jaccard_classes(docs: DataFrame, *, n: int = 5, num: int = 80, den: int = 10
     dealt = places.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     dealt = dealt.select("v", "gid", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"))
     described = facts.join(_few(labels).withColumnRenamed("vertex", "v"), "v", "left").withColumn("label", F.coalesce("label", "v"))
-    met = dealt.join(described, "v").withColumn("bucket", F.pmod(F.xxhash64("gid", "x", "y"), F.lit(tasks)))
+    least_groups = places.groupBy("v").agg(F.slice(F.array_sort(F.collect_list("gid")), 1, LEAST).alias("least"))
+    met = dealt.join(described.join(least_groups, "v"), "v").withColumn("bucket", F.pmod(F.xxhash64("gid", "x", "y"), F.lit(tasks)))
     near = met.groupBy("bucket").applyInArrow(lambda t: _allowed(t, num, den), "a long, b long").distinct()
 
     edges = labels.select(F.col("vertex").alias("a"), F.col("label").alias("b")).unionByName(settled(verified(near), "links"))
