@@ -9,12 +9,18 @@ then blind tries, whose branches are found from common-prefix lengths with a
 leading suffix without ordering the bytes in between. Windows that no suffix
 shares drop out; leaves that hold several are repeated.
 
-Anchors of more than HOT places are split over all tasks by the hash of each
-window, counted before the shuffle. Equal texts are one text with a count: all of
-a text of `width` bytes or more that occurs twice is removed.
+Windows at anchors of more than HOT places are sorted the same way where they are
+read: of equal ones in a chunk one is sent on, the others are marked there. Their
+groups are divided by half a window of bytes behind or before the anchor, which equal
+windows share too. So a string that all documents hold costs one window a chunk and
+no window is judged without comparing bytes; HOT decides where work is done, not the
+result. Equal texts (by 64-bit hash and SHA-256) are one text with a count: all of a
+text of `width` bytes or more that occurs twice is removed.
 
 A null counts as empty. Repeated rows are copies, so they are removed whole from
-`width` bytes on. Extra columns are ignored; an empty table gives an empty result.
+`width` bytes on; texts that repeat themselves lose both places. Ties don't arise:
+all places of a repeated window go. Memory follows the longest text. Extra columns are
+ignored, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -69,10 +75,10 @@ def anchors(raw: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarra
 
 
 def repeated_windows(buf: np.ndarray, start: np.ndarray, group: np.ndarray, width: int) -> np.ndarray:
-    """Which of the windows (starts in buf, sorted by group) equal another of
-    their group. Deep-shallow sorting; buf has 8 spare bytes behind."""
+    """For each window (starts in buf, sorted by group) the first one that equals it in
+    its group, -1 if none does. Deep-shallow sorting; buf has 8 spare bytes behind."""
     words = np.lib.stride_tricks.as_strided(buf[:8].view(np.uint64), (len(buf) - 7,), (1,))
-    out = np.zeros(len(start), bool)
+    out = np.full(len(start), -1)
     live = np.arange(len(start))
 
     def regroup(live: np.ndarray, group: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -115,7 +121,7 @@ def repeated_windows(buf: np.ndarray, start: np.ndarray, group: np.ndarray, widt
         lcp = np.minimum(lcp, width)
         low = np.minimum.reduceat(lcp, head)
         done = np.repeat(low >= width, size)
-        out[live[done]] = True
+        out[live[done]] = np.repeat(np.minimum.reduceat(live, head), size)[done]
         live, group, known = live[~done], group[~done], np.repeat(low, size)[~done]
         if len(live):
             byte = buf[start[live] + known]
@@ -130,6 +136,13 @@ def _heads(group: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1]))) if len(group) else np.empty(0, np.int64)
 
 
+def _heads_by(kind: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """First places of runs of one kind whose places follow one another."""
+    if not len(kind):
+        return np.empty(0, np.int64)
+    return np.flatnonzero(np.concatenate(([True], (kind[1:] != kind[:-1]) | (place[1:] != place[:-1] + 1))))
+
+
 def _tails(head: np.ndarray, n: int) -> list[int]:
     return [*head[1:].tolist(), n] if len(head) else []
 
@@ -170,7 +183,7 @@ def remove_repeats(docs: DataFrame, *, width: int = 200, id_col: str = "doc_id",
     text = F.coalesce(F.col(text_col), F.lit(""))
     source = docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).withColumn("t", F.xxhash64("text"))
     named = settled(source.select("doc_id", "t", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(F.encode("text", "utf-8"), 256).alias("sha")), "texts")
-    classes = named.groupBy("t").agg(F.count(F.lit(1)).alias("copies"))
+    classes = named.groupBy("t", "sha").agg(F.count(F.lit(1)).alias("copies"))
     total = named.agg(F.sum("n_bytes")).first()[0] or 0
     buckets = max(parts, total // (256 << 20))
 
@@ -243,26 +256,37 @@ def remove_repeats(docs: DataFrame, *, width: int = 200, id_col: str = "doc_id",
                     shape = np.stack((first[x] - offsets[doc[x]], last[x] - first[x] + 1, place[x] - first[x]), 1).astype(np.int64)
                     rows.append((0, int(bucket[x[0]]), h[x].tobytes(), own.tobytes(), shape.tobytes(), b"".join(body)))
                 if hot.any():
-                    size = (last - first + 1)[hot]
-                    s = np.repeat(first[hot] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-                    own_doc = np.repeat(doc[hot], size)
-                    w = mix(span_hash(prefix, s, s + width))
-                    order = np.argsort(w, kind="stable")
-                    w, s, own_doc = w[order], s[order], own_doc[order]
-                    twice = np.zeros(len(w), bool)
-                    twice[1:] = w[1:] == w[:-1]
-                    head = ~twice
-                    alone = head & ~np.append(twice[1:], False)
-                    # Known here already: marked now, and one witness is sent.
-                    known = np.flatnonzero(~alone)
-                    known = known[np.lexsort((s[known], own_doc[known]))]
-                    for k, spans in _runs(own_doc[known], s[known], width):
+                    h, place, first, last, doc = h[hot], place[hot], first[hot], last[hot], doc[hot]
+                    size = last - first + 1
+                    each = np.repeat(np.arange(len(size)), size)
+                    s = first[each] - (np.cumsum(size) - size)[each] + np.arange(len(each))
+                    reach = place[each] - s
+                    group = mix(h[each] + reach.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+                    order = np.argsort(group, kind="stable")
+                    twin = np.empty(len(order), np.int64)
+                    got = repeated_windows(np.concatenate((raw, np.zeros(16, np.uint8))), s[order], group[order], width)
+                    twin[order] = np.where(got >= 0, order[got], -1)
+                    # Known here already: marked now, and one of them is sent.
+                    known = np.flatnonzero(twin >= 0)
+                    known = known[np.lexsort((s[known], doc[each[known]]))]
+                    for k, spans in _runs(doc[each[known]], s[known], width):
                         spans = (np.frombuffer(spans, np.int64) - offsets[k]).tobytes()
                         rows.append((2, 0, b"", np.array([names[a + k]], np.int64).tobytes(), spans, b""))
-                    pos = np.where(alone, s - offsets[own_doc], -1)
-                    bucket = ((w >> np.uint64(32)) % np.uint64(groups)).astype(np.int32)
-                    for x in _by_bucket(bucket, head):
-                        rows.append((1, int(bucket[x[0]]), w[x].tobytes(), names[a:b][own_doc[x]].tobytes(), pos[x].tobytes(), b""))
+                    sent = np.flatnonzero((twin < 0) | (twin == np.arange(len(twin))))
+                    # Runs of one anchor and one side of it; the side names the group.
+                    half = (width - GRAM) // 2
+                    after = reach[sent] <= half
+                    head = _heads_by(each[sent] * 2 + after, s[sent])
+                    lead = sent[head]
+                    at, after = place[each[lead]], after[head]
+                    key = mix(span_hash(prefix, np.where(after, at, at - half - 1), np.where(after, at + width - half, at + GRAM)) + after.astype(np.uint64))
+                    count = np.diff(np.append(head, len(sent)))
+                    bucket = ((key >> np.uint64(32)) % np.uint64(groups)).astype(np.int32)
+                    own_doc = doc[each[lead]]
+                    for x in _by_bucket(bucket, np.ones(len(lead), bool)):
+                        body = [raw[i : i + n + width - 1].tobytes() for i, n in zip(s[lead[x]].tolist(), count[x].tolist(), strict=True)]
+                        shape = np.stack((s[lead[x]] - offsets[own_doc[x]], count[x], reach[lead[x]]), 1).astype(np.int64)
+                        rows.append((0, int(bucket[x[0]]), key[x].tobytes(), names[a:b][own_doc[x]].tobytes(), shape.tobytes(), b"".join(body)))
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], k) for j, k in enumerate(kinds)], ["kind", "bucket", "h", "t", "shape", "body"])
 
@@ -284,31 +308,16 @@ def remove_repeats(docs: DataFrame, *, width: int = 200, id_col: str = "doc_id",
         order = np.argsort(group, kind="stable")
         start = (body[each] + step)[order]
         got = np.zeros(len(order), bool)
-        got[order] = repeated_windows(buf, start, group[order], width)
+        got[order] = repeated_windows(buf, start, group[order], width) >= 0
         owner, s = t[each[got]], (s0[each] + step)[got]
         order = np.lexsort((s, owner))
         return _marks(list(_runs(owner[order], s[order], width)))
 
-    def count_windows(table: pa.Table) -> pa.Table:
-        w, t, s = (np.concatenate(_column(table, c, k)) for c, k in (("h", np.uint64), ("t", np.int64), ("shape", np.int64)))
-        order = np.lexsort((s, t, w))
-        w, t, s = w[order], t[order], s[order]
-        new = np.concatenate(([True], (w[1:] != w[:-1]) | (t[1:] != t[:-1]) | (s[1:] != s[:-1]))) | (s < 0)
-        w, t, s = w[new], t[new], s[new]
-        head = _heads(w)
-        size = np.diff(np.append(head, len(w)))
-        # A witness (-1) stands for two places or more.
-        keep = (np.repeat(size, size) > 1) & (s >= 0)
-        t, s = t[keep], s[keep]
-        order = np.lexsort((s, t))
-        return _marks(list(_runs(t[order], s[order], width)))
-
     sent = settled(texts.join(places, "t").select("t", "text", "places").mapInArrow(spread, "kind int, bucket int, h binary, t binary, shape binary, body binary"), "windows")
     kind = "t long, spans binary"
-    cold = sent.where("kind = 0").groupBy("bucket").applyInArrow(sort_windows, kind)
-    hot = sent.where("kind = 1").groupBy("bucket").applyInArrow(count_windows, kind)
+    sorted_ = sent.where("kind = 0").groupBy("bucket").applyInArrow(sort_windows, kind)
     known = sent.where("kind = 2").select("t", F.col("shape").alias("spans")).mapInArrow(_unpack, kind)
-    marks = cold.unionByName(hot).unionByName(known).groupBy("t").agg(F.collect_list("spans").alias("spans"))
+    marks = sorted_.unionByName(known).groupBy("t").agg(F.collect_list("spans").alias("spans"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -321,13 +330,13 @@ def remove_repeats(docs: DataFrame, *, width: int = 200, id_col: str = "doc_id",
                 np.add.at(edge, pairs[:, 0], 1)
                 np.add.at(edge, pairs[:, 1], -1)
                 gone = np.cumsum(edge)[:-1] > 0
-                rows.append((int(gone.sum()), int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()), hashlib.sha256(own[~gone].tobytes()).hexdigest()))
+                rows.append((hashlib.sha256(own.tobytes()).hexdigest(), int(gone.sum()), int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()), hashlib.sha256(own[~gone].tobytes()).hexdigest()))
             cols = list(zip(*rows, strict=True))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2])], ["t", "n_removed", "n_spans", "kept"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cols[0]), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()), pa.array(cols[3])], ["t", "sha", "n_removed", "n_spans", "kept"])
 
-    cuts = texts.join(marks, "t").select("t", "text", "spans").mapInArrow(cut, "t long, n_removed long, n_spans long, kept string").groupBy("t").agg(F.first("n_removed").alias("n_removed"), F.first("n_spans").alias("n_spans"), F.first("kept").alias("kept"))
-    facts = classes.join(cuts, "t", "left").where("copies > 1 or n_removed is not null")
-    out = named.join(facts, "t", "left")
+    cuts = texts.join(marks, "t").select("t", "text", "spans").mapInArrow(cut, "t long, sha string, n_removed long, n_spans long, kept string").groupBy("t", "sha").agg(F.first("n_removed").alias("n_removed"), F.first("n_spans").alias("n_spans"), F.first("kept").alias("kept"))
+    facts = classes.join(cuts, ["t", "sha"], "left").where("copies > 1 or n_removed is not null")
+    out = named.join(facts, ["t", "sha"], "left")
     whole = (F.col("copies") > 1) & (F.col("n_bytes") >= width)
     return out.select(
         "doc_id",

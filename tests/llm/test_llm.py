@@ -306,6 +306,17 @@ def test_removed_bytes(docs, empty, monkeypatch, hot):
     assert remove_repeats(empty).count() == 0
 
 
+def test_anchors_of_ten_thousand_places(spark):
+    """One passage in thousands of texts, far more places than an anchor may have in
+    one group: all of it goes, byte by byte, and nothing else."""
+    r = random.Random(31)
+    passage = prose(90, r)
+    rows = [(k, f"{'%x' % r.getrandbits(64)} {passage[: len(passage) - k % 7]} tail {k}") for k in range(3000)]
+    rows += [(5000 + k, " ".join(["round"] * 400)) for k in range(1)] + [(6000, prose(300, r))]
+    got = by_id(remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)))
+    assert got == brute_removed(rows, 200)
+
+
 def test_nothing_shared(spark):
     df = spark.createDataFrame([(1, "alpha beta"), (2, "gamma"), (3, None)], "doc_id long, text string")
     assert [r[2] for r in by_id(remove_repeats(df))] == [0, 0, 0]
