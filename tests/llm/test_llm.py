@@ -487,6 +487,51 @@ def test_languages(spark, docs, empty):
     assert identify_languages(empty, held_out=held).count() == 0
 
 
+def brute_bits(text, samples):
+    """Code length of a text by prediction by partial matching, method C, byte by byte."""
+    import math
+
+    order, counts = 5, {}
+    for t in samples:
+        data = b" " * order + t.encode()
+        for k in range(order, len(data)):
+            for o in range(order + 1):
+                counts.setdefault(data[k - o : k], Counter())[data[k]] += 1
+    data, bits = b" " * order + text.encode(), 0.0
+    for k in range(order, len(data)):
+        for o in range(order, -1, -1):
+            seen = counts.get(data[k - o : k])
+            if seen is None:
+                continue
+            total = sum(seen.values()) + len(seen)
+            if data[k] in seen:
+                bits -= math.log2(seen[data[k]] / total)
+                break
+            bits -= math.log2(len(seen) / total)
+        else:
+            bits += 8
+    return bits
+
+
+def test_code_lengths_and_posteriors(spark):
+    import math
+
+    one, two = ["the cat sat on the mat", "a cat and a hat"], ["die katze sitzt", "der hut und die matte é"]
+    asked = ["the cat", "die katze und", "zzz ÄÖ", "x", "the cat"]
+    rows = [(k, t, "en", False) for k, t in enumerate(one)] + [(10 + k, t, "de", False) for k, t in enumerate(two)] + [(20 + k, t, None, True) for k, t in enumerate(asked)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, h boolean")
+    got = {r["doc_id"]: r for r in identify_languages(df, held_out=F.col("h")).where("held_out").collect()}
+    for k, t in enumerate(asked):
+        bits = {"de": brute_bits(t, two), "en": brute_bits(t, one)}
+        best = min(bits, key=lambda x: bits[x])
+        r = got[20 + k]
+        assert r["lang_pred"] == best and r["bits_per_byte"] == pytest.approx(bits[best] / len(t.encode()), abs=1e-4)
+        assert r["score"] == pytest.approx(1 / sum(2.0 ** max(bits[best] - x, -1000) for x in bits.values()), abs=1e-4)
+    assert got[20][2:] == got[24][2:]
+    tie = spark.createDataFrame([(1, "same words", "b", False), (2, "same words", "a", False), (3, "same words", None, True)], df.schema)
+    assert identify_languages(tie, held_out=F.col("h")).where("held_out").first()["lang_pred"] == "a"
+
+
 # ---- 9
 
 
