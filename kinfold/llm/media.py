@@ -1,14 +1,19 @@
 """Media columns over content-addressed payloads in tar shards.
 
-Each task writes its payloads as 8-bit grey PNG images, one tar entry for each
-digest, into shards in the shared folder, and rows carry digest, shard, offset
-and length. The metadata columns are filled by range reads of headers only (one
+Rows are named by the digest of their payload first; of each digest one identifier's
+row is stored, as an 8-bit grey PNG image in a tar shard in the shared folder, and all
+rows carry digest, shard, offset and length of the stored one: copies in other tasks
+store nothing. Only digests that occur twice or more move to find that out. The
+metadata columns are filled by range reads of headers only (one
 tar header and one image header); features come from the whole stored bytes,
 read back by range. A shard's name holds a random part, so a task that runs again
 writes its own and the manifest, which is written once, names complete shards.
 
-A null counts as empty. Equal texts have equal values; within a shard they share
-one entry. Repeated rows get equal rows. Extra columns are ignored.
+A null counts as empty. Equal texts have equal values and one entry; only rows that
+repeat an identifier too may be stored once a task, and then the first shard by name
+is the one that rows carry. A very long text is one entry, read whole by its task; tasks
+hold one shard's rows at a time. Extra columns are ignored, whatever their names; an
+empty table gives an empty result and no shard.
 """
 
 from __future__ import annotations
@@ -33,7 +38,9 @@ PAD = 255
 BLOCK = 512
 PNG_MAGIC = b"\x89PNG\r\n\x1a\n"
 HEADER_BYTES = len(PNG_MAGIC) + 25  # magic and the IHDR chunk
-SHARD_BYTES = 64 << 20
+SHARD_BYTES, SHARD_ROWS = 64 << 20, 100_000
+#: Up to this many digests of copies are sent to all executors; beyond, the joins shuffle.
+BROADCAST_ROWS = 200_000
 
 
 def payload_of(data: bytes) -> bytes:
@@ -137,7 +144,9 @@ def media_columns(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
                         raise ValueError(f"{shard.name} at {offset} holds {entry.name}")
                     media = f.read_at(length, offset)
                     payload = from_png(media)
-                    seen[offset] = (width, height, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), hashlib.sha256(media).hexdigest(), feature_of(payload))
+                    if hashlib.sha256(payload).hexdigest() != digest:
+                        raise ValueError(f"{shard.name} at {offset} isn't what was stored")
+                    seen[offset] = (width, height, len(payload), digest, zlib.crc32(payload[-32:]), hashlib.sha256(media).hexdigest(), feature_of(payload))
                 out.append((n_bytes, digest, shard.name, offset, length, *seen[offset]))
         cols = list(zip(*out, strict=True))
         kinds = [pa.int64(), pa.string(), pa.string(), *[pa.int64()] * 5, pa.string(), pa.int64(), pa.string(), pa.string()]
@@ -151,16 +160,31 @@ def media_columns(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
                 shard = shard or Shard(folder)
                 raw, offsets = buffers(part.column(1))
                 ids.append(part.column(0))
-                for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
-                    payload = payload_of(raw[a:b].tobytes())
-                    digest = hashlib.sha256(payload).hexdigest()
-                    rows.append((b - a, digest, *shard.put(digest, lambda payload=payload: to_png(payload))))
-                if shard.size > SHARD_BYTES:
+                for a, b, digest in zip(offsets[:-1].tolist(), offsets[1:].tolist(), part.column(2).to_pylist(), strict=True):
+                    rows.append((b - a, digest, *shard.put(digest, lambda a=a, b=b, raw=raw: to_png(payload_of(raw[a:b].tobytes())))))
+                if shard.size > SHARD_BYTES or len(rows) > SHARD_ROWS:
                     yield from read_back(shard, ids, rows)
                     shard, ids, rows = None, [], []
         if shard:
             yield from read_back(shard, ids, rows)
 
-    text = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    bare = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.octet_length(text).cast("long").alias("n_bytes"))
+    pad = F.when(F.col("n_bytes") == 0, WIDTH).otherwise(F.pmod(-F.col("n_bytes"), F.lit(WIDTH))).cast("int")
+    payload = F.concat(F.encode("text", "utf-8"), F.unhex(F.repeat(F.lit(f"{PAD:02X}"), pad)))
+    rows = bare.withColumn("digest", F.sha2(payload, 256))
+    named = settled(rows.select("doc_id", "n_bytes", "digest"), "digests")
+    copied = named.groupBy("digest").agg(F.count(F.lit(1)).alias("times"), F.min("doc_id").alias("low")).where("times > 1")
+    copied = settled(copied.select("digest", "low"), "copied")
+    if copied.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        copied = F.broadcast(copied)
+    stored = rows.join(copied.withColumn("twice", F.lit(True)), "digest", "left").where(F.col("twice").isNull() | F.col("doc_id").eqNullSafe(F.col("low")))
     schema = f"doc_id {kind}, n_bytes long, digest string, shard string, offset long, length long, width long, height long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_sha256 string, feature string"
-    return settled(text.mapInArrow(run, schema), "manifest")
+    written = settled(stored.select("doc_id", "text", "digest").mapInArrow(run, schema), "manifest")
+    single = written.join(copied, "digest", "left_anti").select(*names)
+    values = [c for c in names if c not in ("doc_id", "n_bytes", "digest")]
+    places = written.join(copied, "digest", "left_semi").groupBy("digest").agg(F.min(F.struct(*values)).alias("place"))
+    if copied.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        places = F.broadcast(places)
+    others = named.join(places, "digest").select("doc_id", "n_bytes", "digest", "place.*")
+    return single.unionByName(others.select(*names))

@@ -72,7 +72,7 @@ def op9_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = media_columns(documents(spark, sf_dir))
-    return out.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", F.col("length").alias("media_bytes"), "media_sha256", "feature")
+    return out.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", F.col("length").alias("media_bytes"), "media_sha256", "feature", "digest", "shard", "offset", "length")
 
 
 def queries() -> dict:
