@@ -14,12 +14,13 @@ A document's topic is a bucket of its most frequent word of five bytes or more
 Default targets are the corpus marginals tempered by `temper`. Null sources and
 languages are categories of their own; a null text has no tokens and a document
 without tokens is never sampled (it cannot add to a weight) unless keep_empty.
-Repeated rows share one decision. An empty table gives an empty result.
+Repeated rows share one decision. A very long text counts with all its words. Columns
+of any name pass through, but those named as an added one are replaced. An empty table
+gives an empty result.
 """
 
 from __future__ import annotations
 
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -29,6 +30,7 @@ from kinfold.llm.shared import settled
 from kinfold.llm.textbytes import chunks, word_hashes, words
 
 DIMS = ("source", "lang", "topic")
+ADDED = ("_topic", "_tokens", "_prob", "_selected")
 #: Up to this many cells are raked on the driver and sent whole; beyond, by
 #: windows over the cell table.
 DRIVER_CELLS = 50_000
@@ -158,13 +160,16 @@ def cell_probabilities(cells: DataFrame, *, temper: float, targets: dict[str, di
 def mix_sources(docs: DataFrame, *, temper: float = 0.7, topics: int = 8, targets: dict[str, dict] | None = None, keep: float | None = None, seed: int = 7, keep_empty: bool = False, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang", driver_cells: int = DRIVER_CELLS) -> DataFrame:
     """All rows and columns of docs, and _topic, _tokens, _prob, _selected (columns of
     these names are replaced)."""
-    rows = described(docs, topics=topics, text_col=text_col)
-    cells = rows.groupBy(F.col(source_col).alias("source"), F.col(lang_col).alias("lang"), F.col("_topic").alias("topic")).agg(F.sum("_tokens").alias("tokens"))
+    # The rows travel whole in one column, so no name of theirs meets one of these.
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.col(source_col).alias("source"), F.col(lang_col).alias("lang"), F.col(id_col).alias("id"))
+    rows = described(rows, topics=topics)
+    cells = rows.groupBy("source", "lang", F.col("_topic").alias("topic")).agg(F.sum("_tokens").alias("tokens"))
     known = cell_probabilities(cells, temper=temper, targets=targets, keep=keep, driver_cells=driver_cells)
     known = known.select(F.col("source").alias("_s"), F.col("lang").alias("_l"), F.col("topic").alias("_t"), F.col("prob").alias("_p"))
     few = known.limit(driver_cells + 1).count() <= driver_cells
-    met = F.col(source_col).eqNullSafe(F.col("_s")) & F.col(lang_col).eqNullSafe(F.col("_l")) & (F.col("_topic") == F.col("_t"))
-    draw = F.pmod(F.xxhash64(F.lit(seed), F.col(id_col), F.coalesce(F.col(text_col), F.lit(""))), F.lit(1 << 52)) / F.lit(float(1 << 52))
-    out = rows.join(F.broadcast(known) if few else known, met, "left").drop("_s", "_l", "_t")
-    out = out.withColumn("_prob", F.when(F.col("_tokens") > 0, F.coalesce("_p", F.lit(0.0))).otherwise(F.lit(1.0 if keep_empty else 0.0))).drop("_p")
-    return out.withColumn("_selected", draw < F.col("_prob"))
+    met = F.col("source").eqNullSafe(F.col("_s")) & F.col("lang").eqNullSafe(F.col("_l")) & (F.col("_topic") == F.col("_t"))
+    draw = F.pmod(F.xxhash64(F.lit(seed), "id", "text"), F.lit(1 << 52)) / F.lit(float(1 << 52))
+    out = rows.join(F.broadcast(known) if few else known, met, "left")
+    out = out.withColumn("_prob", F.when(F.col("_tokens") > 0, F.coalesce("_p", F.lit(0.0))).otherwise(F.lit(1.0 if keep_empty else 0.0)))
+    own = [c for c in docs.columns if c not in ADDED]
+    return out.withColumn("_selected", draw < F.col("_prob")).select(*[F.col("row")[c].alias(c) for c in own], *ADDED)

@@ -343,6 +343,31 @@ def test_mixing(spark, docs, empty):
     assert mix_sources(empty.drop("_prob")).count() == 0
 
 
+def test_kept_tokens_hold_the_targets(spark):
+    """Expected tokens by source, language and topic are the targets, the sampled ones
+    near them; columns named like the operator's own pass or are replaced."""
+    r = random.Random(41)
+    rows = [(k, prose(r.randint(5, 60), r), r.choice(["en", "en", "de"]), r.choice(["a", "a", "a", "b", "c"]), "x", 1.5) for k in range(1500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, _s string, _p double")
+    targets = {"source": {"a": 0.3, "b": 0.3, "c": 0.4}, "lang": {"en": 0.5, "de": 0.5}}
+    got = mix_sources(df, targets=targets, keep=0.05, topics=3).collect()
+    assert len(got) == len(rows) and all(x["_s"] == "x" and x["_p"] == 1.5 and 0 < x["_prob"] < 1 for x in got)
+    assert all(x["_tokens"] == len(x["text"].split()) for x in got)
+    whole = sum(x["_tokens"] * x["_prob"] for x in got)
+    assert whole == pytest.approx(0.05 * sum(x["_tokens"] for x in got), rel=1e-6)
+    topics = Counter()
+    for x in got:
+        topics[x["_topic"]] += x["_tokens"]
+    tempered = {t: n**0.7 for t, n in topics.items()}
+    targets["_topic"] = {t: v / sum(tempered.values()) for t, v in tempered.items()}
+    sampled = sum(x["_tokens"] for x in got if x["_selected"])
+    for dim, goal in targets.items():
+        for name, share in goal.items():
+            own = [x for x in got if x[dim] == name]
+            assert sum(x["_tokens"] * x["_prob"] for x in own) / whole == pytest.approx(share, abs=1e-5)
+            assert sum(x["_tokens"] for x in own if x["_selected"]) / sampled == pytest.approx(share, abs=0.25)
+
+
 def test_mixing_drops_only_what_targets_ask(spark):
     rows = [(k, "words of some text here", lang, src) for k, (lang, src) in enumerate([("en", "a"), ("en", "a"), ("de", "b"), ("en", "b")] * 5)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
@@ -673,10 +698,15 @@ def test_media(spark, docs, empty, tmp_path):
         with open(tmp_path / r["shard"], "rb") as f:
             f.seek(r["offset"])
             assert hashlib.sha256(f.read(r["length"])).hexdigest() == r["media_sha256"]
-    shard = tmp_path / rows[0]["shard"]
-    names = tarfile.open(shard).getnames()
-    assert len(names) == len(set(names))
-    assert media_columns(empty).count() == 0
+    assert len(rows) == docs.count()
+    places = {}
+    for r in rows:
+        assert places.setdefault(r["digest"], tuple(r)[2:]) == tuple(r)[2:]  # equal texts, equal values
+    one = docs.dropDuplicates(["doc_id"])
+    media_columns(one, folder=f"file://{tmp_path}/once").count()
+    names = [n for f in (tmp_path / "once").iterdir() for n in tarfile.open(f).getnames()]
+    assert len(names) == len(set(names)) == one.select(F.coalesce("text", F.lit(""))).distinct().count()
+    assert media_columns(empty, folder=f"file://{tmp_path}/none").count() == 0
 
 
 # ---- kernels and the pipeline
