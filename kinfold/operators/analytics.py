@@ -22,6 +22,25 @@ class DataError(RuntimeError):
     status = 503
 
 
+class UnsupportedError(DataError):
+    """What is asked for doesn't exist for this kind of model."""
+
+    status = 422
+
+
+def answered(make) -> tuple[dict, int]:
+    """(document, status) of a request: what make() returns, or the error it ends with.
+    An unknown name (KeyError) is 404, an error of no kind of ours 500."""
+    try:
+        return make(), 200
+    except (RequestError, DataError) as e:
+        return {"error": str(e)}, e.status
+    except KeyError as e:
+        return {"error": f"unknown: {e.args[0] if e.args else ''}"}, 404
+    except Exception as e:  # noqa: BLE001  whatever it is, the caller gets an answer
+        return {"error": str(e)}, 500
+
+
 def rows(lists: DataFrame) -> DataFrame:
     n = F.size("matches")
     return lists.select("_row", F.col("entity_id").alias("source1_entity_id"), "matches", n.cast("long").alias("match_count"), F.size("candidates").cast("long").alias("candidate_count"), F.when(n > 0, F.lit("Matched")).otherwise(F.lit("Unmatched")).alias("status"))

@@ -4,7 +4,9 @@ The search runs over blocks: left and right records of a country are dealt into
 blocks of bounded size, every block pair is scored in one task with array
 kernels (all signals in one pass, so the combined score reuses both cosines),
 and partial top-k lists are merged by a ranked window. Neither a country's size
-nor a frequent n-gram changes what one task holds. `topk_by_join` states the same
+nor a frequent n-gram changes what one task holds. A side's vectors are copied once
+for each block of the other, so the shuffle is quadratic in a country's records, as
+the arithmetic of an exact search at these low floors is. `topk_by_join` states the same
 search as a posting-list join.
 """
 
@@ -16,11 +18,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinfold.functions import fixed as X
+from kinfold.operators.lineage import written
 from kinfold.operators.vectors import posting_table, vectors
 
 SIGNALS = ("name_char", "name_word", "name_squash", "addr_char", "combined")
 SEARCHED = ("name_char", "name_word", "name_squash", "addr_char")
-LEFT_BLOCK, RIGHT_BLOCK = 1000, 16_000
+#: Records of a block at most; a country that needs few blocks gets more, smaller ones
+#: (SMALL records at least), so that small inputs use all cores.
+LEFT_BLOCK, RIGHT_BLOCK, SMALL, BLOCKS = 4000, 16_000, 250, 16
 CELLS = 4_000_000  # postings expanded at once
 DIGITS = 9
 
@@ -106,7 +111,9 @@ def _blocked(vec: DataFrame, side: DataFrame, own: str, other: str) -> DataFrame
 def signal_pairs(left: DataFrame, right: DataFrame, vec: DataFrame) -> DataFrame:
     """s1_id, r_id, signal, score of every signal's top-k lists. left and right are
     normalised records; vec the vectors over both."""
-    n_l = left.groupBy("country_clean").agg(F.ceil(F.count(F.lit(1)) / LEFT_BLOCK).cast("int").alias("nl"))
+    vec = written(vec, "vectors")
+    n = F.count(F.lit(1))
+    n_l = left.groupBy("country_clean").agg(F.greatest(F.ceil(n / LEFT_BLOCK), F.least(F.ceil(n / SMALL), F.lit(BLOCKS))).cast("int").alias("nl"))
     n_r = right.groupBy("country_clean").agg(F.ceil(F.count(F.lit(1)) / RIGHT_BLOCK).cast("int").alias("nr"))
     blocks = n_l.join(n_r, "country_clean")  # countries of one side only have no pair
     lhs = left.join(blocks, "country_clean").select("entity_id", "country_clean", F.pmod(F.xxhash64("entity_id"), F.col("nl")).cast("int").alias("lb"), F.col("nr").alias("rb"))

@@ -11,6 +11,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinfold.functions.text import tokens
+from kinfold.operators.lineage import written
+
+#: Up to this many document frequencies are sent to all executors; beyond, the join
+#: shuffles, and Spark splits a frequent term's counts, as the other side has one row of it.
+BROADCAST_TERMS = 300_000
 
 #: space -> (column, kind of terms)
 SPACES = {
@@ -65,7 +70,10 @@ def weighted(counts: DataFrame, n_records: int) -> DataFrame:
     """entity_id, space, term, w (not yet normalised): (1 + ln tf) (ln((1 + n) / (1 + df)) + 1)."""
     idf = F.log(F.lit(1.0 + n_records) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
     tf = F.lit(1.0) + F.log(F.col("tf").cast("double"))
-    return counts.join(document_frequency(counts), ["space", "term"]).select("entity_id", "space", "term", (tf * idf).alias("w"))
+    counts = written(counts, "counts")
+    known = written(document_frequency(counts), "frequencies")
+    few = known.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS
+    return counts.join(F.broadcast(known) if few else known, ["space", "term"]).select("entity_id", "space", "term", (tf * idf).alias("w"))
 
 
 def vectors(records: DataFrame, spaces: list[str] | None = None) -> DataFrame:

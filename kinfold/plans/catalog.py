@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from kinfold.functions import fixed as X
 from kinfold.functions import text as N
 from kinfold.operators import analytics, blocking, evaluate, features, models, records, resolve, truth, validate
+from kinfold.operators.lineage import folder, written
 from kinfold.operators.vectors import BINARY, SPACES, document_frequency, posting_table, term_counts, vectors, with_binary_sets
 from kinfold.plans import sql as S
+from kinfold.sources import files
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -78,12 +80,12 @@ def r6(c: str | Column) -> Column:
 _GAP = "floor((round(cand_gap_to_best * 1e9) + 500) / 1000) / 1e6::DOUBLE"
 
 
-def _six(c: str) -> Column:
+def _place(c: str) -> Column:
     return F.expr(_GAP) if c == "cand_gap_to_best" else r6(F.col(c))
 
 
 def _rounded(df: DataFrame, cols: list[str]) -> DataFrame:
-    return df.select("s1_id", "r_id", *[_six(c).alias(c) for c in cols])
+    return df.select("s1_id", "r_id", *[_place(c).alias(c) for c in cols])
 
 
 def _sql_rounded(cols: list[str]) -> str:
@@ -108,6 +110,16 @@ def a1(spark, sf):
     return raw(spark, sf).select("entity_id", *[N.filled(F.col(c)).alias(c) for c in records.REQUIRED[1:]])
 
 
+@query("a1_tsv_scan", REC.format("entity_id, business_name, business_address, country"))
+def a1_tsv(spark, sf):
+    """The records written as tab-separated text, quotes and line ends inside fields
+    included, and read by the reader."""
+    place, cols = folder(spark, "tsv"), ["entity_id", *records.REQUIRED[1:]]
+    planted = raw(spark, sf).select("entity_id", *[N.filled(F.col(c)).alias(c) for c in cols[1:]])
+    planted.write.options(sep="\t", header=True, quote='"', escape='"', quoteAll=True, emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(place)
+    return files.read_tsv(spark, place).select(*cols)
+
+
 @query("a2_head_limit", S.with_([S.REC0], "SELECT entity_id FROM rec0 WHERE _row < 500"))
 def a2(spark, sf):
     return records.head(raw(spark, sf), 500).select("entity_id")
@@ -146,6 +158,24 @@ def b7(spark, sf):
     return table(spark, sf, "documents").select("doc_id", N.base_normal(F.col("text")).alias("value"))
 
 
+def _planted(name: str, cases: list[tuple[str, str]]):
+    """Each document gets a planted text by its number; the expected form follows by
+    hand from the rules."""
+    values = ", ".join(f"({k}, '{want}')" for k, (_, want) in enumerate(cases))
+
+    @query(name, f"SELECT d.doc_id, e.value FROM documents d JOIN (VALUES {values}) e(k, value) ON d.doc_id % {len(cases)} = e.k")
+    def planted(spark, sf):
+        inputs = F.array(*[F.lit(x) for x, _ in cases])
+        nth = F.pmod("doc_id", F.lit(len(cases))).cast("int") + 1
+        return table(spark, sf, "documents").select("doc_id", N.base_normal(F.element_at(inputs, nth)).alias("value"))
+
+
+_planted("b2_nfkc", [("ＡＢＣ　１２ Ltd", "ABC 12 Ltd"), ("①②", "12"), ("ﬁne ﬂow", "fine flow"), ("plain", "plain"), ("e\u0301", "e")])
+_planted("b3_indic_blocks", [("कमल", "kamal"), ("કમલ Ltd", "kamal Ltd"), ("বাংলা", "banla"), ("ਕਮਲ", "kamal"), ("ಕಮಲ", "kamal")])
+_planted("b4_romanise", [("प्राइवेट", "praivet"), ("लिमिटेड", "limited"), ("कं", "kan"), ("१२", ""), ("कम", "kam")])
+_planted("b5_transliterate", [("प्राइवेट लिमिटेड 12", "praivet limited 12"), ("Shop कमल, A-1", "Shop kamal, A-1"), ("no run", "no run"), ("Crème कम Brûlée", "Creme kam Brulee"), ("Straße", "Strasse")])
+
+
 _NORMAL = "entity_id, country_clean, business_name_clean, name_core, name_core_sorted, name_squashed, business_address_clean, address_sorted"
 
 
@@ -268,7 +298,7 @@ def d15(spark, sf):
 
 def feature_rows(spark: SparkSession, sf: str) -> DataFrame:
     left, right = both(spark, sf)
-    vec = vectors(blocking.all_records(left, right))
+    vec = written(vectors(blocking.all_records(left, right)), "vectors")
     pairs = blocking.candidate_pairs(blocking.signal_pairs(left, right, vec)).withColumn("natural", F.lit(True))
     return features.list_features(features.pair_features(pairs, features.record_features(left, vec), features.record_features(right, vec)))
 
@@ -293,11 +323,11 @@ _group("e_all_features", features.FEATURES, listed=True)
 @query("e_injected_rank", S.with_([*_CAND, *S.TRUTH, S.POOL, *S.features("pool"), S.LISTED], f"SELECT lf.natural, {_sql_rounded(features.LIST)} FROM lf"))
 def e_injected(spark, sf):
     left, right = both(spark, sf)
-    vec = vectors(blocking.all_records(left, right))
+    vec = written(vectors(blocking.all_records(left, right)), "vectors")
     natural = blocking.candidate_pairs(blocking.signal_pairs(left, right, vec))
     pool = truth.training_pool(truth.true_pairs(truth_table(spark, sf), left, right), natural).drop("label")
     rows = features.list_features(features.pair_features(pool, features.record_features(left, vec), features.record_features(right, vec)))
-    return rows.select("natural", "s1_id", "r_id", *[_six(c).alias(c) for c in features.LIST])
+    return rows.select("natural", "s1_id", "r_id", *[_place(c).alias(c) for c in features.LIST])
 
 
 # ---------------------------------------------------------------- G: evaluation with the combined score
@@ -350,21 +380,20 @@ def g5_best(spark, sf):
 
 def _training_rows(spark: SparkSession, sf: str) -> tuple[DataFrame, int]:
     left, right = both(spark, sf)
-    vec = vectors(blocking.all_records(left, right))
+    vec = written(vectors(blocking.all_records(left, right)), "vectors")
     natural = blocking.candidate_pairs(blocking.signal_pairs(left, right, vec))
     true = truth.true_pairs(truth_table(spark, sf), left, right)
     pool = truth.training_pool(true, natural)
     rows = features.list_features(features.pair_features(pool.drop("label"), features.record_features(left, vec), features.record_features(right, vec)))
-    rows = evaluate.entity_split(rows.join(pool.select("s1_id", "r_id", "label"), ["s1_id", "r_id"])).persist()
+    rows = written(evaluate.entity_split(rows.join(pool.select("s1_id", "r_id", "label"), ["s1_id", "r_id"])), "training")
     return rows, evaluate.entity_split(true).where("held").count()
 
 
 @query("g9_model_comparison")
 def g9(spark, sf):
-    """The three kinds at small settings (the full ones are the defaults of train)."""
+    """The three kinds with the settings of train."""
     rows, held_true = _training_rows(spark, sf)
-    kinds = models.classifiers(rows.count(), trees=20, depth=6, rounds=10)
-    results, _ = models.compare(rows.where("not held"), rows.where("held and natural"), held_true, kinds)
+    results, _ = models.compare(rows.where("not held"), rows.where("held and natural"), held_true)
     return spark.createDataFrame([tuple(r[c] for c in ("model", "threshold", "precision", "recall", "f0_5", "tp", "fp", "fn")) for r in results], "model string, threshold double, precision double, recall double, f0_5 double, tp long, fp long, fn long")
 
 
@@ -378,7 +407,7 @@ def g10(spark, sf):
 @query("g11_feature_importance")
 def g11(spark, sf):
     rows, _ = _training_rows(spark, sf)
-    model = models.fit(models.classifiers(rows.count(), trees=20, depth=6)["RandomForest"], models.with_class_weights(rows.where("not held")))
+    model = models.fit(models.classifiers(rows.count())["RandomForest"], models.with_class_weights(rows.where("not held")))
     return spark.createDataFrame(models.importances(model), "feature string, importance double")
 
 

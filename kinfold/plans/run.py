@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import datetime
+import shutil
+import tempfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinfold.functions import fixed as X
 from kinfold.operators import blocking, evaluate, features, models, records, resolve, truth, validate
+from kinfold.operators.analytics import DataError
 from kinfold.operators.vectors import vectors
 from kinfold.sources import files
 
@@ -80,3 +84,21 @@ def check(spark: SparkSession, matching_path: str, candidate_path: str, left: Da
     if m is None or c is None:
         return {"ok": False, "errors": errors, "warnings": [], "counts": {}}
     return validate.validate(m, c, left, right, expected_rows)
+
+
+def submit(checked: dict, metrics_path: str, template: str, folder: str, wanted: list[str], target: str) -> str:
+    """The package of a run: only of outputs that check() found valid and of metrics
+    that hold a prediction. Files are gathered in a stage beside the target, with the
+    filled template among them, and the stage goes away whatever happens."""
+    if not checked["ok"]:
+        raise DataError(f"not packaged, the outputs are not valid: {checked['errors']}")
+    document = files.read_metrics(metrics_path)
+    if "prediction" not in document:
+        raise DataError(f"{metrics_path} has no prediction: predict first")
+    values = {k.upper(): v for part in (document, document.get("training", {}), document["prediction"]) for k, v in part.items() if not isinstance(v, (dict, list))}
+    with tempfile.TemporaryDirectory(dir=Path(target).parent) as stage:
+        for name in wanted:
+            Path(stage, name).parent.mkdir(parents=True, exist_ok=True)
+            shutil.copy2(Path(folder, name), Path(stage, name))
+        Path(stage, "Documentation.md").write_text(files.fill_template(template, values | {"COMPARISON_ROWS": files.comparison_rows(document)}), encoding="utf-8")
+        return files.package(stage, target, [*wanted, "Documentation.md"])

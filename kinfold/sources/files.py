@@ -146,6 +146,12 @@ def fill_template(text: str, values: dict) -> str:
     return text
 
 
+def comparison_rows(document: dict) -> str:
+    """The compared models as rows of a table."""
+    cell = lambda r, c: f"{r[c]:.4f}" if isinstance(r.get(c), float) else str(r.get(c, ""))
+    return "\n".join("| " + " | ".join(cell(r, c) for c in ("model", "threshold", "precision", "recall", "f0_5")) + " |" for r in document.get("model_comparison", []))
+
+
 def package(folder: str, target: str, wanted: list[str]) -> str:
     """Zips the wanted files of folder, tests the archive and its list of names."""
     missing = [w for w in wanted if not (Path(folder) / w).exists()]

@@ -1,9 +1,12 @@
 import json
+import zipfile
 
 import pytest
 from pyspark.sql import functions as F
 
+from kinfold.operators import analytics
 from kinfold.operators.analytics import DataError
+from kinfold.plans import run
 from kinfold.sources import files
 from kinfold.streaming.normalise import normalise_stream
 
@@ -62,6 +65,36 @@ def test_package_and_template(tmp_path):
     assert not got["all_ok"] and json.dumps(got)
 
 
+def test_only_valid_runs_are_packaged(tmp_path):
+    (tmp_path / "out").mkdir()
+    (tmp_path / "out" / "a.txt").write_text("x")
+    metrics, target = str(tmp_path / "m.json"), str(tmp_path / "z.zip")
+    pack = lambda ok: run.submit({"ok": ok, "errors": ["row 3"]}, metrics, "{{MODEL}} {{TOTAL}}\n{{COMPARISON_ROWS}}", str(tmp_path / "out"), ["a.txt"], target)
+    files.write_metrics(metrics, {"model": "RF", "model_comparison": [{"model": "RF", "threshold": 0.5, "precision": 1.0, "recall": 0.25, "f0_5": 0.625}]})
+    with pytest.raises(DataError, match="row 3"):
+        pack(False)
+    with pytest.raises(DataError, match="predict first"):
+        pack(True)
+    files.merge_metrics(metrics, {"total": 7})
+    with zipfile.ZipFile(pack(True)) as z:
+        assert sorted(z.namelist()) == ["Documentation.md", "a.txt"]
+        assert z.read("Documentation.md").decode() == "RF 7\n| RF | 0.5000 | 1.0000 | 0.2500 | 0.6250 |"
+    assert sorted(x.name for x in tmp_path.iterdir()) == ["m.json", "out", "z.zip"]
+
+
+def test_answers_and_their_status(tmp_path):
+    def fail(e):
+        raise e
+
+    assert analytics.answered(lambda: {"a": 1}) == ({"a": 1}, 200)
+    kinds = ((analytics.RequestError("x"), 400), (KeyError("n"), 404), (analytics.UnsupportedError("x"), 422), (ValueError("x"), 500), (DataError("x"), 503))
+    assert all(analytics.answered(lambda e=e: fail(e))[1] == status for e, status in kinds)
+    got = analytics.model_metrics({"threshold": 0.75, "prediction": {}, "f0_5": 0.9})
+    assert got["threshold_confidence"] == 0.5 and "prediction" not in got and "baseline" in got and got["f0_5"] == 0.9
+    (tmp_path / "a").write_text("")
+    assert files.health({"a": str(tmp_path / "a"), "b": str(tmp_path / "b")}) == {"a": True, "b": False, "all_ok": False}
+
+
 def test_stream_is_the_batch(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.tsv").write_text("entity_id\tbusiness_name\tbusiness_address\tcountry\n1\tCafé Ltd\t1 Oak St\tUSA\n")
