@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from kinfold.llm.textbytes import chunks
 
 ORDER = 5
-READ_BYTES = 1 << 20
+READ_BYTES = 512 << 10
 #: Documents of a language that training takes at least, as expected.
 LEAST_DOCS = 20
 _LETTER = np.zeros(256, bool)

@@ -150,7 +150,6 @@ def quality_rules(docs: DataFrame, labels: DataFrame, *, threshold: float = -0.3
     """doc_id, the counted figures, base_failed, llr, kept; kept_<column> for each of keep."""
     ratio = fit_ratio(docs, labels, most_labelled=most_labelled, id_col=id_col, text_col=text_col)
     kind = docs.schema[id_col].dataType.simpleString()
-    text = F.coalesce(F.col(text_col), F.lit(""))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -165,8 +164,10 @@ def quality_rules(docs: DataFrame, labels: DataFrame, *, threshold: float = -0.3
                 failed = (got["n_words"] < LEAST_WORDS) | (100 * got["n_repeat_words"] > MOST_REPEATED * got["n_words"])
                 score = np.round(score, 9)
                 cols = [pa.array(x.astype(np.int64)) for x in got.values()]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *cols, pa.array(failed), pa.array(score), pa.array(~failed & (score >= threshold)), *[c.slice(a, b - a) for c in batch.columns[2:]]], ["doc_id", *got, "base_failed", "llr", "kept", *names])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *cols, pa.array(failed), pa.array(score), pa.array(~failed & (score >= threshold)), *[batch.column(at[c]).slice(a, b - a) for c in keep]], ["doc_id", *got, "base_failed", "llr", "kept", *names])
 
     names = [f"kept_{c}" for c in keep]
+    # The text travels once, as it is: the kernels read a null as empty.
+    at = {c: k + 2 for k, c in enumerate(c for c in keep if c != text_col)} | {text_col: 1}
     more = "".join(f", `{name}` {docs.schema[c].dataType.simpleString()}" for name, c in zip(names, keep, strict=True))
-    return docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), *[F.col(c).alias(f"kept_{c}") for c in keep]).mapInArrow(run, f"doc_id {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, llr double, kept boolean{more}")
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *[F.col(c).alias(f"kept_{c}") for c in at if c != text_col]).mapInArrow(run, f"doc_id {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, llr double, kept boolean{more}")

@@ -37,8 +37,8 @@ from pyspark.sql import functions as F
 from kinfold.llm.textbytes import chunks
 
 #: What a worker remembers: ids of pieces in all, and parts.
-MEMO_IDS, MEMO_PARTS = 6_000_000, 400_000
-READ_BYTES = 1 << 20
+MEMO_IDS, MEMO_PARTS = 2_000_000, 150_000
+READ_BYTES = 512 << 10
 MICRO = 1_000_000
 NEVER = -(1 << 62)
 #: Characters taken as signs: ASCII and Latin-1 signs, digits and controls, general punctuation.
@@ -87,7 +87,7 @@ class PieceLattice:
         self.longest = max(map(len, self.pieces))
         # The same as arrays: codes of characters, and a node's child by node and code.
         letters = sorted(p for p in self.begins if len(p) == 1)
-        self.code = np.zeros(0x110000, np.int64)
+        self.code = np.zeros(0x110000, np.int32)
         self.code[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
         self.single = np.array([False] + [c in self.pieces for c in letters])
         node = {"": 0} | {p: k for k, p in enumerate(self.begins, 1)}
@@ -103,7 +103,7 @@ class PieceLattice:
     def forget(self) -> None:
         self.known: dict[str, int] = {}
         self.flat = np.empty(0, np.int32)
-        self.facts = [np.empty((0, self.n_best), np.int64)] * 3  # place, length (-1: none) and score by rank
+        self.facts = [np.empty((0, self.n_best), k) for k in (np.int32, np.int32, np.int64)]  # place, length (-1: none) and score by rank
         self.right = np.empty(0, bool)
 
     def parts(self, text: str) -> list[str]:
@@ -278,7 +278,7 @@ class PieceLattice:
         place += len(self.flat)
         self.known.update(zip(parts, range(len(self.right), len(self.right) + len(parts)), strict=True))
         self.flat = np.concatenate((self.flat, ids))
-        self.facts = [np.concatenate(x) for x in zip(self.facts, (place, length, score), strict=True)]
+        self.facts = [np.concatenate((x, y.astype(x.dtype))) for x, y in zip(self.facts, (place, length, score), strict=True)]
         self.right = np.concatenate((self.right, right))
 
     def encode_texts(self, texts: list[str]) -> tuple[list[list[np.ndarray]], list[list[float]], list[bool]]:

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 512 << 10
 _MASK = (1 << 64) - 1
 _P = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _P_INV = pow(_P, -1, 1 << 64)
