@@ -6,7 +6,9 @@ verdict is the mean, over its n-grams, of log(p_target / p_raw), against a fixed
 threshold. Without trusted documents the verdict is that of the counted rules.
 
 A null text counts as empty and fails the counted rules. Repeated rows get equal
-rows. Extra columns are ignored; an empty table gives an empty result.
+rows. A score equal to the threshold is kept. A very long text is judged whole, memory
+follows the longest. Extra columns are ignored, whatever their names; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations

@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a local one only where none is set."""
+    """The folder in spark.checkpoint.dir. Only a local session may do without: on a
+    cluster each machine would write to its own disk."""
     place = spark.conf.get("spark.checkpoint.dir", None)
     if not place:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         place = "file://" + tempfile.mkdtemp(prefix="kinfold-")
         spark.conf.set("spark.checkpoint.dir", place)
     return place.rstrip("/")

@@ -2,8 +2,14 @@
 
 Pre-tokens are held as one ragged array of symbols; each round finds every
 sequence's lowest-rank adjacent pair and applies it to all sequences at once.
-What survives is counted. Nulls and empty texts have 0 tokens; extra columns are
-ignored; repeated rows give repeated rows.
+What survives is counted. Sequences of over SHORT_ROW symbols in which a pair could
+interact with its own result (a run of one letter, say) go through a queue instead,
+lowest rank first, then leftmost: the same counts, without a round an occurrence. Among
+equal ranks the leftmost pair is merged first, as the library does.
+
+Nulls and empty texts have 0 tokens; a very long text is counted whole, memory follows
+the longest; extra columns are ignored, whatever their names; repeated rows give
+repeated rows; an empty table gives an empty result.
 """
 
 from __future__ import annotations

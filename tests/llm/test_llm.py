@@ -343,6 +343,36 @@ def test_mixing(spark, docs, empty):
     assert mix_sources(empty.drop("_prob")).count() == 0
 
 
+def test_cells_have_brute_forces_probabilities(spark):
+    """Raking and rate in plain Python, cells that are used up included."""
+    from kinfold.llm.mixing import cell_probabilities
+
+    r = random.Random(61)
+    cells = {(s, l, t): r.randint(1, 900) for s in "abc" for l in ("en", "de", None) for t in range(3) if r.random() < 0.8}
+    total, share = sum(cells.values()), {}
+    share = {c: w / total for c, w in cells.items()}
+    goals = []
+    for d in range(3):
+        have = Counter()
+        for c, w in cells.items():
+            have[c[d]] += w
+        whole = sum(v**0.7 for v in have.values())
+        goals.append({x: v**0.7 / whole for x, v in have.items()})
+    for _ in range(3000):
+        for d in range(3):
+            now = Counter()
+            for c, x in share.items():
+                now[c[d]] += x
+            share = {c: x * goals[d][c[d]] / now[c[d]] for c, x in share.items()}
+    low, high = 0.0, 1e9
+    for _ in range(200):
+        rate = (low + high) / 2
+        low, high = (rate, high) if sum(min(w, rate * share[c]) for c, w in cells.items()) < 0.7 * total else (low, rate)
+    df = spark.createDataFrame([(*c, w) for c, w in cells.items()], "source string, lang string, topic int, tokens long")
+    got = {(x["source"], x["lang"], x["topic"]): x["prob"] for x in cell_probabilities(df, temper=0.7, targets=None, keep=0.7).collect()}
+    assert max(got.values()) == 1 and got == pytest.approx({c: min(1.0, high * share[c] / w) for c, w in cells.items()}, abs=1e-6)
+
+
 def test_kept_tokens_hold_the_targets(spark):
     """Expected tokens by source, language and topic are the targets, the sampled ones
     near them; columns named like the operator's own pass or are replaced."""
@@ -403,6 +433,34 @@ def test_quality_verdicts(spark, docs, empty):
     assert kept == set(range(40))
 
 
+def test_ratios_are_brute_forces(spark):
+    """llr of each document from plain counts of hashed byte 4-grams."""
+    from kinfold.llm.quality import _CELLS, BLEND, BUCKETS, SMOOTH
+
+    r = random.Random(51)
+    rows = [(k, prose(r.randint(1, 40), r) + "é" * (k % 3)) for k in range(40)] + [(40, None), (41, "abc"), (3, "a repeated identifier")]
+    good = {0, 1, 3, 8}
+    grams = lambda t: [int(_CELLS[0][b[i]] ^ _CELLS[1][b[i + 1]] ^ _CELLS[2][b[i + 2]] ^ _CELLS[3][b[i + 3]]) for b in [(t or "").encode()] for i in range(len(b) - 3)]
+    raw, target = Counter(), Counter()
+    for i, t in rows:
+        raw.update(grams(t))
+        if i in good:
+            target.update(grams(t))
+    n_raw, n_target = sum(raw.values()) + SMOOTH * BUCKETS, sum(target.values())
+
+    def ratio(c):
+        p_raw = (raw[c] + SMOOTH) / n_raw
+        return float(np.log((target[c] / n_target + BLEND * p_raw) / (1 + BLEND) / p_raw))
+
+    labels = spark.createDataFrame([(i, 1) for i in good] + [(2, 0)], "doc_id long, quality int")
+    got = quality_rules(spark.createDataFrame(rows, "doc_id long, text string"), labels, keep=("text",)).collect()
+    assert len(got) == len(rows)
+    for x in got:
+        g = grams(x["kept_text"])
+        assert x["llr"] == pytest.approx(sum(map(ratio, g)) / len(g) if g else 0.0, abs=1e-5)
+        assert x["kept"] == (not x["base_failed"] and x["llr"] >= -0.38)
+
+
 # ---- 7
 
 ASSIGN = re.compile(r"""((?:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -753,3 +811,35 @@ def test_pipeline_decides_by_row(spark, tmp_path):
     left = corpus_pipeline.near_duplicates(spark, kept, str(tmp_path))
     assert left.columns == docs.columns
     assert Counter(tuple(x) for x in left.collect()) == Counter([(1, one), (None, two), (7, three), (5, four)])
+
+
+DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def test_pipeline_on_edge_tables(spark, tmp_path):
+    """Nulls in any column, empty and long texts, repeats, and a table without rows."""
+    r = random.Random(71)
+    long = prose(30_000, r)
+    rows = [(1, prose(100, r), "en", "a", 5), (2, None, None, None, None), (3, "", "en", "a", 0), (None, prose(120, r), None, "b", 9), (5, long, "de", None, 1), (6, long, "en", "b", 1)]
+    rows += [rows[0], (7, "user: alice9 key q7Wx9Zk2Lm4Np8Rt6Vb1 " + prose(90, r), "en", "a", 1)]
+    for name, data in (("some", rows), ("none", [])):
+        at = f"{tmp_path}/{name}"
+        spark.createDataFrame(data, DOCUMENTS).write.parquet(f"{at}/documents.parquet")
+        spark.createDataFrame([(1, 1)] if data else [], "doc_id long, quality int").write.parquet(f"{at}/labels.parquet")
+        out = corpus_pipeline.run(spark, at).collect()
+        assert {x["doc_id"] for x in out} <= {1, None, 5, 7} and all(x["round_trip"] for x in out)
+        assert bool(out) == bool(data)
+
+
+def test_whole_run_is_its_stages(spark, data):
+    """run() against each stage's brute force: verdicts, classes, redaction, the sample, and pieces."""
+    import sentencepiece
+
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    good = [(x["doc_id"], x["text"]) for x in quality_rules(docs, spark.read.parquet(f"{data}/labels.parquet"), keep=("text",)).where("kept").selectExpr("doc_id", "kept_text AS text").collect()]
+    ids = {c for _, _, c in brute_classes([(i, t or "") for i, t in good])}
+    clean = redact_secrets(docs.where(F.col("doc_id").isin(list(ids))))
+    chosen = {x["doc_id"]: x["text"] for x in mix_sources(clean).where("_selected").collect()}
+    out = corpus_pipeline.run(spark, data).collect()
+    sp = sentencepiece.SentencePieceProcessor(model_file=Q.piece_model())
+    assert {x["doc_id"]: sp.decode(list(x["ids"])) for x in out} == chosen and len(out) == len(chosen)
