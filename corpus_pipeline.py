@@ -6,6 +6,14 @@ samples documents by calibrated probabilities; segmentation encodes what is left
 No stage can be written as one SQL statement over whole tables (hashed n-gram
 models, signatures, raking), so ORACLE_SQL is None and the tests hold run()
 against a brute-force version.
+
+Nulls: a null text counts as empty, fails the quality rules and goes; null languages
+and sources are categories of the mix; rows with a null doc_id are judged like others
+and stay only where no row of their component has an identifier. Empty texts fail the
+quality rules. Repeated rows and ties: one row stays, the one written first. Very long
+texts are treated whole in every stage. Stages but the last return the columns of
+documents as they come, n_chars set anew where a secret is replaced. An empty table
+gives an empty table in every stage.
 """
 
 from __future__ import annotations
