@@ -9,8 +9,9 @@ whole and all others hold exactly their fitted proportions. Without `keep` the
 tokens are BUDGET of all, or more where all cells can hold their proportions with
 more (all tokens where the targets are the corpus's own).
 
-A document's topic is a bucket of its most frequent word of five bytes or more
-(ties: the lesser hash); without such a word it is -1. Its tokens are its words.
+A document's topic is its cluster by spherical k-means over hashed vectors of its words
+of five bytes or more, fitted to all documents; without such a word it is -1. Its tokens
+are its blank-separated words: weights are shares of words.
 Default targets are the corpus marginals tempered by `temper`. Null sources and
 languages are categories of their own; a null text has no tokens and a document
 without tokens is never sampled (it cannot add to a weight) unless keep_empty.
@@ -21,6 +22,8 @@ gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -37,38 +40,79 @@ DRIVER_CELLS = 50_000
 ROUNDS, CLOSE = 200, 1e-10
 #: The token budget, as a share of all, where no `keep` is given.
 BUDGET = 0.6
+#: Places and length of a word vector, and passes that move the centers.
+WIDE, UNIT, TOPIC_ROUNDS, SEED = 64, 1000, 3, 7
 
 
-def topics_and_tokens(texts: pa.Array, topics: int) -> tuple[np.ndarray, np.ndarray]:
-    topic, tokens = np.full(len(texts), -1, np.int32), np.zeros(len(texts), np.int64)
+def word_vectors(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Of each text its tokens, and a vector of whole numbers: its words of five bytes
+    or more, hashed with a sign into WIDE places, scaled to length UNIT (zeros without
+    such a word)."""
+    tokens, out = np.zeros(len(texts), np.int64), np.zeros((len(texts), WIDE), np.int32)
     for a, b, raw, offsets in chunks(texts):
         starts, ends, first = words(raw, offsets)
         tokens[a:b] = np.diff(first)
-        size = ends - starts
-        h = word_hashes(raw, starts, ends, lower=True)
-        long = np.flatnonzero(size >= 5)
+        long = np.flatnonzero(ends - starts >= 5)
+        h = word_hashes(raw, starts, ends, lower=True)[long]
         doc = np.searchsorted(first, long, "right") - 1
-        order = np.lexsort((h[long], doc))
-        doc, w = doc[order], h[long][order]
-        if not len(w):
-            continue
-        head = np.flatnonzero(np.concatenate(([True], (w[1:] != w[:-1]) | (doc[1:] != doc[:-1]))))
-        count = np.diff(np.append(head, len(w)))
-        best = np.lexsort((w[head], -count, doc[head]))
-        lead = best[np.concatenate(([True], doc[head][best][1:] != doc[head][best][:-1]))]
-        topic[a + doc[head][lead]] = (w[head][lead] >> np.uint64(33)) % np.uint64(topics)
-    return topic, tokens
+        cell = doc * WIDE + (h >> np.uint64(40)).astype(np.int64) % WIDE
+        grid = np.bincount(cell, (h & np.uint64(1)) * 2.0 - 1.0, (b - a) * WIDE).reshape(b - a, WIDE)
+        size = np.sqrt((grid * grid).sum(axis=1, keepdims=True))
+        out[a:b] = np.rint(UNIT * grid / np.where(size > 0, size, 1))
+    return tokens, out
+
+
+def nearest(vectors: np.ndarray, centers: np.ndarray, mean: np.ndarray) -> np.ndarray:
+    """The center of greatest cosine to each vector less the mean, the first of equals;
+    -1 for a vector of zeros."""
+    best = ((vectors - mean) @ centers.T).argmax(axis=1).astype(np.int32)
+    best[~vectors.any(axis=1)] = -1
+    return best
+
+
+def fit_topics(texts: DataFrame, topics: int, rounds: int = TOPIC_ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+    """(centers, mean): spherical k-means over the word vectors of all texts, from
+    seeded directions. A pass sums whole numbers, so the order of tasks makes no
+    difference, and one row a topic reaches the driver."""
+    centers, mean = np.random.default_rng(SEED).standard_normal((topics, WIDE)), np.zeros(WIDE)
+    for k in range(rounds + 1):  # the first pass finds the mean
+
+        def sums(batches: Iterator[pa.RecordBatch], centers=centers, mean=mean, one=k == 0) -> Iterator[pa.RecordBatch]:
+            total, count = np.zeros((topics, WIDE), np.int64), np.zeros(topics, np.int64)
+            for batch in batches:
+                for j in range(0, batch.num_rows, 1024):
+                    _, vectors = word_vectors(batch.column(0).slice(j, 1024))
+                    own = nearest(vectors, centers, mean)
+                    vectors, own = vectors[own >= 0], own[own >= 0] * (not one)
+                    np.add.at(total, own, vectors)
+                    count += np.bincount(own, minlength=topics)
+            some = np.flatnonzero(count)
+            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(count[some]), *[pa.array(total[some, j]) for j in range(WIDE)]], ["topic", "n", *[f"x{j}" for j in range(WIDE)]])
+
+        cols = [f"x{j}" for j in range(WIDE)]
+        got = texts.mapInArrow(sums, "topic int, n long, " + ", ".join(f"{c} long" for c in cols)).groupBy("topic").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in cols]).collect()
+        if not got:
+            break
+        if k == 0:
+            mean = np.array([got[0][c] for c in cols], float) / got[0]["n"]
+        for r in got if k else ():
+            centers[r["topic"]] = np.array([r[c] for c in cols], float) / r["n"] - mean
+        centers = centers / np.maximum(np.linalg.norm(centers, axis=1, keepdims=True), 1e-9)
+    return centers, mean
 
 
 def described(docs: DataFrame, *, topics: int, text_col: str = "text") -> DataFrame:
-    """docs with _topic and _tokens; one pass, all columns kept."""
+    """docs with _topic and _tokens; all columns kept."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    centers, mean = fit_topics(docs.select(text.alias("text")), topics)
 
     @F.arrow_udf("struct<topic:int,tokens:long>")
     def describe(texts: pa.Array) -> pa.Array:
-        topic, tokens = topics_and_tokens(texts, topics)
-        return pa.StructArray.from_arrays([pa.array(topic), pa.array(tokens)], ["topic", "tokens"])
+        parts = [word_vectors(texts.slice(k, 1024)) for k in range(0, len(texts), 1024)]
+        topic = [nearest(vectors, centers, mean) for _, vectors in parts]
+        return pa.StructArray.from_arrays([pa.array(np.concatenate([np.empty(0, np.int32), *topic])), pa.array(np.concatenate([np.empty(0, np.int64), *[t for t, _ in parts]]))], ["topic", "tokens"])
 
-    got = docs.withColumn("_mix", describe(F.coalesce(F.col(text_col), F.lit(""))))
+    got = docs.withColumn("_mix", describe(text))
     return got.withColumn("_topic", F.col("_mix.topic")).withColumn("_tokens", F.col("_mix.tokens")).drop("_mix")
 
 

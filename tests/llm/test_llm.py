@@ -373,6 +373,23 @@ def test_cells_have_brute_forces_probabilities(spark):
     assert max(got.values()) == 1 and got == pytest.approx({c: min(1.0, high * share[c] / w) for c, w in cells.items()}, abs=1e-6)
 
 
+def test_topics_are_the_vocabularies(spark):
+    """Documents of three vocabularies fall into clusters of one vocabulary each, the
+    same however the rows are dealt."""
+    from kinfold.llm.mixing import described
+
+    r = random.Random(81)
+    pools = [[f"{p}{''.join(r.choices('aeioulnr', k=6))}" for _ in range(60)] for p in "xyz"]
+    rows = [(k, " ".join(r.choices(pools[k % 3], k=r.randint(30, 80)))) for k in range(300)] + [(900, "a bc"), (901, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got, again = ({x["doc_id"]: x["_topic"] for x in described(df.repartition(n), topics=6).collect()} for n in (1, 5))
+    assert got == again and got[900] == got[901] == -1
+    kinds = {}
+    for k in range(300):
+        kinds.setdefault(got[k], Counter())[k % 3] += 1
+    assert sum(max(c.values()) for c in kinds.values()) >= 0.95 * 300 and len(kinds) >= 3
+
+
 def test_kept_tokens_hold_the_targets(spark):
     """Expected tokens by source, language and topic are the targets, the sampled ones
     near them; columns named like the operator's own pass or are replaced."""
