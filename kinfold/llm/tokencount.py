@@ -28,7 +28,8 @@ NEVER = np.int32(2**31 - 1)
 #: Sequences of up to this many symbols apply a pair that could interact with
 #: its own result one occurrence a round; longer ones use a queue.
 SHORT_ROW = 64
-MEMO_WORDS = 400_000
+#: What a worker remembers: words, and characters in all.
+MEMO_WORDS, MEMO_CHARS = 400_000, 8_000_000
 
 
 class PieceMerger:
@@ -73,6 +74,7 @@ class PieceMerger:
         self.joins = np.array(sorted({self.index[a] * self.n + self.index[b] for p in pieces for a, b in pairwise(p)}), np.int64)
         self.splits_at_space = not any(re.search("[^▁]▁", p) for p in pieces)
         self.memo: dict[str, int] = {}
+        self.held = 0
 
     def pretokens(self, text: str) -> list[str]:
         if not text:
@@ -83,12 +85,14 @@ class PieceMerger:
     def count(self, texts: list[str | None]) -> list[int]:
         out = []
         rows = [self.pretokens(t or "") for t in texts]
-        if len(self.memo) > MEMO_WORDS:
+        if len(self.memo) > MEMO_WORDS or self.held > MEMO_CHARS:
             self.memo.clear()
+            self.held = 0
         new = list({w for row in rows for w in row if w not in self.memo})
         for k in range(0, len(new), 65536):
             part = new[k : k + 65536]
             self.memo.update(zip(part, self.merge(part).tolist(), strict=True))
+            self.held += sum(map(len, part))
         for row in rows:
             out.append(sum(map(self.memo.__getitem__, row)))
         return out
