@@ -76,6 +76,18 @@ def record_view(docs: DataFrame) -> DataFrame:
     )
 
 
+def whole_view(docs: DataFrame) -> DataFrame:
+    """Whole documents as business records: the first line is the name, all behind it the address."""
+    line = F.substring_index("text", "\n", 1)
+    return docs.select(
+        F.concat(F.lit("D"), F.col("doc_id").cast("string")).alias("entity_id"),
+        line.alias("business_name"),
+        F.substr("text", F.length(line) + 2).alias("business_address"),
+        F.col("lang").alias("country"),
+        F.col("doc_id").alias("_row"),
+    )
+
+
 def sides(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Source 1, and sources 2 and 3 tagged, by the row number modulo 3."""
     third = lambda k: records.where(F.pmod(F.col("_row"), F.lit(3)) == k)

@@ -46,8 +46,12 @@ def raw(spark: SparkSession, sf: str) -> DataFrame:
     return records.record_view(table(spark, sf, "documents"))
 
 
+def whole(spark: SparkSession, sf: str) -> DataFrame:
+    return records.whole_view(table(spark, sf, "documents"))
+
+
 def based(spark: SparkSession, sf: str) -> DataFrame:
-    return records.with_base(raw(spark, sf))
+    return records.with_base(whole(spark, sf))
 
 
 def clean(spark: SparkSession, sf: str) -> DataFrame:
@@ -102,12 +106,12 @@ def entry(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------------- A, B: scan and normalise
 
-REC = S.with_([S.REC0], "SELECT {} FROM rec0")
+REC = S.with_([S.WHOLE0], "SELECT {} FROM rec0")
 
 
 @query("a1_record_scan", REC.format("entity_id, business_name, business_address, country"))
 def a1(spark, sf):
-    return raw(spark, sf).select("entity_id", *[N.filled(F.col(c)).alias(c) for c in records.REQUIRED[1:]])
+    return whole(spark, sf).select("entity_id", *[N.filled(F.col(c)).alias(c) for c in records.REQUIRED[1:]])
 
 
 @query("a1_tsv_scan", REC.format("entity_id, business_name, business_address, country"))
@@ -115,23 +119,23 @@ def a1_tsv(spark, sf):
     """The records written as tab-separated text, quotes and line ends inside fields
     included, and read by the reader."""
     place, cols = folder(spark, "tsv"), ["entity_id", *records.REQUIRED[1:]]
-    planted = raw(spark, sf).select("entity_id", *[N.filled(F.col(c)).alias(c) for c in cols[1:]])
+    planted = whole(spark, sf).select("entity_id", *[N.filled(F.col(c)).alias(c) for c in cols[1:]])
     planted.write.options(sep="\t", header=True, quote='"', escape='"', quoteAll=True, emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(place)
     return files.read_tsv(spark, place).select(*cols)
 
 
-@query("a2_head_limit", S.with_([S.REC0], "SELECT entity_id FROM rec0 WHERE _row < 500"))
+@query("a2_head_limit", S.with_([S.WHOLE0], "SELECT entity_id FROM rec0 WHERE _row < 500"))
 def a2(spark, sf):
-    return records.head(raw(spark, sf), 500).select("entity_id")
+    return records.head(whole(spark, sf), 500).select("entity_id")
 
 
-@query("a5_tagged_union", S.with_([S.REC0], "SELECT entity_id, CASE _row % 3 WHEN 1 THEN 'S2' ELSE 'S3' END AS source FROM rec0 WHERE _row % 3 <> 0"))
+@query("a5_tagged_union", S.with_([S.WHOLE0], "SELECT entity_id, CASE _row % 3 WHEN 1 THEN 'S2' ELSE 'S3' END AS source FROM rec0 WHERE _row % 3 <> 0"))
 def a5(spark, sf):
-    return records.sides(raw(spark, sf))[1].select("entity_id", "source")
+    return records.sides(whole(spark, sf))[1].select("entity_id", "source")
 
 
 def _scalar(name: str, make, statement: str):
-    query(name, S.with_(S.RECORDS[:2], f"SELECT entity_id, {statement} AS value FROM rec1"))(lambda spark, sf: based(spark, sf).select("entity_id", make().alias("value")))
+    query(name, S.with_(S.WHOLE[:2], f"SELECT entity_id, {statement} AS value FROM rec1"))(lambda spark, sf: based(spark, sf).select("entity_id", make().alias("value")))
 
 
 _scalar("b1_null_to_empty", lambda: F.col("business_address"), "business_address")
@@ -180,17 +184,17 @@ _NORMAL = "entity_id, country_clean, business_name_clean, name_core, name_core_s
 
 
 def _normal(cols: str):
-    return lambda spark, sf: clean(spark, sf).select(*[c.strip() for c in cols.split(",")])
+    return lambda spark, sf: records.normalised(whole(spark, sf)).select(*[c.strip() for c in cols.split(",")])
 
 
-query("b18_clean_address", S.with_(S.RECORDS[:5], "SELECT entity_id, business_address_clean FROM rec"))(_normal("entity_id, business_address_clean"))
-query("b19_join_sort_squash", S.with_(S.RECORDS[:5], "SELECT entity_id, name_core_sorted, name_squashed, address_sorted FROM rec"))(_normal("entity_id, name_core_sorted, name_squashed, address_sorted"))
-query("b20_preprocess", S.with_(S.RECORDS[:5], f"SELECT {_NORMAL} FROM rec"))(_normal(_NORMAL))
+query("b18_clean_address", S.with_(S.WHOLE[:5], "SELECT entity_id, business_address_clean FROM rec"))(_normal("entity_id, business_address_clean"))
+query("b19_join_sort_squash", S.with_(S.WHOLE[:5], "SELECT entity_id, name_core_sorted, name_squashed, address_sorted FROM rec"))(_normal("entity_id, name_core_sorted, name_squashed, address_sorted"))
+query("b20_preprocess", S.with_(S.WHOLE[:5], f"SELECT {_NORMAL} FROM rec"))(_normal(_NORMAL))
 
 
-@query("b22_first_token", S.with_(S.RECORDS[:5], "SELECT entity_id, coalesce(core[1], '') AS first_token FROM rec"))
+@query("b22_first_token", S.with_(S.WHOLE[:5], "SELECT entity_id, coalesce(core[1], '') AS first_token FROM rec"))
 def b22(spark, sf):
-    return clean(spark, sf).select("entity_id", F.coalesce(F.try_element_at(N.tokens(F.col("name_core")), F.lit(1)), F.lit("")).alias("first_token"))
+    return records.normalised(whole(spark, sf)).select("entity_id", F.coalesce(F.try_element_at(N.tokens(F.col("name_core")), F.lit(1)), F.lit("")).alias("first_token"))
 
 
 @query("b23_split_ids", S.with_(S.TRUTH, "SELECT s1_id, r_id FROM truth"))

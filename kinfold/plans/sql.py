@@ -72,6 +72,8 @@ def core(x: str) -> str:
 
 
 REC0 = "rec0 AS (SELECT 'D' || doc_id AS entity_id, coalesce(substr(text, 1, 60), '') AS business_name, coalesce(substr(text, 61, 80), '') AS business_address, coalesce(lang, '') AS country, doc_id AS _row FROM documents)"
+LINE = "split_part(text, chr(10), 1)"
+WHOLE0 = f"rec0 AS (SELECT 'D' || doc_id AS entity_id, coalesce({LINE}, '') AS business_name, coalesce(substr(text, length({LINE}) + 2), '') AS business_address, coalesce(lang, '') AS country, doc_id AS _row FROM documents)"
 RECORDS = [
     REC0,
     f"rec1 AS (SELECT *, {base('business_name')} AS nb, {base('business_address')} AS ab, {base('country')} AS cb FROM rec0)",
@@ -83,6 +85,9 @@ RECORDS = [
 ]
 
 
+WHOLE = [WHOLE0, *RECORDS[1:]]
+
+
 def slices(source: str, sizes: tuple[int, ...]) -> str:
     """Substrings of w in source (entity_id, w)."""
     n = ", ".join(f"({x})" for x in sizes)
