@@ -207,27 +207,27 @@ def b23(spark, sf):
 
 
 def _space(s: str):
-    query(f"c6_tfidf_{s}", S.with_([*S.RECORDS, *S.space(s)], f"SELECT entity_id, term, round(weight, 6) AS weight FROM p_{s}"))(lambda spark, sf: posting_table(clean(spark, sf), [s]).select("entity_id", "term", r6("weight").alias("weight")))
-    query(f"c_terms_{s}", S.with_([*S.RECORDS, *S.space(s)[:1]], f"SELECT entity_id, term, tf FROM c_{s}"))(lambda spark, sf: term_counts(clean(spark, sf), [s]).select("entity_id", "term", "tf"))
+    query(f"c6_tfidf_{s}", S.with_([*S.WHOLE, *S.space(s)], f"SELECT entity_id, term, round(weight, 6) AS weight FROM p_{s}"))(lambda spark, sf: posting_table(records.normalised(whole(spark, sf)), [s]).select("entity_id", "term", r6("weight").alias("weight")))
+    query(f"c_terms_{s}", S.with_([*S.WHOLE, *S.space(s)[:1]], f"SELECT entity_id, term, tf FROM c_{s}"))(lambda spark, sf: term_counts(records.normalised(whole(spark, sf)), [s]).select("entity_id", "term", "tf"))
 
 
 for _s in SPACES:
     _space(_s)
 
 
-@query("c6_document_frequency", S.with_([*S.RECORDS, *[x for s in SPACES for x in S.space(s)[:2]]], " UNION ALL ".join(f"SELECT '{s}' AS space, term, df FROM d_{s}" for s in SPACES)))
+@query("c6_document_frequency", S.with_([*S.WHOLE, *[x for s in SPACES for x in S.space(s)[:2]]], " UNION ALL ".join(f"SELECT '{s}' AS space, term, df FROM d_{s}" for s in SPACES)))
 def c6_df(spark, sf):
-    return document_frequency(term_counts(clean(spark, sf), list(SPACES))).select("space", "term", "df")
+    return document_frequency(term_counts(records.normalised(whole(spark, sf)), list(SPACES))).select("space", "term", "df")
 
 
-@query("c8_binary_sets", S.with_([*S.RECORDS, S.binary_lists()], "SELECT entity_id, " + ", ".join(f"array_to_string(list_sort({b}), ' ') AS {b}" for b in BINARY) + " FROM feat"))
+@query("c8_binary_sets", S.with_([*S.WHOLE, S.binary_lists()], "SELECT entity_id, " + ", ".join(f"array_to_string(list_sort({b}), ' ') AS {b}" for b in BINARY) + " FROM feat"))
 def c8(spark, sf):
-    return with_binary_sets(clean(spark, sf)).select("entity_id", *[F.array_join(F.array_sort(b), " ").alias(b) for b in BINARY])
+    return with_binary_sets(records.normalised(whole(spark, sf))).select("entity_id", *[F.array_join(F.array_sort(b), " ").alias(b) for b in BINARY])
 
 
-@query("c9_empty_space", S.with_(S.RECORDS, "SELECT count(*) FILTER (length(name_core) = 0) AS empty_names, count(*) FILTER (length(address_sorted) = 0) AS empty_addresses, 0::BIGINT AS postings FROM rec"))
+@query("c9_empty_space", S.with_(S.WHOLE, "SELECT count(*) FILTER (length(name_core) = 0) AS empty_names, count(*) FILTER (length(address_sorted) = 0) AS empty_addresses, 0::BIGINT AS postings FROM rec"))
 def c9(spark, sf):
-    df = clean(spark, sf)
+    df = records.normalised(whole(spark, sf))
     none = posting_table(df.withColumn("name_core", F.lit("")), ["name_word"]).agg(F.count(F.lit(1)).alias("postings"))
     return df.agg(F.count_if(F.length("name_core") == 0).alias("empty_names"), F.count_if(F.length("address_sorted") == 0).alias("empty_addresses")).join(none)
 
