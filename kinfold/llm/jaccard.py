@@ -305,7 +305,7 @@ def jaccard_classes(docs: DataFrame, *, n: int = 5, num: int = 80, den: int = 10
     hashed = source.withColumn("th", F.xxhash64("text"))
     sets = settled(hashed.mapInArrow(name_sets, f"doc_id {kind}, th long, n long, v long, w long, need long"), "sets")
     classes = settled(sets.where("n > 0").groupBy("v", "w", "n", "need").agg(F.min("doc_id").alias("low"), F.min("th").alias("th")), "classes")
-    total, most = classes.agg(F.sum("n"), F.max("n")).first()
+    total, most, held = classes.agg(F.sum("n"), F.max("n"), F.count(F.lit(1))).first()
     if not total:
         return sets.select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     every = plans(int(most), num, den)
@@ -325,12 +325,25 @@ def jaccard_classes(docs: DataFrame, *, n: int = 5, num: int = 80, den: int = 10
                     seen.clear()
         yield from sender.flush()
 
+    ranges = max(least, int(held) >> 20)
+
     def shared_count(table: pa.Table) -> pa.Table:
+        """A bucket's counts, for each range of sets in one row."""
         v, count = np.unique(_shared(table)[1], return_counts=True)
-        return pa.table({"v": v, "shared": count.astype(np.int64)})
+        part = (v.astype(np.uint64) % np.uint64(ranges)).astype(np.int32)
+        order = np.argsort(part, kind="stable")
+        head, size = _groups(part[order])
+        cut = [order[a : a + n] for a, n in zip(head.tolist(), size.tolist(), strict=True)]
+        return pa.table({"part": pa.array(part[order][head], pa.int32()), "v": pa.array([v[x].tobytes() for x in cut], pa.binary()), "times": pa.array([count[x].astype(np.int64).tobytes() for x in cut], pa.binary())})
+
+    def summed(table: pa.Table) -> pa.Table:
+        every, times = (np.concatenate([np.frombuffer(x, np.int64) for x in table.column(c).to_pylist()]) for c in ("v", "times"))
+        v, at = np.unique(every, return_inverse=True)
+        return pa.table({"v": v, "shared": np.bincount(at, times, len(v)).astype(np.int64)})
 
     halves = source.select("text").mapInArrow(odd_half, BLOBS).drop("labels").withColumn("labels", F.col("owners"))
-    shared = halves.groupBy("bucket").applyInArrow(shared_count, "v long, shared long").groupBy("v").agg(F.sum("shared").alias("shared"))
+    counted = halves.groupBy("bucket").applyInArrow(shared_count, "part int, v binary, times binary")
+    shared = counted.groupBy("part").applyInArrow(summed, "v long, shared long")
     live = classes.where("need <= 0").select("v", "th").unionByName(classes.where("need > 0").join(shared, "v").where("shared >= need").select("v", "th"))
     live = settled(live, "live")
 
