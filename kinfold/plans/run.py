@@ -13,18 +13,18 @@ from pyspark.sql import functions as F
 from kinfold.functions import fixed as X
 from kinfold.operators import blocking, evaluate, features, models, records, resolve, truth, validate
 from kinfold.operators.analytics import DataError
-from kinfold.operators.vectors import vectors
+from kinfold.operators.lineage import written
+from kinfold.operators.vectors import SPACES, known
 from kinfold.sources import files
 
 
 def featured(left: DataFrame, right: DataFrame, pairs_of) -> tuple[DataFrame, DataFrame]:
-    """(feature rows, natural candidates) of normalised records. Vectors are of this
-    run's records; pairs_of turns the candidates into s1_id, r_id, natural, ..."""
-    vec = vectors(blocking.all_records(left, right)).persist()
-    natural = blocking.candidate_pairs(blocking.signal_pairs(left, right, vec)).persist()
-    pool = pairs_of(natural)
-    rows = features.pair_features(pool.select("s1_id", "r_id", "natural"), features.record_features(left, vec), features.record_features(right, vec))
-    return features.list_features(rows), natural
+    """(feature rows, natural candidates) of normalised records. Document frequencies are
+    of this run's records; pairs_of turns the candidates into s1_id, r_id, natural, ..."""
+    freq = known(blocking.all_records(left, right), list(SPACES))
+    natural = written(blocking.candidate_pairs(blocking.signal_pairs(left, right, freq=freq)), "pairs")
+    pool = pairs_of(natural).select("s1_id", "r_id", "natural")
+    return features.list_features(features.features_of(pool, left, right, freq)), natural
 
 
 def train(spark: SparkSession, s1: DataFrame, s2: DataFrame, s3: DataFrame, truth_table: DataFrame, model_path: str, metrics_path: str, *, limit: int | None = None, kinds: dict | None = None) -> dict:

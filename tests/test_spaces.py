@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kinfold.functions.spaces import Terms
+from kinfold.operators import blocking, features
 from kinfold.operators import vectors as V
 from kinfold.plans import catalog
 from tests.test_operators import _grams
@@ -39,3 +40,45 @@ def test_frequencies_are_counted_within_tasks(spark, data, monkeypatch):
     assert not V.frequencies(records.limit(0), ["name_word"]).count()
     many = V.frequencies(records.withColumn("name_core", F.repeat(F.lit("ab cd "), 50_000)).limit(3), ["name_word", "name_squash"])
     assert {r["df"] for r in many.collect()} == {3}
+
+
+def test_blocks_travel_as_texts(spark, data):
+    """Before, copies of vectors were shuffled for every block of the other side, and
+    joined to every pair."""
+    left, right = catalog.both(spark, data)
+    for got in (blocking.signal_pairs(left, right), catalog.feature_rows(spark, data)):
+        plan = got._jdf.queryExecution().toString()
+        assert "weights" not in plan and "name_char_w" not in plan
+
+
+def test_pieces_do_not_change_a_block(spark, data, monkeypatch):
+    left, right = catalog.both(spark, data)
+    freq = V.known(blocking.all_records(left, right), list(blocking.SEARCHED))
+    table = lambda df: df.selectExpr("entity_id AS id", "name_core", "business_address_clean").toArrow()
+    a, b = table(left), table(right)
+    want = blocking.search_block(a, b, freq, blocking.SIGNALS).to_pylist()
+    assert {r["signal"] for r in want} == set(blocking.SIGNALS)
+    for name, x in (("PIECE", 17), ("ROWS", 3), ("DENSE", 0.4), ("CELLS", 20)):
+        monkeypatch.setattr(blocking, name, x)
+    got = blocking.search_block(a, b, freq, blocking.SIGNALS).to_pylist()
+    near = lambda rows: {(r["s1_id"], r["r_id"], r["signal"]): round(r["score"], 8) for r in rows}
+    assert near(got) == near(want) and len(got) == len(want)
+
+
+def test_more_terms_than_may_be_sent(spark, data, monkeypatch):
+    left, right = catalog.both(spark, data)
+    want = {tuple(r) for r in blocking.candidates(left, right).collect()}
+    monkeypatch.setattr(V, "KNOWN_TERMS", 5)
+    assert V.known(blocking.all_records(left, right), ["name_word"]) is None
+    assert {tuple(r) for r in blocking.candidates(left, right).collect()} == want
+
+
+def test_cosines_of_texts_are_those_of_vectors(spark, data):
+    left, right = catalog.both(spark, data)
+    both = blocking.all_records(left, right)
+    vec, freq = V.vectors(both), V.known(both, list(V.SPACES))
+    pairs = blocking.candidates(left, right).withColumn("natural", F.lit(True))
+    a = features.pair_features(pairs, features.record_features(left, vec), features.record_features(right, vec))
+    b = features.pair_features(pairs, features.record_features(left), features.record_features(right), freq)
+    six = lambda df: {(r["s1_id"], r["r_id"]): [round(r[c], 7) for c in features.COSINES] for r in df.collect()}
+    assert six(a) == six(b)
