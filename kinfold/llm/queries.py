@@ -11,7 +11,7 @@ from kinfold.llm.media import media_columns
 from kinfold.llm.mixing import mix_sources
 from kinfold.llm.quality import quality_rules
 from kinfold.llm.secrets import secret_report
-from kinfold.llm.segment import encode_documents
+from kinfold.llm.segment import LARGE, encode_documents
 from kinfold.llm.shards import kd_shards
 from kinfold.llm.substrings import remove_repeats
 from kinfold.llm.tokencount import count_tokens
@@ -63,7 +63,7 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = encode_documents(documents(spark, sf_dir), piece_model(), n_best=3)
+    out = encode_documents(documents(spark, sf_dir), piece_model(), n_best=3, memo=LARGE)
     crc = lambda ids: F.crc32(F.array_join(F.transform(ids, lambda x: x.cast("string")), ","))
     other = lambda k: crc(F.try_element_at("other_ids", F.lit(k)))
     score = lambda k: F.round(F.try_element_at("scores", F.lit(k)), 3)

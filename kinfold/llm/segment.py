@@ -36,8 +36,9 @@ from pyspark.sql import functions as F
 
 from kinfold.llm.textbytes import chunks
 
-#: What a worker remembers: ids of pieces in all, and parts.
-MEMO_IDS, MEMO_PARTS = 2_000_000, 150_000
+#: What a worker remembers: ids of pieces in all, and parts. LARGE takes about 100 MB
+#: more, for a run that has a worker's memory to itself.
+MEMO, LARGE = (2_000_000, 150_000), (8_000_000, 500_000)
 READ_BYTES = 512 << 10
 MICRO = 1_000_000
 NEVER = -(1 << 62)
@@ -60,7 +61,7 @@ def rank_scores(sp) -> dict[int, float]:
 
 
 class PieceLattice:
-    def __init__(self, model_file: str, n_best: int):
+    def __init__(self, model_file: str, n_best: int, memo: tuple[int, int] = MEMO):
         import sentencepiece
 
         sp = sentencepiece.SentencePieceProcessor(model_file=model_file)
@@ -74,7 +75,7 @@ class PieceLattice:
         self.unknown = min(scores.values()) - UNKNOWN_PENALTY
         #: piece: (score, id)
         self.pieces = {self.names[i]: (scores.get(i, self.unknown), i) for i in free}
-        self.n_best = n_best
+        self.n_best, self.memo = n_best, memo
         # The finest cut that leaves every piece whole: at changes between
         # signs and letters, else before each run of spaces, else none.
         self.cutter = next((c for c in map(re.compile, CUTS) if all(c.findall(p) == [p] for p in self.pieces)), None)
@@ -284,7 +285,7 @@ class PieceLattice:
     def encode_texts(self, texts: list[str]) -> tuple[list[list[np.ndarray]], list[list[float]], list[bool]]:
         """Of each text the ids of its n_best segmentations, best first, their scores,
         and whether each of them decodes to the text."""
-        if len(self.flat) > MEMO_IDS or len(self.right) > MEMO_PARTS:
+        if len(self.flat) > self.memo[0] or len(self.right) > self.memo[1]:
             self.forget()
         parts = [self.parts(t) for t in texts]
         every = list(chain.from_iterable(parts))
@@ -361,16 +362,16 @@ def _codepoints(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-_loaded: dict[tuple[str, int], PieceLattice] = {}
+_loaded: dict[tuple, PieceLattice] = {}
 
 
-def lattice(model_file: str, n_best: int) -> PieceLattice:
-    if (model_file, n_best) not in _loaded:
-        _loaded[model_file, n_best] = PieceLattice(model_file, n_best)
-    return _loaded[model_file, n_best]
+def lattice(model_file: str, n_best: int, memo: tuple[int, int] = MEMO) -> PieceLattice:
+    if (model_file, n_best, memo) not in _loaded:
+        _loaded[model_file, n_best, memo] = PieceLattice(model_file, n_best, memo)
+    return _loaded[model_file, n_best, memo]
 
 
-def encode_documents(docs: DataFrame, model_file: str, *, n_best: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode_documents(docs: DataFrame, model_file: str, *, n_best: int = 3, id_col: str = "doc_id", text_col: str = "text", memo: tuple[int, int] = MEMO) -> DataFrame:
     """doc_id, n_bytes, ids (best segmentation), other_ids (the second to the n-th),
     scores (n best, best first) and round_trip: decoding each of the n id lists gives
     the text."""
@@ -378,7 +379,7 @@ def encode_documents(docs: DataFrame, model_file: str, *, n_best: int = 3, id_co
     text = F.coalesce(F.col(text_col), F.lit(""))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = lattice(model_file, n_best)
+        model = lattice(model_file, n_best, memo)
         for batch in batches:
             for a, b, _, _ in chunks(batch.column(1), READ_BYTES):
                 part = batch.slice(a, b - a)

@@ -22,7 +22,7 @@ from kinfold.llm.media import from_png, media_columns, payload_of, png_size, to_
 from kinfold.llm.mixing import mix_sources, rake
 from kinfold.llm.quality import counted, quality_rules
 from kinfold.llm.secrets import find_secrets, redact_secrets, secret_report
-from kinfold.llm.segment import PieceLattice, encode_documents
+from kinfold.llm.segment import LARGE, PieceLattice, encode_documents
 from kinfold.llm.shards import kd_shards
 from kinfold.llm.substrings import remove_repeats
 from kinfold.llm.textbytes import buffers, shingle_sets
@@ -860,3 +860,14 @@ def test_whole_run_is_its_stages(spark, data):
     out = corpus_pipeline.run(spark, data).collect()
     sp = sentencepiece.SentencePieceProcessor(model_file=Q.piece_model())
     assert {x["doc_id"]: sp.decode(list(x["ids"])) for x in out} == chosen and len(out) == len(chosen)
+
+
+def test_a_run_of_its_own_remembers_more_parts(monkeypatch):
+    """Before, a worker forgot all parts at 150,000, and searched the common ones again."""
+    words = [f"w{k}" for k in range(160_000)]
+    model = PieceLattice(Q.piece_model(), 3, LARGE)
+    first = model.encode_texts(words[:100])
+    model.encode_texts([" ".join(words)])
+    monkeypatch.setattr(model, "search", lambda parts: pytest.fail("searched again"))
+    again = model.encode_texts(words[:100])
+    assert [[x.tolist() for x in own] for own in again[0]] == [[x.tolist() for x in own] for own in first[0]] and again[1:] == first[1:]
