@@ -114,3 +114,9 @@ def test_copies_are_scored_once(spark, monkeypatch):
     row, doc = (x.ravel() for x in np.indices((80, 80)))
     got = piece.exact(own, row, doc)
     assert seen == [4] and np.allclose(got[(row + doc) % 2 == 0], 1) and (got[(row + doc) % 2 == 1] < 0.99).all()
+
+
+def test_pairs_travel_with_texts(spark, data):
+    """Before, sets and tokens travelled with every pair."""
+    for side in catalog.both(spark, data):
+        assert {kind for _, kind in features.record_features(side).dtypes} == {"string"}
