@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from kinfold.llm.components import components
 from kinfold.llm.shared import settled
-from kinfold.llm.textbytes import chunks, mix, shingle_sets
+from kinfold.llm.textbytes import chunks, mix, released, shingle_sets
 
 #: Up to this many keys are sent to all executors; beyond, the join shuffles.
 BROADCAST_ROWS = 500_000
@@ -303,7 +303,7 @@ def jaccard_classes(docs: DataFrame, *, n: int = 5, num: int = 80, den: int = 10
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a), *cols], ["doc_id", "th", "n", "v", "w", "need"])
 
     hashed = source.withColumn("th", F.xxhash64("text"))
-    sets = settled(hashed.mapInArrow(name_sets, f"doc_id {kind}, th long, n long, v long, w long, need long"), "sets")
+    sets = settled(hashed.mapInArrow(released(name_sets), f"doc_id {kind}, th long, n long, v long, w long, need long"), "sets")
     classes = settled(sets.where("n > 0").groupBy("v", "w", "n", "need").agg(F.min("doc_id").alias("low"), F.min("th").alias("th")), "classes")
     total, most, held = classes.agg(F.sum("n"), F.max("n"), F.count(F.lit(1))).first()
     if not total:
@@ -341,7 +341,7 @@ def jaccard_classes(docs: DataFrame, *, n: int = 5, num: int = 80, den: int = 10
         v, at = np.unique(every, return_inverse=True)
         return pa.table({"v": v, "shared": np.bincount(at, times, len(v)).astype(np.int64)})
 
-    halves = source.select("text").mapInArrow(odd_half, BLOBS).drop("labels").withColumn("labels", F.col("owners"))
+    halves = source.select("text").mapInArrow(released(odd_half), BLOBS).drop("labels").withColumn("labels", F.col("owners"))
     counted = halves.groupBy("bucket").applyInArrow(shared_count, "part int, v binary, times binary")
     shared = counted.groupBy("part").applyInArrow(summed, "v long, shared long")
     live = classes.where("need <= 0").select("v", "th").unionByName(classes.where("need > 0").join(shared, "v").where("shared >= need").select("v", "th"))
@@ -364,7 +364,7 @@ def jaccard_classes(docs: DataFrame, *, n: int = 5, num: int = 80, den: int = 10
     # Of equal texts the rows with the least identifier are read.
     lows = sets.groupBy("th").agg(F.min("doc_id").alias("doc_id")).join(live.select("th").distinct(), "th", "left_semi")
     wanted = hashed.join(_few(settled(lows, "lows")).toDF("_th", "_id"), (F.col("th") == F.col("_th")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select("text")
-    loaded = wanted.mapInArrow(load, "v long, n long, signs long, feats binary, " + ", ".join(f"{c} long" for c in SKETCH))
+    loaded = wanted.mapInArrow(released(load), "v long, n long, signs long, feats binary, " + ", ".join(f"{c} long" for c in SKETCH))
     loaded = settled(loaded.withColumn("id", F.monotonically_increasing_id()), "feats")
     # Equal texts in several tasks give a set again: only the rows to leave out move.
     first = loaded.groupBy("v").agg(F.min("id").alias("low"), F.count(F.lit(1)).alias("times")).where("times > 1")
@@ -404,7 +404,7 @@ def jaccard_classes(docs: DataFrame, *, n: int = 5, num: int = 80, den: int = 10
             yield from often()
         yield from map(wide, sender.flush())
 
-    begun = settled(feats.select("v", "feats").mapInArrow(sign_first, BLOBS + ", key long, times long"), "signed")
+    begun = settled(feats.select("v", "feats").mapInArrow(released(sign_first), BLOBS + ", key long, times long"), "signed")
     hot = settled(begun.where("bucket < 0").groupBy("key").agg(F.sum("times").alias("times")).where(F.col("times") >= hot_key), "hot")
 
     def stars(table: pa.Table) -> pa.Table:
@@ -439,7 +439,7 @@ def jaccard_classes(docs: DataFrame, *, n: int = 5, num: int = 80, den: int = 10
                     keep.append(den * both >= num * (len(z) - both))
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-        return both.select("a", "b", "a_feats", "b_feats").mapInArrow(compare, "a long, b long")
+        return both.select("a", "b", "a_feats", "b_feats").mapInArrow(released(compare), "a long, b long")
 
     joined = components(settled(verified(near), "links"))
     labels = settled(joined, "labels")
@@ -479,7 +479,7 @@ def jaccard_classes(docs: DataFrame, *, n: int = 5, num: int = 80, den: int = 10
         at = np.repeat(chosen, size)
         return pa.table({"gid": np.repeat(_signed(name[chosen]), size[chosen]), "size": np.repeat(size[chosen], size[chosen]).astype(np.int64), "v": owners[at]})
 
-    signed = labelled.mapInArrow(sign, BLOBS)
+    signed = labelled.mapInArrow(released(sign), BLOBS)
     if hot_keys:
         signed = settled(signed, "signed")
     places = signed.where("bucket >= 0").groupBy("bucket").applyInArrow(mixed, "gid long, size long, v long")

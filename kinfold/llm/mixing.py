@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinfold.llm.shared import settled
-from kinfold.llm.textbytes import chunks, word_hashes, words
+from kinfold.llm.textbytes import chunks, released, to_system, word_hashes, words
 
 DIMS = ("source", "lang", "topic")
 ADDED = ("_topic", "_tokens", "_prob", "_selected")
@@ -90,7 +90,7 @@ def fit_topics(texts: DataFrame, topics: int, rounds: int = TOPIC_ROUNDS) -> tup
             yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(count[some]), *[pa.array(total[some, j]) for j in range(WIDE)]], ["topic", "n", *[f"x{j}" for j in range(WIDE)]])
 
         cols = [f"x{j}" for j in range(WIDE)]
-        got = texts.mapInArrow(sums, "topic int, n long, " + ", ".join(f"{c} long" for c in cols)).groupBy("topic").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in cols]).collect()
+        got = texts.mapInArrow(released(sums), "topic int, n long, " + ", ".join(f"{c} long" for c in cols)).groupBy("topic").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in cols]).collect()
         if not got:
             break
         if k == 0:
@@ -110,7 +110,11 @@ def described(docs: DataFrame, *, topics: int, text_col: str = "text") -> DataFr
     def describe(texts: pa.Array) -> pa.Array:
         parts = [word_vectors(texts.slice(k, 1024)) for k in range(0, len(texts), 1024)]
         topic = [nearest(vectors, centers, mean) for _, vectors in parts]
-        return pa.StructArray.from_arrays([pa.array(np.concatenate([np.empty(0, np.int32), *topic])), pa.array(np.concatenate([np.empty(0, np.int64), *[t for t, _ in parts]]))], ["topic", "tokens"])
+        tokens = np.concatenate([np.empty(0, np.int64), *[t for t, _ in parts]])
+        out = pa.StructArray.from_arrays([pa.array(np.concatenate([np.empty(0, np.int32), *topic])), pa.array(tokens)], ["topic", "tokens"])
+        del parts, topic
+        to_system()
+        return out
 
     got = docs.withColumn("_mix", describe(text))
     return got.withColumn("_topic", F.col("_mix.topic")).withColumn("_tokens", F.col("_mix.tokens")).drop("_mix")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.llm.textbytes import BYTE_VALUE, SPACE, chunks, mix, prefix_hash, span_hash, window_hashes, words
+from kinfold.llm.textbytes import BYTE_VALUE, SPACE, chunks, mix, prefix_hash, released, span_hash, window_hashes, words
 
 #: Fixed values of the counted rules.
 SYMBOLS = b"#*$%&|<>"
@@ -136,7 +136,7 @@ def fit_ratio(docs: DataFrame, labels: DataFrame, *, most_labelled: int, id_col:
         some = np.flatnonzero(raw_n)
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(raw_n[some]), pa.array(good_n[some])], ["bucket", "raw_n", "good_n"])
 
-    counts = marked.mapInArrow(run, "bucket int, raw_n long, good_n long").groupBy("bucket").agg(F.sum("raw_n").alias("raw_n"), F.sum("good_n").alias("good_n")).toArrow()
+    counts = marked.mapInArrow(released(run), "bucket int, raw_n long, good_n long").groupBy("bucket").agg(F.sum("raw_n").alias("raw_n"), F.sum("good_n").alias("good_n")).toArrow()
     raw_n, good_n = np.zeros(BUCKETS), np.zeros(BUCKETS)  # at most BUCKETS rows came
     at = counts["bucket"].to_numpy()
     raw_n[at], good_n[at] = counts["raw_n"].to_numpy(), counts["good_n"].to_numpy()
@@ -172,4 +172,4 @@ def quality_rules(docs: DataFrame, labels: DataFrame, *, threshold: float = -0.3
     # The text travels once, as it is: the kernels read a null as empty.
     at = {c: k + 2 for k, c in enumerate(c for c in keep if c != text_col)} | {text_col: 1}
     more = "".join(f", `{name}` {docs.schema[c].dataType.simpleString()}" for name, c in zip(names, keep, strict=True))
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *[F.col(c).alias(f"kept_{c}") for c in at if c != text_col]).mapInArrow(run, f"doc_id {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, llr double, kept boolean{more}")
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *[F.col(c).alias(f"kept_{c}") for c in at if c != text_col]).mapInArrow(released(run), f"doc_id {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, llr double, kept boolean{more}")

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.llm.textbytes import chunks
+from kinfold.llm.textbytes import chunks, released
 
 #: What a worker remembers: ids of pieces in all, and parts. LARGE takes about 100 MB
 #: more, for a run that has a worker's memory to itself.
@@ -371,6 +371,10 @@ def lattice(model_file: str, n_best: int, memo: tuple[int, int] = MEMO) -> Piece
     return _loaded[model_file, n_best, memo]
 
 
+def unload(model_file: str, n_best: int, memo: tuple[int, int]) -> None:
+    _loaded.pop((model_file, n_best, memo), None)
+
+
 def encode_documents(docs: DataFrame, model_file: str, *, n_best: int = 3, id_col: str = "doc_id", text_col: str = "text", memo: tuple[int, int] = MEMO) -> DataFrame:
     """doc_id, n_bytes, ids (best segmentation), other_ids (the second to the n-th),
     scores (n best, best first) and round_trip: decoding each of the n id lists gives
@@ -385,9 +389,11 @@ def encode_documents(docs: DataFrame, model_file: str, *, n_best: int = 3, id_co
                 part = batch.slice(a, b - a)
                 lists, scores, same = model.encode_texts(part.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), _lists([x[0] if x else x for x in lists]), _nested([x[1:] for x in lists]), pa.array(scores, pa.list_(pa.float64())), pa.array(same, pa.bool_())], ["doc_id", "n_bytes", "ids", "other_ids", "scores", "round_trip"])
+        if memo < LARGE:  # the worker goes on to other stages
+            unload(model_file, n_best, memo)
 
     rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.octet_length(text).cast("long").alias("n_bytes"))
-    return rows.mapInArrow(run, f"doc_id {kind}, n_bytes long, ids array<int>, other_ids array<array<int>>, scores array<double>, round_trip boolean")
+    return rows.mapInArrow(released(run), f"doc_id {kind}, n_bytes long, ids array<int>, other_ids array<array<int>>, scores array<double>, round_trip boolean")
 
 
 def _lists(arrays: list) -> pa.Array:

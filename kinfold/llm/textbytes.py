@@ -7,7 +7,9 @@ document and not the batch.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import contextlib
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -155,3 +157,24 @@ def shingle_sets(raw: np.ndarray, offsets: np.ndarray, n: int, lower: bool = Tru
         else:
             out.append(np.empty(0, np.uint64))
     return out
+
+
+def to_system() -> None:
+    """Memory that this worker has freed goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def released(run: Callable) -> Callable:
+    """run, a function of a task's batches, for mapInArrow: once the task is over, what
+    it has freed goes back to the system. Workers stay for later tasks of any stage,
+    several to an executor, and would keep the room of the largest one each."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            to_system()
+
+    return task

@@ -871,3 +871,26 @@ def test_a_run_of_its_own_remembers_more_parts(monkeypatch):
     monkeypatch.setattr(model, "search", lambda parts: pytest.fail("searched again"))
     again = model.encode_texts(words[:100])
     assert [[x.tolist() for x in own] for own in again[0]] == [[x.tolist() for x in own] for own in first[0]] and again[1:] == first[1:]
+
+
+def test_workers_keep_nothing_of_a_stage(spark, docs, monkeypatch):
+    """Before, a worker went on to the next stages with the pieces and parts of the
+    encoding, and with the room that it had freed."""
+    from kinfold.llm import textbytes
+
+    encode_documents(docs, Q.piece_model()).write.format("noop").mode("overwrite").save()
+
+    def held(batches):
+        from kinfold.llm.segment import _loaded
+
+        for _ in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([sum(key[2] < LARGE for key in _loaded)])], ["n"])
+
+    assert spark.range(0, 64, 1, 16).mapInArrow(held, "n long").agg(F.sum("n")).first()[0] == 0
+    done = []
+    monkeypatch.setattr(textbytes, "to_system", lambda: done.append(1))
+    task = textbytes.released(lambda batches: iter(batches))([1, 2])
+    assert [(x, len(done)) for x in task] == [(1, 0), (2, 0)] and len(done) == 1
+    task = textbytes.released(lambda batches: (x for x in batches))([1, 2])
+    next(task), task.close()
+    assert len(done) == 2
