@@ -120,3 +120,22 @@ def test_pairs_travel_with_texts(spark, data):
     """Before, sets and tokens travelled with every pair."""
     for side in catalog.both(spark, data):
         assert {kind for _, kind in features.record_features(side).dtypes} == {"string"}
+
+
+def test_a_block_is_searched_in_parts(spark, data, monkeypatch):
+    """Before, a left block was as small as the vectors a task can hold, and a right text
+    was copied once for each of those."""
+    left, right = catalog.both(spark, data)
+    freq = V.known(blocking.all_records(left, right), list(blocking.SEARCHED))
+    table = lambda df: df.selectExpr("entity_id AS id", "name_core", "business_address_clean").toArrow()
+    a, b, held, make = table(left), table(right), [], blocking.Rows
+    want = blocking.search_block(a, b, freq, blocking.SIGNALS).to_pylist()
+    monkeypatch.setattr(blocking, "SOME_LEFT", 7)
+    monkeypatch.setattr(blocking, "PIECE", 5)
+    monkeypatch.setattr(blocking, "Rows", lambda texts, *x: held.append(len(texts)) or make(texts, *x))
+    got = blocking.search_block(a, b, freq, blocking.SIGNALS).to_pylist()
+    near = lambda rows: {(r["s1_id"], r["r_id"], r["signal"]): round(r["score"], 8) for r in rows}
+    assert near(got) == near(want) and len(got) == len(want) and max(held) <= 7
+    assert blocking.LEFT_BLOCK > 8000
+    assert blocking.search_block(a.slice(0, 0), b, freq, blocking.SIGNALS).num_rows == 0
+    assert blocking.search_block(a, b.slice(0, 0), freq, blocking.SIGNALS).num_rows == 0
