@@ -139,3 +139,22 @@ def test_a_block_is_searched_in_parts(spark, data, monkeypatch):
     assert blocking.LEFT_BLOCK > 8000
     assert blocking.search_block(a.slice(0, 0), b, freq, blocking.SIGNALS).num_rows == 0
     assert blocking.search_block(a, b.slice(0, 0), freq, blocking.SIGNALS).num_rows == 0
+
+
+def test_no_block_is_copied_on_disk(spark, data, monkeypatch):
+    """Before, a right text was shuffled once for each left block of its country, and
+    lists that need no merging once more."""
+    left, right = catalog.both(spark, data)
+    near = lambda df: {(r["s1_id"], r["r_id"], r["signal"]): round(r["score"], 8) for r in df.collect()}
+    one = blocking.signal_pairs(left, right)
+    plan = one._jdf.queryExecution().toString()
+    assert "CartesianProduct" in plan and "explode" not in plan and "row_number" not in plan
+    want = near(one)
+    for name, x in (("LEFT_BLOCK", 9), ("RIGHT_BLOCK", 10), ("SMALL", 4), ("RIGHT_PARTS", 3), ("RIGHT_BLOCKS", 2)):
+        monkeypatch.setattr(blocking, name, x)
+    many = blocking.signal_pairs(left, right)
+    assert "row_number" in many._jdf.queryExecution().toString()
+    got = many.select("s1_id", "r_id", "signal", "score")
+    assert near(got) == want and got.count() == len(want) == one.count()
+    alone = blocking.signal_pairs(left.limit(0), right)
+    assert not alone.count() and not blocking.signal_pairs(left, right.limit(0)).count()
