@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kinfold.functions.spaces import Known, Terms
-from kinfold.operators import blocking, features
+from kinfold.operators import blocking, features, packed
 from kinfold.operators import vectors as V
 from kinfold.plans import catalog
 from tests.test_operators import _grams
@@ -158,3 +158,21 @@ def test_no_block_is_copied_on_disk(spark, data, monkeypatch):
     assert near(got) == want and got.count() == len(want) == one.count()
     alone = blocking.signal_pairs(left.limit(0), right)
     assert not alone.count() and not blocking.signal_pairs(left, right.limit(0)).count()
+
+
+def test_pairs_meet_texts_by_blocks(spark, data, monkeypatch):
+    """Before, the left record's texts were shuffled with every pair."""
+    left, right = catalog.both(spark, data)
+    pairs = spark.createDataFrame([("D0", "D1", True), ("D0", "D2", False), ("D3", "D1", True), ("D3", "none", True)], "s1_id string, r_id string, natural boolean")
+    a = left.selectExpr("entity_id AS a_entity_id", "name_core AS a_name_core", "_row AS a_row")
+    b = right.selectExpr("entity_id AS b_entity_id", "name_core AS b_name_core")
+    b = b.unionByName(b.where("b_entity_id = 'D1'"))  # a repeated record is met each time
+    want = pairs.join(a, F.col("s1_id") == F.col("a_entity_id")).join(b, F.col("r_id") == F.col("b_entity_id"))
+    for name, x in (("LEFT_BLOCK", 10), ("RIGHT_BLOCK", 20), ("ROWS", 2)):
+        monkeypatch.setattr(packed, name, x)
+    got = packed.joined(pairs, a, b)
+    assert got.columns == want.columns and sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() == 5
+    assert not packed.joined(pairs.limit(0), a, b).count() and not packed.joined(pairs, a, b.limit(0)).count()
+    freq = V.known(blocking.all_records(left, right), list(V.SPACES))
+    plan = features.features_of(pairs, left, right, freq)._jdf.queryExecution().toString()
+    assert "CartesianProduct" in plan and "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan
