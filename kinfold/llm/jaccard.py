@@ -173,19 +173,25 @@ def _set_name(feats: np.ndarray) -> tuple[int, int]:
     return [x - (1 << 64) if x >= 1 << 63 else x for x in (a, b)]
 
 
+#: Entries of a run at most.
+LONGEST = 255
 BLOBS = "bucket int, keys binary, owners binary, labels binary, runs binary"
 
 
 class _Sender:
     """Holds (key, owner, label) entries and gives them out by bucket: the low 32 bits
-    of the keys, and the owners and labels as runs."""
+    of the keys, and the owners and labels as runs. The more buckets, the shorter are the
+    runs and the more of what is sent names them: so a run's size is one byte (longer
+    ones are split), and a label is sent as what it differs in from its owner, which is
+    nothing for most and shrinks when written."""
 
     def __init__(self, buckets: int):
         self.buckets, self.held, self.keys, self.facts = buckets, 0, [], []
 
-    def add(self, keys: np.ndarray, owner: int, label: int = 0) -> Iterator[pa.RecordBatch]:
+    def add(self, keys: np.ndarray, owner: int, label: int | None = None) -> Iterator[pa.RecordBatch]:
+        """Without a label the owner is its own."""
         self.keys.append(keys)
-        self.facts.append((owner, label))
+        self.facts.append((owner, 0 if label is None else owner ^ label))
         self.held += len(keys)
         if self.held >= HELD:
             yield from self.flush()
@@ -201,8 +207,12 @@ class _Sender:
             rows = []
             for a, b in zip([0, *ends[:-1]], ends, strict=True):
                 heads = a + np.flatnonzero(np.concatenate(([True], each[a + 1 : b] != each[a : b - 1])))
+                size = np.diff(np.append(heads, b))
+                times = -(-size // LONGEST)  # of a run of 600: 255, 255 and 90
+                heads, left = np.repeat(heads, times), np.full(times.sum(), LONGEST)
+                left[np.cumsum(times) - 1] = size - (times - 1) * LONGEST
                 own = facts[each[heads]]
-                rows.append((int(bucket[a]), keys[a:b].tobytes(), own[:, 0].tobytes(), own[:, 1].tobytes(), np.diff(np.append(heads, b)).astype(np.uint32).tobytes()))
+                rows.append((int(bucket[a]), keys[a:b].tobytes(), own[:, 0].tobytes(), own[:, 1].tobytes(), left.astype(np.uint8).tobytes()))
             kinds = (pa.int32(), *[pa.binary()] * 4)
             yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in enumerate(kinds)], ["bucket", "keys", "owners", "labels", "runs"])
         self.held, self.keys, self.facts = 0, [], []
@@ -211,9 +221,10 @@ class _Sender:
 def _shared(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The distinct (key, owner) entries of a bucket and their labels whose key has two
     owners or more, sorted by key and owner."""
-    got = {c: [np.frombuffer(x, t) for x in table.column(c).to_pylist()] for c, t in (("keys", np.uint32), ("owners", np.int64), ("labels", np.int64), ("runs", np.uint32))}
+    got = {c: [np.frombuffer(x, t) for x in table.column(c).to_pylist()] for c, t in (("keys", np.uint32), ("owners", np.int64), ("labels", np.int64), ("runs", np.uint8))}
     keys, runs = np.concatenate(got["keys"]), np.concatenate(got["runs"])
     owners, labels = (np.repeat(np.concatenate(got[c]), runs) for c in ("owners", "labels"))
+    labels = labels ^ owners
     order = np.argsort(keys, kind="stable")
     keys, owners = keys[order], owners[order]
     head = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
@@ -334,14 +345,14 @@ def jaccard_classes(docs: DataFrame, *, n: int = 5, num: int = 80, den: int = 10
         order = np.argsort(part, kind="stable")
         head, size = _groups(part[order])
         cut = [order[a : a + n] for a, n in zip(head.tolist(), size.tolist(), strict=True)]
-        return pa.table({"part": pa.array(part[order][head], pa.int32()), "v": pa.array([v[x].tobytes() for x in cut], pa.binary()), "times": pa.array([count[x].astype(np.int64).tobytes() for x in cut], pa.binary())})
+        return pa.table({"part": pa.array(part[order][head], pa.int32()), "v": pa.array([v[x].tobytes() for x in cut], pa.binary()), "times": pa.array([count[x].astype(np.uint32).tobytes() for x in cut], pa.binary())})
 
     def summed(table: pa.Table) -> pa.Table:
-        every, times = (np.concatenate([np.frombuffer(x, np.int64) for x in table.column(c).to_pylist()]) for c in ("v", "times"))
+        every, times = (np.concatenate([np.frombuffer(x, kind) for x in table.column(c).to_pylist()]) for c, kind in (("v", np.int64), ("times", np.uint32)))
         v, at = np.unique(every, return_inverse=True)
         return pa.table({"v": v, "shared": np.bincount(at, times, len(v)).astype(np.int64)})
 
-    halves = source.select("text").mapInArrow(released(odd_half), BLOBS).drop("labels").withColumn("labels", F.col("owners"))
+    halves = source.select("text").mapInArrow(released(odd_half), BLOBS)
     counted = halves.groupBy("bucket").applyInArrow(shared_count, "part int, v binary, times binary")
     shared = counted.groupBy("part").applyInArrow(summed, "v long, shared long")
     live = classes.where("need <= 0").select("v", "th").unionByName(classes.where("need > 0").join(shared, "v").where("shared >= need").select("v", "th"))

@@ -10,10 +10,12 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from kinfold.llm import jaccard
 from kinfold.llm import queries as Q
 from kinfold.llm.components import components
 from kinfold.llm.jaccard import jaccard_classes, plans, signatures, sketch
@@ -894,3 +896,27 @@ def test_workers_keep_nothing_of_a_stage(spark, docs, monkeypatch):
     task = textbytes.released(lambda batches: (x for x in batches))([1, 2])
     next(task), task.close()
     assert len(done) == 2
+
+
+def test_entries_are_sent_in_few_bytes():
+    """Before, every run of a set's entries in a bucket was sent with its owner twice and
+    a size of four bytes, so the shuffle grew with the buckets."""
+    rng = np.random.default_rng(1)
+    sent = jaccard._Sender(2)
+    keys = [rng.integers(0, 1 << 40, n, np.uint64) for n in (3, 700, 1, 0, 2000)]
+    out = []
+    for owner, (some, label) in enumerate(zip(keys, (None, 9, -5, None, 1 << 60), strict=True), 7):
+        out += sent.add(np.concatenate((some, some[:1])), owner, label)
+        out += sent.add(some, -owner)
+    table = pa.Table.from_batches([*out, *sent.flush()])
+    want = {}
+    for owner, (some, label) in enumerate(zip(keys, (7, 9, -5, 10, 1 << 60), strict=True), 7):
+        for x in some.tolist():
+            want.setdefault(x >> 32 & 1, set()).update({(x & 0xFFFFFFFF, owner, label), (x & 0xFFFFFFFF, -owner, -owner)})
+    for bucket in (0, 1):
+        got = jaccard._shared(table.filter(pc.equal(table["bucket"], bucket)))
+        assert set(zip(*(x.tolist() for x in got), strict=True)) == want[bucket]
+    alone = jaccard._Sender(1)
+    [*alone.add(np.arange(5, dtype=np.uint64), 123)]
+    (one,) = [r for b in alone.flush() for r in b.to_pylist()]
+    assert one["labels"] == bytes(8) and len(one["runs"]) == 1
