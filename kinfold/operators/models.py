@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinfold.functions import fixed as X
+from kinfold.operators import forest
 from kinfold.operators.analytics import DataError, UnsupportedError
 from kinfold.operators.evaluate import best_threshold, sweep
 from kinfold.operators.features import FEATURES
@@ -42,7 +43,11 @@ def fit(classifier, pool: DataFrame) -> PipelineModel:
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
     # Which pairs only measure a boosting round; other kinds learn from all.
     stopping = F.pmod(F.xxhash64("s1_id", "r_id", F.lit(X.SEED)), F.lit(10)) == 0
-    return Pipeline(stages=[assembler, classifier]).fit(pool.withColumn("label", F.col("label").cast("double")).withColumn("stopping", stopping))
+    pool = pool.withColumn("label", F.col("label").cast("double"))
+    model = forest.fitted(classifier, pool, FEATURES) if isinstance(classifier, RandomForestClassifier) else None
+    if model:
+        return PipelineModel(stages=[assembler, model])
+    return Pipeline(stages=[assembler, classifier]).fit(pool.withColumn("stopping", stopping))
 
 
 def score(model: PipelineModel, pairs: DataFrame) -> DataFrame:
