@@ -5,10 +5,14 @@ part's lattice the forward Viterbi scores are exact completions, so a backward A
 search from the end takes partial paths in the order of their final scores and
 yields segmentations best first. As all completions of two partial paths differ, no
 more of them are kept than segmentations are still wanted: memory and time are
-linear in a part. Parts are remembered, so each distinct part of a batch is searched
+linear in a part. For the same reason only the N least edges into a place matter, which
+are found once. Parts are remembered, so each distinct part of a batch is searched
 once; short parts are searched together, one step of all of them at a time. A text's N best combine its parts' N best: only the N - 1 parts with the least
 loss for their second choice can differ from the best.
 
+Texts are cut and parts are looked up by array kernels, by 64-bit hashes; the letters of
+each part are then compared with those remembered, so a collision changes no result.
+
 Scores are unigram log-probabilities of the pieces in whole micro-units, so sums are
 exact. Tokenizers are not trained here: the probabilities follow from the order of
 the given model's pieces (rank_scores). Among equal scores the path whose last pieces begin
@@ -27,14 +31,13 @@ import math
 import re
 from bisect import insort
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.llm.textbytes import chunks, released
+from kinfold.llm.textbytes import chunks, mix, prefix_hash, released, span_hash
 
 #: What a worker remembers: ids of pieces in all, and parts. LARGE takes about 100 MB
 #: more, for a run that has a worker's memory to itself.
@@ -49,7 +52,67 @@ UNKNOWN_PENALTY, BARRED = 10 * MICRO, -1e8
 #: Stands for the sign ▁ of a text; no UTF-8 text holds it.
 OWN_SIGN = "\udc81"
 #: Parts of up to so many characters are searched together.
-TOGETHER, SHUT = 60, (1 << 63) - 1
+TOGETHER, SHUT = 60, 1 << 62
+#: Letters that are hashed and compared at a time, unless one part has more: a chunk's.
+SLAB = 544 << 10
+
+
+class Growing:
+    """An array that grows by half, so what it holds is seldom copied."""
+
+    def __init__(self, kind: type, *shape: int):
+        self.room, self.used = np.empty((1024, *shape), kind), 0
+
+    def __len__(self) -> int:
+        return self.used
+
+    @property
+    def rows(self) -> np.ndarray:
+        return self.room[: self.used]
+
+    def add(self, rows: np.ndarray) -> None:
+        end = self.used + len(rows)
+        if end > len(self.room):
+            old, self.room = self.rows, np.empty((max(end, len(self.room) * 3 // 2), *self.room.shape[1:]), self.room.dtype)
+            self.room[: self.used] = old
+        self.room[self.used : end] = rows
+        self.used = end
+
+
+class Numbers:
+    """Consecutive numbers of 64-bit keys that are mixed well."""
+
+    def __init__(self):
+        self.keys, self.slots = Growing(np.uint64), np.full(1 << 12, -1, np.int32)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Number of each key, -1 for none."""
+        held, last = self.keys.room, len(self.slots) - 1
+        at = (keys & np.uint64(last)).astype(np.int64)
+        out = self.slots[at]
+        left = np.flatnonzero((out >= 0) & (held[out] != keys))
+        at, keys = at[left], keys[left]
+        while len(left):
+            at = (at + 1) & last
+            out[left] = got = self.slots[at]
+            on = (got >= 0) & (held[got] != keys)
+            left, at, keys = left[on], at[on], keys[on]
+        return out
+
+    def add(self, keys: np.ndarray) -> None:
+        """Give the next numbers to these keys. Of equal keys only one is found again."""
+        first = len(self.keys)
+        self.keys.add(keys)
+        if 2 * len(self.keys) > len(self.slots):
+            self.slots = np.full(1 << (4 * len(self.keys)).bit_length(), -1, np.int32)
+            first, keys = 0, self.keys.rows
+        number, last = np.arange(first, len(self.keys), dtype=np.int32), len(self.slots) - 1
+        at = (keys & np.uint64(last)).astype(np.int64)
+        while len(number):
+            free = self.slots[at] < 0
+            self.slots[at[free]] = number[free]
+            lost = self.slots[at] != number
+            number, at = number[lost], (at[lost] + 1) & last
 
 
 def rank_scores(sp) -> dict[int, float]:
@@ -78,7 +141,13 @@ class PieceLattice:
         self.n_best, self.memo = n_best, memo
         # The finest cut that leaves every piece whole: at changes between
         # signs and letters, else before each run of spaces, else none.
-        self.cutter = next((c for c in map(re.compile, CUTS) if all(c.findall(p) == [p] for p in self.pieces)), None)
+        cut = next((c for c in CUTS if all(re.findall(c, p) == [p] for p in self.pieces)), None)
+        #: 0 for signs, 1 for letters, 2 for spaces; None: no cuts
+        self.kinds = None if cut is None else np.ones(0x110000, np.uint8)
+        if cut == CUTS[0]:
+            self.kinds[[m.start() for m in re.finditer(f"[{SIGNS}]", "".join(map(chr, range(0x110000))))]] = 0
+        if cut:
+            self.kinds[ord("▁")] = 2
         self.index()
 
     def index(self) -> None:
@@ -93,8 +162,8 @@ class PieceLattice:
         self.single = np.array([False] + [c in self.pieces for c in letters])
         node = {"": 0} | {p: k for k, p in enumerate(self.begins, 1)}
         edge = np.array([node[p[:-1]] * (len(letters) + 1) + self.code[ord(p[-1])] for p in self.begins])
-        order = np.argsort(edge)
-        self.edge, self.child = edge[order], order + 1
+        self.edges = Numbers()  # mixed, which is one to one; an edge's child is its number + 1
+        self.edges.add(mix(edge.astype(np.uint64)))
         self.node_score = np.array([NEVER] + [NEVER if s is None else s for s in self.begins.values()])
         self.node_id = np.array([-1] + [self.pieces[p][1] if p in self.pieces else -1 for p in self.begins], np.int32)
         self.name_end = np.cumsum([0, *map(len, self.names)])
@@ -102,18 +171,31 @@ class PieceLattice:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.flat = np.empty(0, np.int32)
-        self.facts = [np.empty((0, self.n_best), k) for k in (np.int32, np.int32, np.int64)]  # place, length (-1: none) and score by rank
-        self.right = np.empty(0, bool)
+        self.known = Numbers()
+        self.letters, self.letter_place = Growing(np.uint32), Growing(np.int64)
+        self.flat = Growing(np.int32)
+        self.facts = [Growing(k, self.n_best) for k in (np.int32, np.int32, np.int64)]  # place, length (-1: none) and score by rank
+        self.right = Growing(bool)
+
+    def cut(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Letters of all texts, as in pieces; where parts begin, and the end; and each
+        text's number of parts."""
+        size = np.array([len(t) + 1 if t else 0 for t in texts], np.int64)
+        codes = _codepoints("".join([" " + t for t in texts if t])).copy()
+        codes[codes == ord("▁")] = ord(OWN_SIGN)
+        codes[codes == ord(" ")] = ord("▁")
+        opens = np.zeros(len(codes), bool)
+        if self.kinds is not None:
+            kind = self.kinds[codes]
+            opens[1:] = (kind[1:] != kind[:-1]) & (kind[:-1] != 2)
+        end = np.cumsum(size)
+        opens[(end - size)[size > 0]] = True
+        start = np.append(np.flatnonzero(opens), len(codes))
+        return codes, start, np.diff(np.searchsorted(start[:-1], np.append(0, end)))
 
     def parts(self, text: str) -> list[str]:
-        if not text:
-            return []
-        if "▁" in text:
-            text = text.replace("▁", OWN_SIGN)
-        text = "▁" + text.replace(" ", "▁")
-        return self.cutter.findall(text) if self.cutter else [text]
+        codes, start, _ = self.cut([text])
+        return _strings(codes, start[:-1], np.diff(start))
 
     def forward(self, part: str) -> list[int]:
         """Viterbi scores of all places of a part."""
@@ -207,47 +289,51 @@ class PieceLattice:
     def _together(self, codes: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, ...]:
         """Backward A-star over parts of falling length; an entry is one number: loss,
         place, step that made it, and length of its edge, compared in this order."""
-        n, top, width = len(size), self.n_best, min(self.longest, int(size[0]))
+        n, top, width, letters = len(size), self.n_best, min(self.longest, int(size[0])), np.uint64(len(self.single))
         owner = np.repeat(np.arange(n), size)
         start = np.cumsum(size) - size
         own = codes[np.repeat(first - start, size) + np.arange(size.sum())]
         base = start + np.arange(n)  # a part has one place more than letters
-        # Edges by their end and length.
-        edge, piece = np.full((len(own) + n, width), NEVER), np.full((len(own) + n, width), -1, np.int32)
+        # Edges by length and end.
+        edge, piece = np.full((width, len(own) + n), NEVER), np.full((width, len(own) + n), -1, np.int32)
         at, node, end = np.arange(len(own)), np.zeros(len(own), np.int64), (start + size)[owner]
         for d in range(1, width + 1):
             inside = at + d <= end[at]
             at, node = at[inside], node[inside]
-            want = node * len(self.single) + own[at + d - 1]
-            spot = np.minimum(np.searchsorted(self.edge, want), len(self.edge) - 1)
-            hit = self.edge[spot] == want
-            at, node = at[hit], self.child[spot[hit]]
-            edge[at + owner[at] + d, d - 1], piece[at + owner[at] + d, d - 1] = self.node_score[node], self.node_id[node]
-        alpha, back = np.zeros(len(edge), np.int64), np.arange(1, width + 1)
+            node = self.edges.find(mix(node.astype(np.uint64) * letters + own[at + d - 1].astype(np.uint64))) + 1
+            at, node = at[node > 0], node[node > 0]
+            here = at + owner[at] + d
+            edge[d - 1, here], piece[d - 1, here] = self.node_score[node], self.node_id[node]
+        alpha, back = np.zeros(len(own) + n, np.int64), np.arange(1, width + 1)[:, None]
         for p in range(1, int(size[0]) + 1):
             g = base[: int((size >= p).sum())] + p
             w = min(p, width)
-            alpha[g] = (alpha[g[:, None] - back[:w]] + edge[g, :w]).max(axis=1)
-        open_ = np.full((n, top), SHUT)
-        open_[:, 0] = size << 18
+            alpha[g] = (alpha[g - back[:w]] + edge[:w, g]).max(axis=0)
+        # The least edges into each place, as the entries they add to that of their end.
+        where = np.arange(len(own) + n) - np.repeat(base, size + 1)
+        least = np.full((top, len(own) + n), SHUT)
+        for d in range(1, width + 1):
+            lost = alpha[d:] - alpha[:-d] - edge[d - 1, d:]
+            _insert(least[:, d:], np.where(edge[d - 1, d:] > NEVER, (lost << 25) | ((where[d:] - d) << 18) | d, SHUT))
+        open_ = np.full((top, n), SHUT)
+        open_[0] = size << 18
         live, popped, out, found = np.arange(n), [np.zeros(n, np.int64)], np.zeros((n, top), np.int64), np.zeros(n, np.int64)
         while len(live):
-            step, head = len(popped), open_[live, 0]
+            step, now = len(popped), open_[:, live]
+            head = now[0].copy()
             popped.append(np.zeros(n, np.int64))
             popped[-1][live] = head
             at = (head >> 18) & 127
             ended = live[at == 0]
             out[ended, found[ended]] = step
             found[ended] += 1
-            made = np.full((len(live), width), SHUT)
-            go = at > 0
-            g, at = base[live[go]] + at[go], at[go][:, None]
-            lost = ((head[go] >> 25) + alpha[g])[:, None] - alpha[g[:, None] - back] - edge[g]
-            made[go] = np.where(edge[g] > NEVER, (lost << 25) | ((at - back) << 18) | (step << 6) | back, SHUT)
-            made = np.concatenate((open_[live, 1:], made), axis=1)
-            made.partition(top - 1, axis=1)
-            open_[live] = np.sort(made[:, :top], axis=1)
-            live = live[(found[live] < top) & (open_[live, 0] < SHUT)]
+            now[:-1] = now[1:]
+            now[-1] = SHUT
+            # Nothing ends at place 0, so an ended path adds only what is shut.
+            for made in least[:, base[live] + at]:
+                _insert(now, made + ((head >> 25 << 25) | (step << 6)))
+            open_[:, live] = now
+            live = live[(found[live] < top) & (now[0] < SHUT)]
         # Read the paths back, first piece first.
         row, rank = np.nonzero(np.arange(top) < found[:, None])
         popped, step = np.stack(popped), out[row, rank]
@@ -258,7 +344,7 @@ class PieceLattice:
             live, entry = live[(entry & 63) > 0], entry[(entry & 63) > 0]
             if not len(live):
                 break
-            tokens[live, k] = piece[base[row[live]] + ((entry >> 18) & 127) + (entry & 63), (entry & 63) - 1]
+            tokens[live, k] = piece[(entry & 63) - 1, base[row[live]] + ((entry >> 18) & 127) + (entry & 63)]
             step[live] = (entry >> 6) & 4095
         many = (tokens >= 0).sum(axis=1)
         flat = tokens[tokens >= 0]
@@ -266,44 +352,79 @@ class PieceLattice:
         letters = self.name_end[flat + 1] - self.name_end[flat]
         said = np.add.reduceat(letters, np.cumsum(many) - many) == size[row]
         if said.all():
-            got = self.code[self.name_codes[np.repeat(self.name_end[flat] - (np.cumsum(letters) - letters), letters) + np.arange(letters.sum())]]
-            text = own[np.repeat(start[row] - (np.cumsum(size[row]) - size[row]), size[row]) + np.arange(size[row].sum())]
+            got = self.code[self.name_codes[_spans(self.name_end[flat], letters)]]
+            text = own[_spans(start[row], size[row])]
             said = np.logical_and.reduceat(got == text, np.cumsum(size[row]) - size[row])
         fine = np.ones(n, bool)
         np.logical_and.at(fine, row, said)
         return flat, many, row, rank, alpha[base + size][row] - lost, fine
 
-    def remember(self, parts: list[str]) -> None:
-        """Number new parts and keep their ranked segmentations."""
+    def remember(self, parts: list[str]) -> int:
+        """Keep the ranked segmentations of new parts; the number of the first."""
         ids, place, length, score, right = self.search(parts)
-        place += len(self.flat)
-        self.known.update(zip(parts, range(len(self.right), len(self.right) + len(parts)), strict=True))
-        self.flat = np.concatenate((self.flat, ids))
-        self.facts = [np.concatenate((x, y.astype(x.dtype))) for x, y in zip(self.facts, (place, length, score), strict=True)]
-        self.right = np.concatenate((self.right, right))
+        number, size = len(self.right), np.array([len(p) for p in parts], np.int64)
+        self.letter_place.add(len(self.letters) + np.cumsum(size) - size)
+        self.letters.add(_codepoints("".join(parts)))
+        for held, new in zip(self.facts, (place + len(self.flat), length, score), strict=True):
+            held.add(new)
+        self.flat.add(ids)
+        self.right.add(right)
+        return number
+
+    def numbers(self, codes: np.ndarray, start: np.ndarray) -> np.ndarray:
+        """Number of each part; new ones are searched and remembered."""
+        out, k = np.empty(len(start) - 1, np.int64), 0
+        while k < len(out):
+            end = max(int(np.searchsorted(start, start[k] + SLAB, "right")) - 1, k + 1)
+            out[k:end] = self._numbers(codes[start[k] : start[end]], start[k : end + 1] - start[k])
+            k = end
+        return out
+
+    def _numbers(self, codes: np.ndarray, start: np.ndarray) -> np.ndarray:
+        start, size = start[:-1], np.diff(start)
+        keys = _keys(codes, start, size)
+        number = self.known.find(keys).astype(np.int64)
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            own, pick, back = np.unique(keys[new], return_index=True, return_inverse=True)
+            number[new] = self.remember(_strings(codes, start[new[pick]], size[new[pick]])) + back
+            self.known.add(own)
+        # Equal keys of different letters: such parts are searched on their own.
+        same = np.diff(np.append(self.letter_place.rows, len(self.letters)))[number] == size
+        fit = np.flatnonzero(same)
+        got = self.letters.rows[_spans(self.letter_place.rows[number[fit]], size[fit])]
+        wrong = got != (codes if len(fit) == len(same) else codes[_spans(start[fit], size[fit])])
+        if wrong.any():
+            same[fit] = ~np.logical_or.reduceat(wrong, np.cumsum(size[fit]) - size[fit])
+        odd = np.flatnonzero(~same)
+        if len(odd):
+            parts = _strings(codes, start[odd], size[odd])
+            own = dict.fromkeys(parts)
+            first = self.remember(list(own))
+            self.known.add(np.zeros(len(own), np.uint64))  # numbers stay in step
+            own = dict(zip(own, range(first, first + len(own)), strict=True))
+            number[odd] = [own[p] for p in parts]
+        return number
 
     def encode_texts(self, texts: list[str]) -> tuple[list[list[np.ndarray]], list[list[float]], list[bool]]:
         """Of each text the ids of its n_best segmentations, best first, their scores,
         and whether each of them decodes to the text."""
         if len(self.flat) > self.memo[0] or len(self.right) > self.memo[1]:
             self.forget()
-        parts = [self.parts(t) for t in texts]
-        every = list(chain.from_iterable(parts))
-        new = sorted(set(every).difference(self.known))
-        if new:
-            self.remember(new)
-        place, length, score = self.facts
-        # Of each part of the chunk: its number, its first choice and the second's loss.
-        number = np.array(list(map(self.known.__getitem__, every)), np.int64)
-        size, points = length[:, 0].copy()[number], score[:, 0].copy()[number]
-        loss = np.where(length[:, 1] < 0, -NEVER, score[:, 0] - score[:, 1])[number] if self.n_best > 1 else points
-        right = self.right[number]
+        codes, begin, many = self.cut(texts)
+        number = self.numbers(codes, begin)
+        flat = self.flat.rows
+        place, length, score = (x.rows for x in self.facts)
+        # Of each part of the chunk: its first choice and the second's loss.
+        size, points = length[:, 0][number], score[:, 0][number]
+        loss = np.where(length[:, 1][number] < 0, -NEVER, points - score[:, 1][number]) if self.n_best > 1 else points
+        right = self.right.rows[number]
         start = np.cumsum(size) - size
-        best = self.flat[np.repeat(place[:, 0].copy()[number] - start, size) + np.arange(size.sum())]
+        best = flat[_spans(place[:, 0][number], size)]
         lists, scores, same = [], [], []
         end = 0
-        for own in parts:
-            a, end = end, end + len(own)
+        for own in many.tolist():
+            a, end = end, end + own
             if not own:
                 lists.append([])
                 scores.append([])
@@ -324,7 +445,7 @@ class PieceLattice:
                 for k, r in sorted(zip(spots, pick, strict=True), reverse=True):  # later parts first: earlier places hold
                     if r:
                         at, here = place[x[k], r], start[a + k] - origin
-                        out = np.concatenate((out[:here], self.flat[at : at + length[x[k], r]], out[here + size[a + k] :]))
+                        out = np.concatenate((out[:here], flat[at : at + length[x[k], r]], out[here + size[a + k] :]))
                 ids.append(out)
                 own_scores.append((total - less) / MICRO)
             lists.append(ids)
@@ -362,6 +483,31 @@ def _codepoints(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
+def _spans(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Places of runs of these sizes, one run after another."""
+    end = np.cumsum(size)
+    return np.repeat(first - (end - size), size) + np.arange(end[-1] if len(end) else 0)
+
+
+def _strings(codes: np.ndarray, first: np.ndarray, size: np.ndarray) -> list[str]:
+    text = codes[_spans(first, size)].tobytes().decode("utf-32-le", "surrogatepass")
+    end = np.cumsum(size)
+    return [text[a:b] for a, b in zip((end - size).tolist(), end.tolist(), strict=True)]
+
+
+def _keys(codes: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each part's letters."""
+    return mix(span_hash(prefix_hash(codes.astype(np.uint64)), start, start + size) + size.astype(np.uint64))
+
+
+def _insert(ranked: np.ndarray, entries: np.ndarray) -> None:
+    """Put one entry a column among its ranked ones, of which the largest is lost."""
+    for own in ranked:
+        over = np.maximum(own, entries)
+        np.minimum(own, entries, out=own)
+        entries = over
+
+
 _loaded: dict[tuple, PieceLattice] = {}
 
 

@@ -15,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from kinfold.llm import jaccard
+from kinfold.llm import jaccard, segment
 from kinfold.llm import queries as Q
 from kinfold.llm.components import components
 from kinfold.llm.jaccard import jaccard_classes, plans, signatures, sketch
@@ -758,6 +758,57 @@ def test_equal_scores_give_no_segmentation_twice():
         assert len({tuple(x) for x in lists[0]}) == len(lists[0]) == len(scores[0]) and scores[0] == sorted(scores[0], reverse=True)
 
 
+def test_parts_are_what_the_pattern_finds():
+    """The array kernels cut as the regular expressions do, of either kind and of none."""
+    r = random.Random(3)
+    for cut, kinds in ((0, None), (1, None), (None, None)):
+        model = PieceLattice(Q.piece_model(), 3)
+        if cut == 1:
+            model.kinds = np.where(model.kinds == 2, 2, 1)
+        if cut is None:
+            model.kinds = kinds
+        texts = ["", " ", "a", "▁", "  a,b  ", *("".join(r.choices(" ▁,.\naB7é日\u2028\U0001f600", k=r.randint(1, 40))) for _ in range(300))]
+        for t in texts:
+            own = "▁" + t.replace("▁", segment.OWN_SIGN).replace(" ", "▁") if t else ""
+            assert model.parts(t) == (([own] if own else []) if cut is None else re.findall(segment.CUTS[cut], own))
+
+
+def test_equal_hashes_of_different_parts_change_nothing(monkeypatch):
+    """Parts are looked up by hashes. Here very many are equal, in one chunk and later ones."""
+    r = random.Random(4)
+    texts = ["", *(prose(r.randint(1, 60), r) + r.choice(("", " é日,  x", "▁")) for _ in range(60))]
+    model = PieceLattice(Q.piece_model(), 3)
+    plain = lambda got: ([[x.tolist() for x in own] for own in got[0]], *got[1:])
+    want = plain(model.encode_texts(texts))
+    assert all(want[2])
+    monkeypatch.setattr(segment, "SLAB", 40)  # also cut into many slabs, some of one part
+    for keys in (lambda codes, start, size: np.zeros(len(size), np.uint64), lambda codes, start, size: size.astype(np.uint64) % np.uint64(3)):
+        monkeypatch.setattr(segment, "_keys", keys)
+        model.forget()
+        for k in (0, 0, 20):  # again, when they are known
+            assert plain(model.encode_texts(texts[k:])) == tuple(x[k:] for x in want)
+
+
+def test_numbers_of_keys():
+    table, r = segment.Numbers(), np.random.default_rng(2)
+    keys = np.unique(np.concatenate((r.integers(0, 1 << 63, 30_000, np.uint64), np.arange(0, 1 << 40, 1 << 28, np.uint64))))
+    for own in np.array_split(r.permutation(keys), 7):
+        assert (table.find(own) == -1).all()
+        table.add(own)
+    assert table.keys.rows[table.find(keys)].tolist() == keys.tolist()
+
+
+def test_digests_of_segmentations(spark, data):
+    """Before, each id of a digest went through a lambda, which isn't compiled: part of
+    902 CPU seconds a GB at the check's 30 GB, of 900."""
+    plan = Q.op9_segmentation(spark, data)._jdf.queryExecution().executedPlan().toString()
+    assert "lambda" not in plan
+    row = Q.op9_segmentation(spark, data).where("n_pieces > 3").first()
+    (ids,) = encode_documents(Q.documents(spark, data).where(F.col("doc_id") == row["doc_id"]), Q.piece_model()).select("ids", "other_ids").limit(1).collect()
+    lists = [ids["ids"], *ids["other_ids"]]
+    assert [row[c] for c in ("ids_crc32", "second_ids_crc32", "third_ids_crc32")] == [zlib.crc32(",".join(map(str, x)).encode()) for x in lists]
+
+
 # ---- 10
 
 
