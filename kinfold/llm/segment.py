@@ -53,8 +53,8 @@ UNKNOWN_PENALTY, BARRED = 10 * MICRO, -1e8
 OWN_SIGN = "\udc81"
 #: Parts of up to so many characters are searched together.
 TOGETHER, SHUT = 60, 1 << 62
-#: Letters that are hashed and compared at a time, unless one part has more: a chunk's.
-SLAB = 544 << 10
+#: Letters that are hashed and compared at a time, unless one part has more.
+SLAB = 256 << 10
 
 
 class Growing:
@@ -145,7 +145,7 @@ class PieceLattice:
         #: 0 for signs, 1 for letters, 2 for spaces; None: no cuts
         self.kinds = None if cut is None else np.ones(0x110000, np.uint8)
         if cut == CUTS[0]:
-            self.kinds[[m.start() for m in re.finditer(f"[{SIGNS}]", "".join(map(chr, range(0x110000))))]] = 0
+            self.kinds[[m.start() for m in re.finditer(f"[{SIGNS}]", np.arange(0x110000, dtype=np.uint32).tobytes().decode("utf-32-le", "surrogatepass"))]] = 0
         if cut:
             self.kinds[ord("▁")] = 2
         self.index()
